@@ -7,7 +7,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auriga.operators import audit, audit_rules, finance, maintenance, procurement, silver
+from auriga.operators import (
+    audit, audit_rules, documents, features, finance, maintenance, procurement, retrieval, silver,
+)
 from auriga.sources.lake import Lake, pick
 
 
@@ -119,3 +121,22 @@ class Cases:
     @cached_property
     def compliance(self) -> DataFrame:
         return audit.compliance_summary(self.payments, self.raised)
+
+    # documents
+    @cached_property
+    def chunks(self) -> DataFrame:
+        """Every line of a text is a section; the texts of this lake carry no heading marks."""
+        return documents.split_sections(self.lake.documents(), "\n")
+
+    @cached_property
+    def lexical_hits(self) -> DataFrame:
+        return retrieval.lexical_top_k(self.lake.questions(), self.chunks)
+
+    # features
+    @cached_property
+    def features(self) -> DataFrame:
+        return features.daily_features(self.readings)
+
+    @cached_property
+    def labelled(self) -> DataFrame:
+        return features.label_failures(self.features, self.failures)

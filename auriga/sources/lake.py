@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auriga.functions.columns import AMOUNT, month_of
+from auriga.operators.audit_rules import RULES
 
 BUDGET_END = "2001-08-01"
 ACTUALS_END = "2001-02-01"
@@ -93,6 +94,7 @@ class Lake:
             .filter(F.col("o_orderkey") % 10 < 7)
             .groupBy(F.concat(F.lit("CT"), (F.col("o_orderkey") % 30).cast("string")).alias("contrato_id"))
             .agg(
+                F.min(self._supplier_of("o_custkey")).alias("id_fornecedor"),
                 F.sum(F.col("o_totalprice").cast(AMOUNT)).alias("valor_contratado"),
                 F.min(F.col("o_orderdate").cast("date")).alias("vigencia_inicio"),
                 F.max(F.col("o_orderdate").cast("date")).alias("vigencia_fim"),
@@ -317,8 +319,20 @@ class Lake:
     # --- documents -----------------------------------------------------------
 
     def documents(self) -> DataFrame:
+        """Texts with the policy each source stands for; sources beyond the policies keep their name."""
+        policies = sorted({rule[-1] for rule in RULES})
+        number = F.substring("source", 4, 10).try_cast("int")
+        named = F.get(F.array(*[F.lit(p) for p in policies]), number)
         return self.table("documents").select(
             F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("doc_nome"),
-            "source",
+            F.coalesce(named, "source").alias("politica"),
             F.col("text").alias("texto"),
         )
+
+    def questions(self) -> DataFrame:
+        return self.table("benchmark").select(F.col("item_id").alias("id_consulta"), F.col("text").alias("texto"))
+
+    def vectors(self) -> DataFrame:
+        return self.table("embeddings").select(
+            F.col("vec_id").alias("id"), F.col("embedding").alias("vetor"), "label", "embedding"
+        )
