@@ -42,7 +42,8 @@ def bounded_chunks(documents: DataFrame, most: int = 1000) -> DataFrame:
         F.sequence(F.lit(0), F.col("_pieces") - 1),
         lambda i: F.slice("_words", i * F.col("_size") + 1, F.col("_size")),
     )
-    return sized.select("doc_nome", F.posexplode(parts).alias("parte_idx", "_part")).select(
+    filled = F.filter(parts, lambda part: F.size(part) > 0)
+    return sized.select("doc_nome", F.posexplode(filled).alias("parte_idx", "_part")).select(
         F.concat("doc_nome", F.lit("#"), F.col("parte_idx").cast("string")).alias("chunk_id"),
         "doc_nome",
         "parte_idx",

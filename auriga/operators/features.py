@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auriga.functions.columns import settle
-from auriga.operators.maintenance import ASSET, daily_telemetry
+from auriga.operators.maintenance import ASSET, daily_measures
 
 HORIZON_DAYS = 7
 RAMP_DAYS = 12
 
 
-def _daily_sums(readings: DataFrame) -> DataFrame:
-    return readings.groupBy("id_ativo", F.col("data_hora").cast("date").alias("dia")).agg(
+def _sums() -> list[Column]:
+    return [
         F.sum("vibracao").alias("_vib"),
         F.count("vibracao").alias("_n_vib"),
         F.sum("temperatura").alias("_temp"),
         F.count("temperatura").alias("_n_temp"),
-    )
+    ]
 
 
 def _over_days(first: int, last: int):
@@ -27,15 +27,21 @@ def _over_days(first: int, last: int):
 
 
 def daily_features(readings: DataFrame) -> DataFrame:
-    """Daily telemetry plus the means of all readings of the last seven days."""
+    """Daily telemetry plus the means of all readings of the last seven days.
+
+    One grouping yields the daily measures and the sums the moving means are made of.
+    """
+    daily = readings.groupBy(*ASSET, F.col("data_hora").cast("date").alias("dia")).agg(
+        *daily_measures(), *_sums()
+    )
     week = _over_days(1 - HORIZON_DAYS, 0)
-    moving = _daily_sums(readings).select(
-        "id_ativo",
-        "dia",
-        settle(F.sum("_vib").over(week) / F.nullif(F.sum("_n_vib").over(week), F.lit(0)), 4).alias("vib_media_7d"),
-        settle(F.sum("_temp").over(week) / F.nullif(F.sum("_n_temp").over(week), F.lit(0)), 4).alias("temp_media_7d"),
+
+    def moving(name: str) -> Column:
+        return settle(F.sum(name).over(week) / F.nullif(F.sum(f"_n{name}").over(week), F.lit(0)), 4)
+
+    return daily.withColumns({"vib_media_7d": moving("_vib"), "temp_media_7d": moving("_temp")}).drop(
+        "_vib", "_n_vib", "_temp", "_n_temp"
     )
-    return daily_telemetry(readings).join(moving, ["id_ativo", "dia"])
 
 
 def label_failures(features: DataFrame, failures: DataFrame, days: int = HORIZON_DAYS) -> DataFrame:
@@ -77,7 +83,7 @@ def failure_uplift(readings: DataFrame, failures: DataFrame, ramp: int = RAMP_DA
     Readings and failures fold to one row per asset and day; running sums over days then
     answer every failure without pairing it with readings. Failures lacking either side drop out.
     """
-    sums = _daily_sums(readings).select("id_ativo", "dia", "_vib", "_n_vib")
+    sums = readings.groupBy("id_ativo", F.col("data_hora").cast("date").alias("dia")).agg(*_sums()[:2])
     nothing = failures.select("id_ativo", F.col("data_falha").alias("dia")).distinct().withColumns(
         {"_vib": F.lit(0.0), "_n_vib": F.lit(0).cast("bigint")}
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auriga.functions.columns import TOTAL, settle, total
@@ -18,8 +18,8 @@ CRITICAL_SCORE = 66
 WARNING_SCORE = 40
 
 
-def daily_telemetry(readings: DataFrame) -> DataFrame:
-    return readings.groupBy(*ASSET, F.col("data_hora").cast("date").alias("dia")).agg(
+def daily_measures() -> list[Column]:
+    return [
         F.count("*").alias("n_leituras"),
         settle(F.avg("temperatura"), 1).alias("temp_media"),
         settle(F.max("temperatura"), 1).alias("temp_max"),
@@ -28,7 +28,11 @@ def daily_telemetry(readings: DataFrame) -> DataFrame:
         settle(F.stddev("vibracao"), 2).alias("vib_dp"),
         settle(F.avg("pressao"), 2).alias("pres_media"),
         settle(F.avg("rpm"), 0).alias("rpm_media"),
-    )
+    ]
+
+
+def daily_telemetry(readings: DataFrame) -> DataFrame:
+    return readings.groupBy(*ASSET, F.col("data_hora").cast("date").alias("dia")).agg(*daily_measures())
 
 
 def asset_health(readings: DataFrame, assets: DataFrame) -> DataFrame:
