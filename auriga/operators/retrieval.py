@@ -41,10 +41,13 @@ def top_k(queries: DataFrame, corpus: DataFrame, scorer: Scorer, k: int, query_r
     id_type = dict(corpus.dtypes)["id"]
     query_type = dict(queries.dtypes)["id_consulta"]
     schema = f"id_consulta {query_type}, id {id_type}, score double"
-    if fits_broadcast(queries, query_rows):
-        batch = queries.toPandas()
+    # Reads at most one row past the bound, so it is also the size check.
+    batch = queries.limit(query_rows + 1).toPandas()
+    if len(batch) <= query_rows:
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            if batch.empty:
+                return
             score, best = scorer(batch), None
             for frame in frames:
                 found = _best(batch, frame, score(frame), k)

@@ -18,13 +18,13 @@ class Query:
 
 
 def catalogue() -> dict[str, Query]:
-    from auriga.plans.catalog import checks, metrics, risk, tables, texts
+    from auriga.plans.catalog import checks, ingest, metrics, risk, tables, texts
 
     queries: dict[str, Query] = {}
 
     def add(name: str, build: Callable[[Cases], DataFrame], sql: str | None = None, **extra: str) -> None:
         queries[name] = Query(build, compose(sql, extra) if sql else None)
 
-    for module in (tables, metrics, checks, texts, risk):
+    for module in (tables, metrics, checks, texts, risk, ingest):
         module.register(add)
     return queries
