@@ -33,6 +33,15 @@ def join_dimension(
     return fact.join(dimension, on, how)
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread costly per-row work when the scan has fewer partitions than the cluster has cores.
+
+    A table of many files already has more, and is left without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def global_rank(df: DataFrame, value: str, output: str) -> DataFrame:
     """rank() over (order by value desc) without sending every row to one task.
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auriga.operators.documents import tokens
-from auriga.operators.joins import fits_broadcast
+from auriga.operators.joins import fits_broadcast, widen
 
 QUERY_ROWS = 1024
 CORPUS_BLOCK = 50_000
@@ -208,7 +208,7 @@ def bm25(queries: pd.DataFrame) -> Callable[[pd.DataFrame], np.ndarray]:
 
 def lexical_top_k(queries: DataFrame, chunks: DataFrame, k: int = 4, query_rows: int = QUERY_ROWS) -> DataFrame:
     """queries(id_consulta, texto), chunks(chunk_id, texto) -> the k best chunks by BM25."""
-    bags = chunks.select(F.col("chunk_id").alias("id"), tokens().alias("palavras"))
+    bags = widen(chunks.select(F.col("chunk_id").alias("id"), "texto")).select("id", tokens().alias("palavras"))
     length = F.size("palavras")
     means = bags.agg(F.struct(F.count("*").alias("n"), F.avg(length).alias("size")).alias("_s")).scalar()
     asked = queries.select("id_consulta", F.explode(F.array_distinct(tokens())).alias("palavra"))

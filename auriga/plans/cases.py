@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from auriga.operators import (
     audit, audit_rules, documents, features, finance, maintenance, procurement, retrieval, silver,
 )
+from auriga.plans.refresh import replace_table
+from auriga.session import scratch
 from auriga.sources.lake import Lake, pick
 
 
@@ -108,19 +110,27 @@ class Cases:
         lake = self.lake
         return silver.flagged_payments(lake.payments(), lake.suppliers(), lake.approvers())
 
+    @cached_property
+    def stored_payments(self) -> DataFrame:
+        """The silver payments written once, for plans that pass over them several times.
+
+        The rules that look across payments read them again, and so do the joins back.
+        """
+        return self._stored(self.payments, "silver_transacoes")
+
     @cached_property
     def raised(self) -> DataFrame:
         """Findings with the four statuses spread by payment, standing in for the reviewers' work."""
         reviewed = pick(audit_rules.STATUSES, F.col("id_transacao"))
-        return audit_rules.raise_findings(self.payments).withColumn("status_achado", reviewed)
+        return audit_rules.raise_findings(self.stored_payments).withColumn("status_achado", reviewed)
 
     @cached_property
     def findings(self) -> DataFrame:
-        return silver.enriched_findings(self.raised, self.rules, self.payments)
+        return silver.enriched_findings(self.raised, self.rules, self.stored_payments)
 
     @cached_property
     def compliance(self) -> DataFrame:
-        return audit.compliance_summary(self.payments, self.raised)
+        return audit.compliance_summary(self.stored_payments, self.raised)
 
     # documents
     @cached_property
@@ -140,3 +150,11 @@ class Cases:
     @cached_property
     def labelled(self) -> DataFrame:
         return features.label_failures(self.features, self.failures)
+
+    @cached_property
+    def stored_labelled(self) -> DataFrame:
+        """Labelled features written once: splitting, weighting, training and scoring each read them."""
+        return self._stored(self.labelled, "gold_features")
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        return replace_table(df, scratch(self.spark, name))

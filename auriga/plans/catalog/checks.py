@@ -31,7 +31,7 @@ def _orphans(c):
         ("transacoes", c.payments, "id_fornecedor", lake.suppliers(), "id_fornecedor"),
         ("transacoes", c.payments, "id_aprovador", lake.approvers(), "id_aprovador"),
         ("transacoes", c.payments, "id_solicitante", lake.approvers(), "id_aprovador"),
-        ("achados", c.raised, "id_transacao", c.payments, "id_transacao"),
+        ("achados", c.raised, "id_transacao", c.stored_payments, "id_transacao"),
         ("achados", c.raised, "id_regra", c.rules, "id_regra"),
         ("rotulos", lake.table("labels"), "doc_id", lake.table("documents"), "doc_id"),
     ]

@@ -17,6 +17,9 @@ SUPPLIER_COLUMNS = [
     "situacao_cadastral", "parte_relacionada",
 ]
 
+BUNDLE = 200
+SEPARATOR = "\u001e"
+
 
 def folder_source(raw: str, name: str) -> tuple[str, str]:
     """Spark writes a folder per raw table."""
@@ -92,9 +95,16 @@ def _rescued(c):
 
 
 def _whole_texts(c):
+    """Texts bundled a few hundred per file and split again after the whole-file scan.
+
+    A file per text would not survive a large table; bundles keep files and rows bounded.
+    """
     folder = scratch(c.spark, "texts")
-    c.lake.table("documents").select("text").write.option("maxRecordsPerFile", 1).text(folder)
-    return files.whole_texts(c.spark, folder, "part-*").select(F.expr("rtrim('\n', texto)").alias("texto"))
+    texts = c.lake.table("documents").select("text")
+    texts.write.options(maxRecordsPerFile=BUNDLE, lineSep=SEPARATOR).text(folder)
+    bundles = files.whole_texts(c.spark, folder, "part-*")
+    split = F.explode(F.split("texto", SEPARATOR)).alias("texto")
+    return bundles.select(split).filter(F.col("texto") != "")
 
 
 def _silver_stream(c):
@@ -182,7 +192,7 @@ def register(add) -> None:
                   CASE WHEN contrato_id IS NOT NULL THEN '{"contrato_id":"' || contrato_id || '"}' END AS _rescued_data
            FROM t_orders""",
     )
-    add("s6_whole_texts", _whole_texts, "SELECT rtrim(text, chr(10)) AS texto FROM documents")
+    add("s6_whole_texts", _whole_texts, "SELECT text AS texto FROM documents WHERE text <> ''")
     add(
         "s7_binary_files",
         lambda c: files.binary_files(c.spark, c.lake.path, "*.parquet").select("arquivo", "length"),

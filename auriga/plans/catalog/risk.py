@@ -23,7 +23,7 @@ EXTRA = {
 
 
 def _fitted(c, kind: str):
-    training, held_out = risk_model.split_by_day(c.labelled)
+    training, held_out = risk_model.split_by_day(c.stored_labelled)
     return risk_model.train(training, kind), held_out
 
 
@@ -43,7 +43,9 @@ def register(add_query) -> None:
     add("l4_model_quality", lambda c: risk_model.measure(*_fitted(c, "forest")))
     add(
         "l5_riskiest_assets",
-        lambda c: risk_model.riskiest(risk_model.score_latest(risk_model.train(c.labelled, "logistic"), c.features)),
+        lambda c: risk_model.riskiest(
+            risk_model.score_latest(risk_model.train(c.stored_labelled, "logistic"), c.stored_labelled)
+        ),
     )
     add(
         "l6_failure_uplift",

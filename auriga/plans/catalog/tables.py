@@ -118,7 +118,7 @@ def register(add) -> None:
     )
     add(
         "x12_flag_reconciliation",
-        lambda c: audit.reconcile_flags(c.payments, c.raised),
+        lambda c: audit.reconcile_flags(c.stored_payments, c.raised),
         """SELECT coalesce(d.id_transacao, s.id_transacao) AS id_transacao, coalesce(d.id_regra, s.id_regra) AS id_regra,
                   CASE WHEN s.id_transacao IS NULL THEN 'sem achado' WHEN d.id_transacao IS NULL THEN 'sem sinal'
                        ELSE 'conforme' END AS situacao

@@ -161,21 +161,24 @@ def finance_cards(base: DataFrame) -> DataFrame:
 
 
 def closed_month_summary(base: DataFrame) -> DataFrame:
-    """Newest month with actuals: result, expense variance and its biggest overrun."""
-    newest = closed(base).agg(F.max("mes")).scalar()
+    """Newest month with actuals: result, expense variance and its biggest overrun.
+
+    Months are few once grouped, so the newest is picked after grouping and the base is read once.
+    """
     over = (F.col("tipo") == "Despesa") & (F.col("variancia") > 0)
-    worst = F.min(
-        F.when(over, F.struct(-F.col("variancia"), "id_conta", "id_centro", "conta_nome", "centro_nome"))
-    )
+    order = F.when(over, F.struct(-F.col("variancia"), "id_conta", "id_centro"))
+    worst = F.min_by(F.struct("conta_nome", "centro_nome", "variancia"), order)
     return (
-        base.filter(F.col("mes") == newest)
+        closed(base)
         .groupBy("mes")
         .agg(*_sums(), worst.alias("_worst"))
+        .orderBy(F.col("mes").desc())
+        .limit(1)
         .select(
             "mes", "receita", "despesa", "resultado", "variancia_despesa",
             F.col("_worst.conta_nome").alias("maior_estouro_conta"),
             F.col("_worst.centro_nome").alias("maior_estouro_centro"),
-            (-F.col("_worst")["col1"]).cast("decimal(18,2)").alias("maior_estouro"),
+            F.col("_worst.variancia").alias("maior_estouro"),
         )
     )
 

@@ -38,9 +38,13 @@ class Lake:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        """Each file's footer is read for its schema once per lake, not at every use."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._tables[name]
 
     def _supplier_of(self, customer: str) -> Column:
         suppliers = self.table("supplier").agg(F.count("*")).scalar()
