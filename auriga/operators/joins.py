@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auriga.sources.stored import store_once
+
 # About 20 MB of dimension rows at 200 bytes each.
 BROADCAST_ROWS = 100_000
 
@@ -34,12 +36,12 @@ def join_dimension(
 
 
 def widen(df: DataFrame) -> DataFrame:
-    """Spread costly per-row work when the scan has fewer partitions than the cluster has cores.
+    """Spread costly per-row work when the input has fewer files than the cluster has cores.
 
-    A table of many files already has more, and is left without a shuffle.
+    A table of many files is read in parallel as it is, and is left without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def global_rank(df: DataFrame, value: str, output: str) -> DataFrame:
@@ -47,12 +49,11 @@ def global_rank(df: DataFrame, value: str, output: str) -> DataFrame:
 
     Rows fall into buckets that keep the order of a positive value (sixteen per power
     of ten). Ranking runs inside each bucket; the rows in higher buckets are counted in
-    a table of at most a few hundred rows and added.
+    a table of at most a few hundred rows and added. The rows are stored first, as both
+    steps read them.
     """
-    from pyspark.sql import Window
-
     bucket = F.floor(F.log10(F.col(value).cast("double")) * 16).cast("int")
-    rows = df.withColumn("_bucket", bucket)
+    rows = store_once(df.withColumn("_bucket", bucket), "ranked")
     above = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("_bucket")

@@ -1,4 +1,8 @@
-"""The four cases as silver and gold tables over one lake. Each property builds a plan, nothing runs."""
+"""The four cases as silver and gold tables over one lake.
+
+A plain property builds a plan and runs nothing but size checks. A `stored_` one writes
+its table once under the shared folder, as a refresh would, for plans with several passes.
+"""
 
 from __future__ import annotations
 
@@ -10,9 +14,8 @@ from pyspark.sql import functions as F
 from auriga.operators import (
     audit, audit_rules, documents, features, finance, maintenance, procurement, retrieval, silver,
 )
-from auriga.plans.refresh import replace_table
-from auriga.session import scratch
 from auriga.sources.lake import Lake, pick
+from auriga.sources.stored import store_once
 
 
 class Cases:
@@ -26,6 +29,11 @@ class Cases:
         lake = self.lake
         return silver.enriched_orders(lake.purchase_orders(), lake.suppliers(), lake.purchase_categories())
 
+    @cached_property
+    def stored_orders(self) -> DataFrame:
+        """The silver orders written once, for plans that first look up the newest date or the biggest suppliers."""
+        return store_once(self.orders, "silver_pedidos")
+
     @cached_property
     def lines(self) -> DataFrame:
         return silver.priced_lines(self.lake.order_lines())
@@ -63,6 +71,11 @@ class Cases:
     def budget_base(self) -> DataFrame:
         return finance.budget_vs_actual(self.budget, self.actuals)
 
+    @cached_property
+    def stored_base(self) -> DataFrame:
+        """The budget base written once, for plans that read it more than once."""
+        return store_once(self.budget_base, "gold_orcado_vs_realizado")
+
     # maintenance
     @cached_property
     def assets(self) -> DataFrame:
@@ -84,6 +97,10 @@ class Cases:
     def daily(self) -> DataFrame:
         return maintenance.daily_telemetry(self.readings)
 
+    @cached_property
+    def stored_daily(self) -> DataFrame:
+        return store_once(self.daily, "gold_telemetria_resumo")
+
     @cached_property
     def health(self) -> DataFrame:
         return maintenance.asset_health(self.readings, self.assets)
@@ -116,7 +133,7 @@ class Cases:
 
         The rules that look across payments read them again, and so do the joins back.
         """
-        return self._stored(self.payments, "silver_transacoes")
+        return store_once(self.payments, "silver_transacoes")
 
     @cached_property
     def raised(self) -> DataFrame:
@@ -132,6 +149,10 @@ class Cases:
     def compliance(self) -> DataFrame:
         return audit.compliance_summary(self.stored_payments, self.raised)
 
+    @cached_property
+    def stored_compliance(self) -> DataFrame:
+        return store_once(self.compliance, "gold_resumo_compliance")
+
     # documents
     @cached_property
     def chunks(self) -> DataFrame:
@@ -154,7 +175,4 @@ class Cases:
     @cached_property
     def stored_labelled(self) -> DataFrame:
         """Labelled features written once: splitting, weighting, training and scoring each read them."""
-        return self._stored(self.labelled, "gold_features")
-
-    def _stored(self, df: DataFrame, name: str) -> DataFrame:
-        return replace_table(df, scratch(self.spark, name))
+        return store_once(self.labelled, "gold_features")

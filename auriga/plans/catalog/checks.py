@@ -13,14 +13,14 @@ SECOND_SNAPSHOT = "2000-12-31"
 
 def _orphans(c):
     lake = c.lake
-    contracted = c.orders.filter(F.col("contrato_id").isNotNull())
+    contracted = c.stored_orders.filter(F.col("contrato_id").isNotNull())
     checks = [
-        ("pedidos", c.orders, "id_fornecedor", lake.suppliers(), "id_fornecedor"),
-        ("pedidos", c.orders, "id_categoria", lake.purchase_categories(), "id_categoria"),
+        ("pedidos", c.stored_orders, "id_fornecedor", lake.suppliers(), "id_fornecedor"),
+        ("pedidos", c.stored_orders, "id_categoria", lake.purchase_categories(), "id_categoria"),
         ("pedidos", contracted, "contrato_id", lake.contracts(), "contrato_id"),
         ("contratos", lake.contracts(), "id_fornecedor", lake.suppliers(), "id_fornecedor"),
-        ("itens", c.lines, "id_pedido", c.orders, "id_pedido"),
-        ("recebimentos", c.receipts, "id_pedido", c.orders, "id_pedido"),
+        ("itens", c.lines, "id_pedido", c.stored_orders, "id_pedido"),
+        ("recebimentos", c.receipts, "id_pedido", c.stored_orders, "id_pedido"),
         ("orcamento", c.budget, "id_centro", c.centers, "id_centro"),
         ("orcamento", c.budget, "id_conta", c.accounts, "id_conta"),
         ("lancamentos", c.actuals, "id_centro", c.centers, "id_centro"),
@@ -28,9 +28,9 @@ def _orphans(c):
         ("leituras", c.readings, "id_ativo", c.assets, "id_ativo"),
         ("falhas", c.failures, "id_ativo", c.assets, "id_ativo"),
         ("ordens", c.work_orders, "id_ativo", c.assets, "id_ativo"),
-        ("transacoes", c.payments, "id_fornecedor", lake.suppliers(), "id_fornecedor"),
-        ("transacoes", c.payments, "id_aprovador", lake.approvers(), "id_aprovador"),
-        ("transacoes", c.payments, "id_solicitante", lake.approvers(), "id_aprovador"),
+        ("transacoes", c.stored_payments, "id_fornecedor", lake.suppliers(), "id_fornecedor"),
+        ("transacoes", c.stored_payments, "id_aprovador", lake.approvers(), "id_aprovador"),
+        ("transacoes", c.stored_payments, "id_solicitante", lake.approvers(), "id_aprovador"),
         ("achados", c.raised, "id_transacao", c.stored_payments, "id_transacao"),
         ("achados", c.raised, "id_regra", c.rules, "id_regra"),
         ("rotulos", lake.table("labels"), "doc_id", lake.table("documents"), "doc_id"),
@@ -222,8 +222,8 @@ def register(add_query) -> None:
     add(
         "s13_backlog_changes",
         lambda c: changes.change_feed(
-            changes.open_backlog(c.orders, c.receipts, FIRST_SNAPSHOT),
-            changes.open_backlog(c.orders, c.receipts, SECOND_SNAPSHOT),
+            changes.open_backlog(c.stored_orders, c.receipts, FIRST_SNAPSHOT),
+            changes.open_backlog(c.stored_orders, c.receipts, SECOND_SNAPSHOT),
             ["id_pedido"],
         ),
         """SELECT id_pedido, coalesce(a.razao_social, b.razao_social) AS razao_social,
@@ -295,7 +295,7 @@ def register(add_query) -> None:
 
     add(
         "q5_finance_signals",
-        lambda c: quality.finance_signals(c.budget_base),
+        lambda c: quality.finance_signals(c.stored_base),
         f"""SELECT t.*, p.* FROM (
               SELECT {spent('Receita')} AS receita, {spent('Despesa')} AS despesa, {spent('CAPEX')} AS capex,
                      CAST({spent('Receita')} - {spent('Despesa')} AS DECIMAL(28,2)) AS resultado,

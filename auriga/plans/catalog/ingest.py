@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from auriga.operators import quality
 from auriga.plans.catalog.checks import raw_tables
-from auriga.plans.refresh import CASES, refresh_bronze, refresh_case, replace_table
+from auriga.plans.refresh import CASES, refresh_bronze, refresh_case
 from auriga.session import scratch
 from auriga.sources import files
+from auriga.sources.stored import replace_table
 from auriga.streaming.tables import StreamTable, start_append
 from auriga.streaming.telemetry import daily_telemetry_stream
 

@@ -128,7 +128,7 @@ def register(add_query) -> None:
     )
     add(
         "b4_forecast_against_budget",
-        lambda c: kpis.forecast_against_budget(c.budget_base, HORIZON),
+        lambda c: kpis.forecast_against_budget(c.stored_base, HORIZON),
         f"""SELECT tipo, mes, orcado, realizado_forecast, {rnd('realizado_forecast - CAST(orcado AS DOUBLE)', 2)} AS diferenca,
                    {ratio('(realizado_forecast - CAST(orcado AS DOUBLE))', 'orcado')} AS diferenca_pct,
                    realizado_forecast >= CAST(orcado AS DOUBLE) AS atinge_orcado
@@ -153,25 +153,25 @@ def register(add_query) -> None:
     )
     add(
         "b7_procurement_month",
-        lambda c: kpis.procurement_month(c.orders, c.lines, c.receipts),
+        lambda c: kpis.procurement_month(c.stored_orders, c.lines, c.receipts),
         "SELECT * FROM t_month_cards",
     )
     add(
         "b7_procurement_month_sentence",
-        lambda c: kpis.procurement_sentence(kpis.procurement_month(c.orders, c.lines, c.receipts)),
+        lambda c: kpis.procurement_sentence(kpis.procurement_month(c.stored_orders, c.lines, c.receipts)),
         f"""SELECT mes, 'Em ' || strftime(mes, '%Y-%m') || ', o gasto foi de ' || {reais('gasto_total')}
               || ', com economia de ' || {percent('saving_pct')} || ' e OTIF de ' || {percent('otif_pct')} || '; '
               || pedidos_atrasados || ' pedidos recebidos com atraso.' AS resumo FROM t_month_cards""",
     )
     add(
         "b7_categories_of_month",
-        lambda c: kpis.top_categories_of_month(c.orders),
+        lambda c: kpis.top_categories_of_month(c.stored_orders),
         f"""SELECT categoria_nome, {tot('valor_total')} AS gasto, count(*) AS qtd_pedidos
             FROM t_newest_orders GROUP BY ALL""",
     )
     add(
         "b7_worst_delays_of_month",
-        lambda c: kpis.worst_delays(c.orders, c.receipts),
+        lambda c: kpis.worst_delays(c.stored_orders, c.receipts),
         """SELECT * FROM t_late WHERE mes = (SELECT max(mes) FROM t_late)
            ORDER BY dias_atraso DESC, id_pedido LIMIT 5""",
     )
@@ -182,7 +182,7 @@ def register(add_query) -> None:
     )
     add(
         "b8_top_suppliers",
-        lambda c: kpis.top_suppliers(c.orders, c.receipts),
+        lambda c: kpis.top_suppliers(c.stored_orders, c.receipts),
         f"""SELECT t.*, lead_time_medio_dias, otif_pct
             FROM (SELECT id_fornecedor, razao_social, {tot('valor_total')} AS gasto_total, count(*) AS qtd_pedidos
                   FROM t_orders GROUP BY ALL ORDER BY gasto_total DESC, id_fornecedor LIMIT 10) t
@@ -190,7 +190,7 @@ def register(add_query) -> None:
     )
     add(
         "b8_overdue_orders",
-        lambda c: kpis.overdue_orders(c.orders, c.receipts),
+        lambda c: kpis.overdue_orders(c.stored_orders, c.receipts),
         """SELECT id_pedido, data_prometida,
                   CAST((SELECT max(data_pedido) FROM t_orders) - data_prometida AS BIGINT) AS dias_vencidos,
                   razao_social, categoria_nome, centro, status, valor_total
@@ -213,7 +213,7 @@ def register(add_query) -> None:
     )
     add(
         "b9_revenue_with_forecast",
-        lambda c: kpis.revenue_with_forecast(finance.monthly_revenue(c.budget_base), HORIZON),
+        lambda c: kpis.revenue_with_forecast(finance.monthly_revenue(c.stored_base), HORIZON),
         """SELECT mes, 'historico' AS serie, CAST(receita_realizada AS DOUBLE) AS valor, CAST(NULL AS DOUBLE) AS superior,
                   CAST(NULL AS DOUBLE) AS inferior FROM t_revenue WHERE receita_realizada IS NOT NULL
            UNION ALL SELECT mes, 'projecao', receita_realizada_forecast, receita_realizada_upper,
@@ -260,7 +260,7 @@ def register(add_query) -> None:
     )
     add(
         "b11_audit_cards",
-        lambda c: kpis.audit_cards(c.findings, c.compliance),
+        lambda c: kpis.audit_cards(c.findings, c.stored_compliance),
         f"""SELECT f.*, l.* FROM (
               SELECT count(*) AS total_achados,
                      count(*) FILTER (WHERE severidade = 'Alta' AND status_achado IN ('Aberto', 'Em análise'))
@@ -283,14 +283,14 @@ def register(add_query) -> None:
 
     add(
         "b12_spend_last_six_months",
-        lambda c: questions.spend_in_last_months(c.orders),
+        lambda c: questions.spend_in_last_months(c.stored_orders),
         f"""SELECT categoria_nome, centro, {tot('valor_total')} AS gasto, count(*) AS qtd_pedidos FROM t_orders
             WHERE {month('data_pedido')} >= (SELECT {month('max(data_pedido)')} FROM t_orders) - INTERVAL 5 MONTH
             GROUP BY ALL""",
     )
     add(
         "b12_spend_of_category_and_site",
-        lambda c: questions.spend_in_last_months(c.orders, 6, "URGENT", "AFRICA"),
+        lambda c: questions.spend_in_last_months(c.stored_orders, 6, "URGENT", "AFRICA"),
         f"""SELECT categoria_nome, centro, {tot('valor_total')} AS gasto, count(*) AS qtd_pedidos FROM t_orders
             WHERE {month('data_pedido')} >= (SELECT {month('max(data_pedido)')} FROM t_orders) - INTERVAL 5 MONTH
               AND categoria_nome = 'URGENT' AND centro = 'AFRICA' GROUP BY ALL""",
@@ -323,7 +323,7 @@ def register(add_query) -> None:
     )
     add(
         "b13_variance_by_center_of_year",
-        lambda c: kpis.variance_by_center(questions.base_of_year(c.budget_base)),
+        lambda c: kpis.variance_by_center(questions.base_of_year(c.stored_base)),
         f"""{center_sql} AND year(mes) = (SELECT year(max(mes)) FROM t_base WHERE valor_realizado IS NOT NULL)
             GROUP BY ALL""",
     )
@@ -358,7 +358,7 @@ def register(add_query) -> None:
     )
     add(
         "b14_rising_vibration",
-        lambda c: questions.rising_vibration(c.daily),
+        lambda c: questions.rising_vibration(c.stored_daily),
         f"""SELECT * FROM (
               SELECT id_ativo, tag, {rnd("regr_slope(vib_media, dia - DATE '1970-01-01')", 4)} AS inclinacao,
                      count(*) AS dias
@@ -377,7 +377,9 @@ def register(add_query) -> None:
     )
     add(
         "b15_violations_of_last_quarter",
-        lambda c: questions.violations_of_last_quarter(audit.limit_violations(c.payments), c.payments),
+        lambda c: questions.violations_of_last_quarter(
+            audit.limit_violations(c.stored_payments), c.stored_payments
+        ),
         """SELECT id_transacao, data_transacao, area, aprovador_nome, aprovador_cargo, alcada_limite, valor,
                   CAST(valor - alcada_limite AS DECIMAL(18,2)) AS valor_excedente, razao_social AS fornecedor, status
            FROM t_payments WHERE acima_alcada
@@ -385,7 +387,7 @@ def register(add_query) -> None:
     )
     add(
         "b15_conformity_by_area",
-        lambda c: questions.conformity_by_area(c.compliance),
+        lambda c: questions.conformity_by_area(c.stored_compliance),
         "SELECT area, mes, qtd_transacoes, pct_conformidade FROM t_newest_compliance",
     )
 

@@ -101,8 +101,8 @@ def register(add) -> None:
             f"SELECT {finding} FROM t_single WHERE id_regra = '{rule}'",
         )
     add("x7_split_clusters", lambda c: audit_rules.split_clusters(c.payments), "SELECT * FROM t_clusters")
-    add("x7_split_payments", lambda c: audit_rules.split_findings(c.payments), "SELECT * FROM t_split")
-    add("x8_duplicate_payments", lambda c: audit_rules.duplicate_findings(c.payments), "SELECT * FROM t_repeats")
+    add("x7_split_payments", lambda c: audit_rules.split_findings(c.stored_payments), "SELECT * FROM t_split")
+    add("x8_duplicate_payments", lambda c: audit_rules.duplicate_findings(c.stored_payments), "SELECT * FROM t_repeats")
     add(
         "x10_findings",
         lambda c: c.raised,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from auriga.operators import audit, finance, maintenance, procurement, silver
 from auriga.sources.files import stream_csv
+from auriga.sources.stored import replace_table
 from auriga.streaming.tables import StreamTable
 
 Tables = dict[str, DataFrame]
@@ -134,12 +135,6 @@ def refresh_gold(spark: SparkSession, case: str, root: str, tables: Tables) -> T
     return tables
 
 
-def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Create or replace: running it again gives the same table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def refresh_case(
     spark: SparkSession, case: str, raw: str, root: str, full: bool = False,
     source: Callable[[str, str], tuple[str, str]] = raw_source,

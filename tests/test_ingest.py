@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from auriga.plans.refresh import refresh_case, replace_table
+from auriga.plans.refresh import refresh_case
 from auriga.sources import files
+from auriga.sources.stored import replace_table
 from auriga.streaming.tables import StreamTable
 from auriga.streaming.telemetry import first_of_each
 
