@@ -12,8 +12,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,35 +131,40 @@ def semantic_top_k(queries: DataFrame, corpus: DataFrame, k: int = 4, query_rows
     return top_k(queries.select("id_consulta", "vetor"), corpus.select("id", "vetor"), cosine, k, query_rows)
 
 
+def hashed_cosine(bits: int, tables: int, seed: int = 7) -> Scorer:
+    """Cosine for the pairs that share a random-hyperplane signature in some table; others are no candidates."""
+
+    def scorer(queries: pd.DataFrame) -> Callable[[pd.DataFrame], np.ndarray]:
+        wanted = _unit(np.stack(queries["vetor"].to_numpy()).astype(float))
+        planes = np.random.default_rng(seed).normal(size=(tables, bits, wanted.shape[1]))
+        powers = 2 ** np.arange(bits)
+
+        def signatures(units: np.ndarray) -> np.ndarray:
+            return (np.einsum("tbd,nd->tnb", planes, units) > 0) @ powers
+
+        asked = signatures(wanted)
+
+        def score(texts: pd.DataFrame) -> np.ndarray:
+            known = _unit(np.stack(texts["vetor"].to_numpy()).astype(float))
+            near = np.zeros((len(wanted), len(known)), dtype=bool)
+            for mine, theirs in zip(asked, signatures(known)):
+                near |= mine[:, None] == theirs[None, :]
+            query, text = np.nonzero(near)
+            scores = np.full(near.shape, np.nan)
+            scores[query, text] = np.einsum("nd,nd->n", wanted[query], known[text])
+            return scores
+
+        return score
+
+    return scorer
+
+
 def approximate_top_k(
-    queries: DataFrame, corpus: DataFrame, k: int = 4, reach: float = 1.2, bucket: float = 1.0, tables: int = 6
+    queries: DataFrame, corpus: DataFrame, k: int = 4, bits: int = 6, tables: int = 10, query_rows: int = QUERY_ROWS
 ) -> DataFrame:
-    """Nearest unit vectors by random-projection hashing; may miss neighbours, never invents them.
-
-    `reach` is the largest distance between unit vectors that counts as near.
-    """
-    def hashed(df: DataFrame, key: str) -> DataFrame:
-        length = F.sqrt(F.aggregate("vetor", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-        unit = df.select(key, F.col("vetor").alias("_v"), length.alias("_l")).filter(F.col("_l") > 0)
-        return unit.select(
-            key, array_to_vector(F.transform("_v", lambda x: x.cast("double") / F.col("_l"))).alias("unit")
-        )
-
-    asked, known = hashed(queries, "id_consulta"), hashed(corpus, "id")
-    model = BucketedRandomProjectionLSH(
-        inputCol="unit", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=7
-    ).fit(known)
-    pairs = model.approxSimilarityJoin(asked, known, reach, distCol="distance").select(
-        F.col("datasetA.id_consulta").alias("id_consulta"),
-        F.col("datasetB.id").alias("id"),
-        F.round(1 - F.col("distance") * F.col("distance") / 2, DIGITS).alias("score"),
-    )
-    place = Window.partitionBy("id_consulta").orderBy(F.col("score").desc(), "id")
-    return (
-        pairs.withColumn("posicao", F.row_number().over(place).cast("bigint"))
-        .filter(F.col("posicao") <= k)
-        .select("id_consulta", "posicao", "id", "score")
-    )
+    """Nearest texts among hash matches only: fewer products, may miss neighbours, never misstates a score."""
+    scorer = hashed_cosine(bits, tables)
+    return top_k(queries.select("id_consulta", "vetor"), corpus.select("id", "vetor"), scorer, k, query_rows)
 
 
 def label_centers(vectors: DataFrame, size: int) -> DataFrame:

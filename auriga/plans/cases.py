@@ -141,6 +141,10 @@ class Cases:
         reviewed = pick(audit_rules.STATUSES, F.col("id_transacao"))
         return audit_rules.raise_findings(self.stored_payments).withColumn("status_achado", reviewed)
 
+    @cached_property
+    def stored_raised(self) -> DataFrame:
+        return store_once(self.raised, "achados_auditoria")
+
     @cached_property
     def findings(self) -> DataFrame:
         return silver.enriched_findings(self.raised, self.rules, self.stored_payments)
@@ -151,7 +155,8 @@ class Cases:
 
     @cached_property
     def stored_compliance(self) -> DataFrame:
-        return store_once(self.compliance, "gold_resumo_compliance")
+        summary = audit.compliance_summary(self.stored_payments, self.stored_raised)
+        return store_once(summary, "gold_resumo_compliance")
 
     # documents
     @cached_property

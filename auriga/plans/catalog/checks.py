@@ -31,8 +31,8 @@ def _orphans(c):
         ("transacoes", c.stored_payments, "id_fornecedor", lake.suppliers(), "id_fornecedor"),
         ("transacoes", c.stored_payments, "id_aprovador", lake.approvers(), "id_aprovador"),
         ("transacoes", c.stored_payments, "id_solicitante", lake.approvers(), "id_aprovador"),
-        ("achados", c.raised, "id_transacao", c.stored_payments, "id_transacao"),
-        ("achados", c.raised, "id_regra", c.rules, "id_regra"),
+        ("achados", c.stored_raised, "id_transacao", c.stored_payments, "id_transacao"),
+        ("achados", c.stored_raised, "id_regra", c.rules, "id_regra"),
         ("rotulos", lake.table("labels"), "doc_id", lake.table("documents"), "doc_id"),
     ]
     return quality.stack([quality.orphan_count(*check) for check in checks])

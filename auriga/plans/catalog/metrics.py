@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from auriga.functions import lookups
-from auriga.operators import audit, finance, metrics, procurement
+from auriga.operators import audit, finance, metrics, procurement, silver
 from auriga.operators.forecast import forecast
 from auriga.plans import kpis, questions
 from auriga.plans.oracle_tables import brl, month, pct_true, ratio, rnd, tot, tot_where
@@ -260,7 +260,9 @@ def register(add_query) -> None:
     )
     add(
         "b11_audit_cards",
-        lambda c: kpis.audit_cards(c.findings, c.stored_compliance),
+        lambda c: kpis.audit_cards(
+            silver.enriched_findings(c.stored_raised, c.rules, c.stored_payments), c.stored_compliance
+        ),
         f"""SELECT f.*, l.* FROM (
               SELECT count(*) AS total_achados,
                      count(*) FILTER (WHERE severidade = 'Alta' AND status_achado IN ('Aberto', 'Em análise'))
