@@ -116,6 +116,47 @@ def series_readiness(observed: DataFrame, time_col: str, value_col: str, needed:
     )
 
 
+def maintenance_coverage(assets: DataFrame, failures: DataFrame, work_orders: DataFrame) -> DataFrame:
+    """One row: assets and their kinds, failures and the assets that failed, orders by kind and their cost."""
+    known = assets.agg(
+        F.count("*").alias("ativos"),
+        F.count_distinct("tipo").alias("tipos"),
+        count_where(F.col("criticidade") == "Alta").alias("ativos_criticidade_alta"),
+    )
+    failed = failures.groupBy("id_ativo").agg(F.count("*").alias("_n")).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("falhas"),
+        F.count("*").alias("ativos_com_falha"),
+        count_where(F.col("_n") == 2).alias("ativos_com_duas_falhas"),
+    )
+    orders = work_orders.agg(
+        count_where(F.col("tipo_ordem") == "Corretiva").alias("ordens_corretivas"),
+        count_where(F.col("tipo_ordem") == "Preventiva").alias("ordens_preventivas"),
+        total("custo").alias("custo_total"),
+    )
+    return side_by_side(known, failed, orders)
+
+
+def audit_signals(payments: DataFrame, vendors: DataFrame) -> DataFrame:
+    """One row: how often payments break a rule, and how many vendors are of each kind."""
+    flags = {
+        "acima_alcada": F.col("acima_alcada"),
+        "sod": F.col("sod_violado"),
+        "sem_categoria": F.col("sem_categoria"),
+        "sem_contrato": ~F.col("fornecedor_possui_contrato"),
+    }
+    broken = payments.agg(
+        F.count("*").alias("transacoes"),
+        *[count_where(flag).alias(f"qtd_{name}") for name, flag in flags.items()],
+        *[share_true(flag).alias(f"pct_{name}") for name, flag in flags.items()],
+    )
+    kinds = vendors.agg(
+        count_where(~F.col("possui_contrato")).alias("fornecedores_sem_contrato"),
+        count_where(F.col("situacao_cadastral") == "Irregular").alias("fornecedores_irregulares"),
+        count_where(F.col("parte_relacionada")).alias("fornecedores_parte_relacionada"),
+    )
+    return side_by_side(broken, kinds)
+
+
 def findings_by_severity(findings: DataFrame) -> DataFrame:
     return findings.groupBy("severidade").agg(
         F.count("*").alias("qtd_achados"), total("valor_em_risco").alias("valor_em_risco")

@@ -335,6 +335,36 @@ def register(add_query) -> None:
         """SELECT n_falhas, count(*) AS ativos
            FROM (SELECT count(*) AS n_falhas FROM t_failures GROUP BY id_ativo) GROUP BY 1""",
     )
+    add(
+        "q8_maintenance_coverage",
+        lambda c: quality.maintenance_coverage(c.assets, c.failures, c.work_orders),
+        f"""SELECT a.*, f.*, w.* FROM (
+              SELECT count(*) AS ativos, count(DISTINCT tipo) AS tipos,
+                     count(*) FILTER (WHERE criticidade = 'Alta') AS ativos_criticidade_alta FROM t_assets) a,
+             (SELECT CAST(sum(n) AS BIGINT) AS falhas, count(*) AS ativos_com_falha,
+                     count(*) FILTER (WHERE n = 2) AS ativos_com_duas_falhas
+              FROM (SELECT count(*) AS n FROM t_failures GROUP BY id_ativo)) f,
+             (SELECT count(*) FILTER (WHERE tipo_ordem = 'Corretiva') AS ordens_corretivas,
+                     count(*) FILTER (WHERE tipo_ordem = 'Preventiva') AS ordens_preventivas,
+                     {tot('custo')} AS custo_total FROM t_work) w""",
+    )
+    signals = {
+        "acima_alcada": "acima_alcada", "sod": "sod_violado", "sem_categoria": "sem_categoria",
+        "sem_contrato": "NOT fornecedor_possui_contrato",
+    }
+    add(
+        "q8_audit_signals",
+        lambda c: quality.audit_signals(c.payments, c.lake.suppliers()),
+        f"""SELECT p.*, v.* FROM (
+              SELECT count(*) AS transacoes,
+                     {', '.join(f'count(*) FILTER (WHERE {flag}) AS qtd_{name}' for name, flag in signals.items())},
+                     {', '.join(f'{pct_true(flag)} AS pct_{name}' for name, flag in signals.items())}
+              FROM t_payments) p,
+             (SELECT count(*) FILTER (WHERE NOT possui_contrato) AS fornecedores_sem_contrato,
+                     count(*) FILTER (WHERE situacao_cadastral = 'Irregular') AS fornecedores_irregulares,
+                     count(*) FILTER (WHERE parte_relacionada) AS fornecedores_parte_relacionada
+              FROM t_suppliers) v""",
+    )
     keyed = [
         ("pedidos", "purchase_orders", "orders", ["id_pedido", "id_fornecedor"], "t_orders"),
         ("itens", "order_lines", "lines", ["id_pedido", "id_item"], "t_lines"),

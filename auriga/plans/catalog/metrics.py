@@ -180,6 +180,13 @@ def register(add_query) -> None:
         lambda c: kpis.procurement_cards(c.orders, c.lines, c.receipts),
         "SELECT * FROM t_cards",
     )
+    for key, column in [("category", "categoria_nome"), ("site", "centro"), ("month", "mes")]:
+        add(
+            f"b8_spend_by_{key}",
+            lambda c, column=column: kpis.spend_by(c.orders, column),
+            f"""SELECT {month('data_pedido') + ' AS mes' if column == 'mes' else column}, {tot('valor_total')} AS gasto,
+                       count(*) AS qtd_pedidos FROM t_orders GROUP BY 1""",
+        )
     add(
         "b8_top_suppliers",
         lambda c: kpis.top_suppliers(c.stored_orders, c.receipts),
@@ -219,6 +226,7 @@ def register(add_query) -> None:
            UNION ALL SELECT mes, 'projecao', receita_realizada_forecast, receita_realizada_upper,
                             receita_realizada_lower FROM t_revenue_forecast""",
     )
+    add("b9_budget_and_actual_by_month", lambda c: kpis.type_series(c.budget_base), "SELECT * FROM t_types")
     add(
         "b9_overrun_ranking",
         lambda c: finance.top_overruns(c.budget_base).orderBy("posicao", "id_conta", "id_centro").limit(10),
@@ -275,6 +283,12 @@ def register(add_query) -> None:
         f"""SELECT mes, CAST(sum(qtd_achados) AS BIGINT) AS qtd_achados, {tot('valor_em_risco')} AS valor_em_risco,
                    {CONFORMITY} AS pct_conformidade FROM t_compliance GROUP BY mes""",
     )
+    add(
+        "b11_uncontracted_by_area",
+        lambda c: kpis.uncontracted_by_area(audit.uncontracted_spend(c.payments)),
+        f"""SELECT area, CAST(sum(qtd_transacoes) AS BIGINT) AS qtd_transacoes, {tot('valor_total')} AS valor_total,
+                   {tot('valor_acima_limite')} AS valor_acima_limite FROM t_uncontracted GROUP BY 1""",
+    )
     add(
         "b11_uncontracted_ranking",
         lambda c: kpis.uncontracted_ranking(audit.uncontracted_spend(c.payments)),

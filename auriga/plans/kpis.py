@@ -49,6 +49,15 @@ def procurement_cards(orders: DataFrame, lines: DataFrame, receipts: DataFrame)
     return side_by_side(spend, saving, delivered)
 
 
+def spend_by(orders: DataFrame, *columns: str) -> DataFrame:
+    """Spend and order count by any silver columns; `mes` is the order month."""
+    return (
+        orders.withColumn("mes", month_of("data_pedido"))
+        .groupBy(*columns)
+        .agg(total("valor_total").alias("gasto"), F.count("*").alias("qtd_pedidos"))
+    )
+
+
 def latest_month(orders: DataFrame) -> Column:
     return orders.agg(month_of(F.max("data_pedido"))).scalar()
 
@@ -314,6 +323,14 @@ def monthly_compliance(compliance: DataFrame) -> DataFrame:
     )
 
 
+def uncontracted_by_area(uncontracted: DataFrame) -> DataFrame:
+    return uncontracted.groupBy("area").agg(
+        F.sum("qtd_transacoes").alias("qtd_transacoes"),
+        total("valor_total").alias("valor_total"),
+        total("valor_acima_limite").alias("valor_acima_limite"),
+    )
+
+
 def uncontracted_ranking(uncontracted: DataFrame, n: int = 10) -> DataFrame:
     return (
         uncontracted.groupBy("id_fornecedor", "razao_social")
