@@ -94,24 +94,20 @@ def single_payment_rules() -> dict[str, tuple[Column, Column, Column]]:
 
 
 def payment_findings(payments: DataFrame, rules: list[str] | None = None) -> DataFrame:
-    """All single-payment rules in one scan: at most one finding per rule and payment."""
+    """All single-payment rules in one scan: at most one finding per rule and payment.
+
+    The wording is added after the rules are unfolded, so a plan that only counts never formats it.
+    """
     chosen = {k: v for k, v in single_payment_rules().items() if rules is None or k in rules}
     raised = F.array(
         *[
-            F.when(
-                condition,
-                F.struct(
-                    F.lit(rule).alias("id_regra"),
-                    amount(risk).alias("valor_em_risco"),
-                    wording.alias("descricao"),
-                ),
-            )
-            for rule, (condition, risk, wording) in chosen.items()
+            F.when(condition, F.struct(F.lit(rule).alias("id_regra"), amount(risk).alias("valor_em_risco")))
+            for rule, (condition, risk, _) in chosen.items()
         ]
     )
-    return payments.select(
-        "id_transacao", F.col("data_transacao").alias("data_deteccao"), F.inline(F.array_compact(raised))
-    ).select(*FINDING)
+    text = F.coalesce(*[F.when(F.col("id_regra") == rule, wording) for rule, (_, _, wording) in chosen.items()])
+    found = payments.select("*", F.inline(F.array_compact(raised)))
+    return found.withColumns({"data_deteccao": F.col("data_transacao"), "descricao": text}).select(*FINDING)
 
 
 def split_clusters(payments: DataFrame) -> DataFrame:
