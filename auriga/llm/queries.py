@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auriga.llm import chat, exact_dedup, fingerprint, mixing, simhash
+from auriga.llm import chat, exact_dedup, fingerprint, mixing, packing, secret_scan, simhash, toxicity
 from auriga.llm.common import read
 
 
@@ -24,11 +27,44 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secrets(read(spark, sf_dir, "documents"))
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] != "literal")
+    return found.select(
+        "doc_id",
+        of("assign").alias("n_assign"),
+        of("access").alias("n_access"),
+        of("hex").alias("n_hex"),
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def byte_bpe() -> Callable[[str], np.ndarray]:
+    """The public 50k byte-level vocabulary, loaded in each task from the executor's own installation."""
+    import public_tokenizers
+
+    path = public_tokenizers.path
+    return packing.tokenizer(path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, path("byte_bpe_50k.json"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), byte_bpe)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.draws(read(spark, sf_dir, "documents"))
     taken = F.aggregate("draws", F.lit(0).cast("bigint"), lambda total, d: total + d["taken"])
@@ -62,7 +98,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_fingerprints, op3_exact_dedup, op7_mixing, op8_simhash, op9_chat)
+    for query in (
+        op1_fingerprints, op2_secrets, op3_exact_dedup, op5_toxicity, op6_packing, op7_mixing, op8_simhash, op9_chat,
+    )
 }
 
 ORACLE_SQL = {
