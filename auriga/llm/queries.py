@@ -8,7 +8,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auriga.llm import chat, exact_dedup, fingerprint, mixing, packing, secret_scan, simhash, toxicity
+from auriga.llm import (
+    chat, exact_dedup, fingerprint, hidden_markov, link_graph, mixing, packing, secret_scan, simhash, toxicity,
+)
 from auriga.llm.common import read
 
 
@@ -49,6 +51,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.scores(read(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -96,14 +102,72 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_graph.judge(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_fingerprints, op2_secrets, op3_exact_dedup, op5_toxicity, op6_packing, op7_mixing, op8_simhash, op9_chat,
+        op1_fingerprints, op2_secrets, op3_exact_dedup, op4_hidden_markov, op5_toxicity, op6_packing,
+        op7_mixing, op8_simhash, op9_chat, op10_link_graph,
     )
 }
 
+def link_graph_sql(rounds: int = link_graph.ROUNDS) -> str:
+    """The twin of op10, its rounds unrolled."""
+    steps = "".join(
+        f"""
+        , r{n} AS MATERIALIZED (
+            SELECT h.host, 0.15::DOUBLE * h.trusted + 0.85::DOUBLE * coalesce(sum(m.trust * p.trust), 0) AS trust,
+                   0.15::DOUBLE * h.distrusted + 0.85::DOUBLE * coalesce(sum(m.distrust * p.distrust), 0) AS distrust
+            FROM hosts h LEFT JOIN messages m ON m.receiver = h.host LEFT JOIN r{n - 1} p ON p.host = m.sender
+            GROUP BY h.host, h.trusted, h.distrusted
+        )"""
+        for n in range(1, rounds + 1)
+    )
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+        WITH parsed AS (
+            SELECT page_id, html, {lower.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages
+        ), rules(rule, verdict, rule_host, rule_path) AS (
+            VALUES ('net/', 'block', 'net', '/'), ('example.net/en/', 'allow', 'example.net', '/en/'),
+                   ('example.com/de/', 'block', 'example.com', '/de/'), ('org/fr/', 'allow', 'org', '/fr/')
+        ), ruled AS (
+            SELECT *, (SELECT arg_max(struct_pack(rule := rule, verdict := verdict), len(rule)) FROM rules
+                       WHERE (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)) AS r
+            FROM parsed p
+        ), links AS (
+            SELECT DISTINCT source, {lower.format("regexp_extract(CASE WHEN link LIKE '//%' THEN 'http:' || link ELSE link END, '(?s)^.*?://([^/?#]*)', 1)")} AS target
+            FROM (SELECT host AS source, unnest(regexp_extract_all(coalesce(html, ''),
+                  '(?i)<a\\s[^>]*?href\\s*=\\s*["'']?((?:https?:)?//[^"''\\s>]+)', 1)) AS link FROM parsed)
+        ), edges AS (
+            SELECT * FROM links WHERE source <> '' AND target <> '' AND source <> target
+        ), messages AS (
+            SELECT source AS sender, target AS receiver, 1.0::DOUBLE / count(*) OVER (PARTITION BY source) AS trust,
+                   0.0::DOUBLE AS distrust FROM edges
+            UNION ALL
+            SELECT target, source, 0.0::DOUBLE, 1.0::DOUBLE / count(*) OVER (PARTITION BY target) FROM edges
+        ), hosts AS (
+            SELECT host, max(trusted) AS trusted, max(distrusted) AS distrusted FROM (
+                SELECT host, avg(CASE WHEN r.verdict = 'allow' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS trusted,
+                       avg(CASE WHEN r.verdict = 'block' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS distrusted
+                FROM ruled GROUP BY host
+                UNION ALL SELECT receiver, 0.0::DOUBLE, 0.0::DOUBLE FROM messages
+            ) GROUP BY host
+        ), r0 AS MATERIALIZED (
+            SELECT host, 0.15::DOUBLE * trusted AS trust, 0.15::DOUBLE * distrusted AS distrust FROM hosts
+        ){steps}
+        SELECT p.page_id, p.host, p.path, p.r.rule AS rule,
+               coalesce(p.r.verdict, CASE WHEN s.distrust > s.trust + 0.15::DOUBLE * 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM ruled p JOIN r{rounds} s ON s.host = p.host
+    """
+
+
 ORACLE_SQL = {
+    "op10_link_graph": link_graph_sql(),
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
