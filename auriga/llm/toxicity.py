@@ -6,13 +6,14 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from auriga.llm.common import crc_fold, keep, text_of
 
@@ -54,20 +55,39 @@ def toxicity(
 
     Lexicon and trees are bounded by their parameters, so scoring is one pass without a shuffle.
     """
-    rows = documents.select(F.col(id_column).cast("bigint").alias("doc_id"), text_of(text_column).alias("text"))
-    rows = rows.withColumn("held_out", crc_fold("doc_id", FOLDS) == 0)
+    rows = _rows(documents, id_column, text_column)
+    return judged(rows, labels, fit_rows, ["doc_id", "held_out"])
+
+
+def accepted(
+    documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    fit_rows: int = FIT_ROWS,
+) -> DataFrame:
+    """The documents not predicted toxic, with all their columns. No join: rows carry their columns along."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    rows = _rows(documents, id_column, text_column, whole)
+    return judged(rows, labels, fit_rows, ["row"]).filter("predicted = 0").select("row.*")
+
+
+def judged(rows: DataFrame, labels: DataFrame, fit_rows: int, kept: list[str]) -> DataFrame:
+    """The kept columns, score and predicted."""
     sample = labelled(rows, labels, fit_rows)
     counts = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
     if len(counts) < 2:
-        constant = 1.0 if counts.get(1.0) else 0.0
-        scored = rows.select("doc_id", "held_out", F.lit(constant).alias("score"))
+        scored = rows.select(*kept, F.lit(1.0 if counts.get(1.0) else 0.0).alias("score"))
     else:
         lexicon = learn_lexicon(sample.filter(~F.col("calibrates")))
         trees, curve = fit(sample, lexicon)
-        scored = score(features(rows, lexicon, ["doc_id", "held_out"]), trees, curve)
+        scored = score(features(rows, lexicon, kept), trees, curve, kept)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def _rows(documents: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
+    text = text_of(text_column).alias("text")
+    rows = documents.select(F.col(id_column).cast("bigint").alias("doc_id"), text, *[m.alias("row") for m in more])
+    return rows.withColumn("held_out", crc_fold("doc_id", FOLDS) == 0)
+
+
 def labelled(rows: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
     """The rows to fit on, with label and calibrates."""
     order = F.xxhash64(F.lit(11), "doc_id")
@@ -142,17 +162,17 @@ def features_of(text: str, lexicon: dict[str, float]) -> list[float]:
 
 
 def features(rows: DataFrame, lexicon: dict[str, float], kept: list[str]) -> DataFrame:
-    """The kept columns and FEATURES; the lexicon goes along with the function."""
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([f"{c} {kinds[c]}" for c in kept] + [f"{name} double" for name in FEATURES])
+    """The kept columns as they are, and FEATURES of `text`; the lexicon goes along with the function."""
+    fields = [*rows.select(*kept).schema.fields, *(StructField(name, DoubleType()) for name in FEATURES)]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([features_of(t, lexicon) for t in batch["text"]], dtype=float).reshape(-1, len(FEATURES))
-            out = batch[kept].reset_index(drop=True)
-            yield pd.concat([out, pd.DataFrame(values, columns=list(FEATURES))], axis=1)
+            texts = batch.column("text").to_pylist()
+            values = np.array([features_of(t, lexicon) for t in texts], dtype=float).reshape(-1, len(FEATURES))
+            columns = [batch.column(c) for c in kept] + [pa.array(values[:, i]) for i in range(len(FEATURES))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *FEATURES])
 
-    return rows.select(*kept, "text").mapInPandas(run, schema)
+    return rows.select(*kept, *([] if "text" in kept else ["text"])).mapInArrow(run, StructType(fields))
 
 
 def fit(sample: DataFrame, lexicon: dict[str, float]) -> tuple[GBTClassificationModel, IsotonicRegressionModel]:
@@ -167,10 +187,10 @@ def fit(sample: DataFrame, lexicon: dict[str, float]) -> tuple[GBTClassification
     return trees, IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="prediction_iso").fit(raw)
 
 
-def score(dense: DataFrame, trees: GBTClassificationModel, curve: IsotonicRegressionModel) -> DataFrame:
-    """doc_id, held_out, score. The calibrated value decides; the trees' own breaks its ties in rank."""
+def score(dense: DataFrame, trees: GBTClassificationModel, curve: IsotonicRegressionModel, kept: list[str]) -> DataFrame:
+    """The kept columns and score. The calibrated value decides; the trees' own breaks its ties in rank."""
     dense = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(dense)
     raw = trees.transform(dense).withColumn("raw", vector_to_array("probability")[1])
     calibrated = curve.transform(raw)
     value = 0.999 * F.least(F.greatest("prediction_iso", F.lit(0.0)), F.lit(1.0)) + 0.001 * F.col("raw")
-    return calibrated.select("doc_id", "held_out", value.alias("score"))
+    return calibrated.select(*kept, value.alias("score"))
