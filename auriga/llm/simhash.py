@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auriga.llm.common import cut, keep, text_of
+from auriga.llm.common import ascii_lower, cut, keep, let, split_words, text_of
 
 SEED = 42
 # The pivots: one reference fingerprint, and one more for each run of WIDTH bits, with that run flipped.
@@ -150,14 +150,16 @@ def near_groups(
     return rows.join(per_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-# For copies with a few edits: fingerprints of the set of words, under several seeds, find candidates; a
-# longer sketch of five-word shingles decides. A Jaccard similarity s of shingles is a cosine of 2s / (1 + s),
-# whose angle gives the share of bits that differ: 77 of 512 for 0.8. Half a standard deviation is added.
+# For copies with a few edits: fingerprints of the set of words, under several seeds, find candidates. A
+# longer sketch of five-word shingles settles most: a Jaccard similarity s of shingles is a cosine of
+# 2s / (1 + s), whose angle gives the share of bits that differ, 77 of 512 for 0.8. At most SURE bits count as
+# similar, more than DOUBT as not, three standard deviations off; the shingles themselves decide between.
 SEEDS = 6
 NEAR_RADIUS = 3
 SKETCH = 8
 NEAR_SHINGLE = 5
-SKETCH_BITS = 81
+SIMILAR = 0.8
+SURE, DOUBT = 54, 104
 
 
 def sketches(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -186,8 +188,8 @@ def sketches(documents: DataFrame, id_column: str = "doc_id", text_column: str =
 def near_distinct(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each group of near copies (smallest id), all columns; documents without one stay as they are.
 
-    Texts link if one of their fingerprints is at most NEAR_RADIUS bits apart and their sketches differ in at
-    most SKETCH_BITS; groups are what links reach. Texts without words are one group; a null text is
+    Texts link if one of their fingerprints is at most NEAR_RADIUS bits apart and their five-word shingles have
+    a Jaccard similarity of SIMILAR or more; groups are what links reach. Texts without words are one group; a null text is
     empty; a null id sorts before all others; repeated rows are one group. An empty table stays empty.
 
     Texts of equal fingerprints are hung on the first of them, so a large group of copies gives one link per
@@ -200,23 +202,22 @@ def near_distinct(documents: DataFrame, id_column: str = "doc_id", text_column:
     )
     hung = (
         each.join(heads, ["seed", "fingerprint"])
-        .filter((F.col("row") != F.col("head")) & (_bits_apart("sketch", "head_sketch") <= SKETCH_BITS))
-        .select(F.col("head").alias("a"), F.col("row").alias("b"))
-        .distinct()
+        .filter(F.col("row") != F.col("head"))
+        .select(F.col("head").alias("a"), F.col("row").alias("b"), _bits_apart("sketch", "head_sketch").alias("bits"))
     )
-    hung = keep(hung, "near-hung")
+    hung = _similar(hung, marks, documents, text_column)
     first = _rooted(marks.select("row"), components(hung))
     nodes = each.drop("sketch").join(first, "row").groupBy("seed", "fingerprint", "root").agg(F.min("row").alias("row"))
     met = pivot_join(
         nodes, NEAR_RADIUS, None, lambda a, b: (a["row"] < b["row"]) & (a["root"] != b["root"]), ["seed"]
     )
-    met = met.select(F.col("a.row").alias("a"), F.col("b.row").alias("b")).distinct()
-    found = (
-        met.join(marks.select(F.col("row").alias("a"), F.col("sketch").alias("sa")), "a")
+    met = (
+        met.select(F.col("a.row").alias("a"), F.col("b.row").alias("b")).distinct()
+        .join(marks.select(F.col("row").alias("a"), F.col("sketch").alias("sa")), "a")
         .join(marks.select(F.col("row").alias("b"), F.col("sketch").alias("sb")), "b")
-        .filter(_bits_apart("sa", "sb") <= SKETCH_BITS)
-        .select("a", "b")
+        .select("a", "b", _bits_apart("sa", "sb").alias("bits"))
     )
+    found = _similar(met, marks, documents, text_column)
     groups = _rooted(marks.select("row", "doc_id", "key"), components(hung.unionByName(found)))
     name = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "key", "row")
     staying = groups.groupBy("root").agg(F.min(name).alias("least")).select("least.*")
@@ -227,6 +228,37 @@ def near_distinct(documents: DataFrame, id_column: str = "doc_id", text_column:
     return rows.join(staying.select("id", "key"), ["id", "key"]).withColumn("_n", copy).filter("_n = 1").select("_row.*")
 
 
+def _similar(pairs: DataFrame, marks: DataFrame, documents: DataFrame, text_column: str) -> DataFrame:
+    """Of pairs (a, b, bits) those of similar texts. Only texts that the sketches leave in doubt are read."""
+    pairs = keep(pairs.filter(F.col("bits") <= DOUBT).distinct(), "near-pairs")
+    sure = pairs.filter(F.col("bits") <= SURE).select("a", "b")
+    doubt = pairs.filter(F.col("bits") > SURE).select("a", "b")
+    if doubt.isEmpty():
+        return sure
+    rows = doubt.select(F.col("a").alias("row")).unionByName(doubt.select(F.col("b").alias("row"))).distinct()
+    rows = rows.join(marks.select("row", "key"), "row")
+    texts = documents.select(text_of(text_column).alias("text")).withColumn("key", F.unhex(F.md5("text")))
+    sets = texts.join(rows, "key").select("row", "text").dropDuplicates(["row"]).select("row", _shingle_set(F.col("text")).alias("set"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    return sure.unionByName(
+        doubt.join(sets.select(F.col("row").alias("a"), F.col("set").alias("sa")), "a")
+        .join(sets.select(F.col("row").alias("b"), F.col("set").alias("sb")), "b")
+        .filter(common >= SIMILAR * (F.size("sa") + F.size("sb") - common))
+        .select("a", "b")
+    )
+
+
+def _shingle_set(text: Column) -> Column:
+    """Hashes of the distinct shingles of NEAR_SHINGLE words; fewer words are one shingle."""
+    return let(
+        split_words(ascii_lower(text)),
+        lambda w: F.array_distinct(F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(w) - NEAR_SHINGLE, F.lit(0))),
+            lambda i: F.xxhash64(*[F.get(w, i + n) for n in range(NEAR_SHINGLE)]),
+        )),
+    )
+
+
 def many_bits(grams: list[bytes], words: int, first: int) -> list[int]:
     """SimHash of the grams under several mixes of one hash, as signed 64-bit integers."""
     if not grams:
