@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def sliced(batches: Iterator[pd.DataFrame], rows: int = 256) -> Iterator[pd.DataFrame]:
+    """The same rows in smaller frames, so that what a function makes of each stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows].reset_index(drop=True)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several passes read as Parquet in the shared folder, and read it back.
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auriga.llm.common import ascii_lower, crc_fold, keep, split_words, text_of
+from auriga.llm.common import ascii_lower, crc_fold, keep, sliced, split_words, text_of
 
 FOLDS, HELD_OUT = 7, 2
 STATES = 6
@@ -160,7 +160,7 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         shared_log = np.log10(v.shared_tokens + v.shared_words + 1)
         end_log = math.log10(v.texts + 1)
         find = v.words.get
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for text in batch["text"]:
                 words = split(text)
@@ -209,7 +209,7 @@ def train(coded: DataFrame, vocabulary: Vocabulary, states: int, rounds: int) ->
 
         def run(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
             found = Expected(shipped.value)
-            for batch in batches:
+            for batch in sliced(batches, 2048):
                 found.add([np.frombuffer(s, dtype="<i4") for s in batch["symbols"]])
             yield found.table(columns)
 
@@ -327,7 +327,7 @@ def forward_scores(coded: DataFrame, model: Model) -> DataFrame:
     shipped = coded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in sliced(batches, 4096):
             if len(batch):
                 texts = [np.frombuffer(s, dtype="<i4") for s in batch["symbols"]]
                 yield pd.DataFrame({"row": batch["row"], "likely": log_likelihoods(texts, shipped.value)})

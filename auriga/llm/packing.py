@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auriga.llm.common import keep, text_of
+from auriga.llm.common import keep, sliced, text_of
 
 WINDOW = 1024
 END_ID = 0
@@ -61,7 +61,7 @@ def cut_documents(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_of = load()
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = np.append(ids_of(text), END_ID).astype("<u4")

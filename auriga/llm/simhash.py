@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auriga.llm.common import ascii_lower, cut, keep, let, split_words, text_of
+from auriga.llm.common import ascii_lower, cut, keep, let, sliced, split_words, text_of
 
 SEED = 42
 # The pivots: one reference fingerprint, and one more for each run of WIDTH bits, with that run flipped.
@@ -49,7 +49,7 @@ def fingerprints(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [fingerprint_of(text, shingle, seed) for text in batch["text"]]
             yield pd.DataFrame(
                 {"doc_id": batch["doc_id"], "fingerprint": np.array(found, dtype=np.uint64).view(np.int64)}
@@ -166,7 +166,7 @@ def sketches(documents: DataFrame, id_column: str = "doc_id", text_column: str =
     """row, doc_id, key (MD5 of the text), prints (SEEDS fingerprints), sketch (SKETCH times 64 bits)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in sliced(batches):
             prints, marks = [], []
             for text in batch["text"]:
                 words = text.lower().split()
