@@ -46,7 +46,7 @@ def vendor_findings(vendors: DataFrame, findings: DataFrame) -> DataFrame:
 
 _FUNCTIONS = {
     "sup_otif_fornecedor": (
-        "nome STRING", "id_fornecedor BIGINT, otif_pct DOUBLE",
+        "nome STRING", "id_fornecedor {id_fornecedor}, otif_pct DOUBLE",
         "SELECT id_fornecedor, otif_pct FROM {table} WHERE razao_social = nome",
     ),
     "fin_variancia_conta": (
@@ -58,7 +58,7 @@ _FUNCTIONS = {
            FROM {table} v WHERE conta_nome = nome""",
     ),
     "mnt_saude_ativo": (
-        "ativo STRING", "id_ativo BIGINT, score_risco INT, categoria_risco STRING, vibracao_recente DOUBLE",
+        "ativo STRING", "id_ativo {id_ativo}, score_risco INT, categoria_risco STRING, vibracao_recente DOUBLE",
         """SELECT id_ativo, score_risco, categoria_risco, vibracao_recente FROM {table}
            WHERE CAST(id_ativo AS STRING) = ativo OR tag = ativo""",
     ),
@@ -71,9 +71,10 @@ _FUNCTIONS = {
 
 
 def register_functions(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
-    """Create the SQL table functions; `tables` maps each function to the table it reads."""
+    """Create the SQL table functions; `tables` maps each function to the table it reads. Ids keep its types."""
     for name, table in tables.items():
         arguments, columns, body = _FUNCTIONS[name]
+        columns = columns.format_map(dict(table.dtypes))
         view = f"{name}_origem"
         table.createOrReplaceTempView(view)
         spark.sql(

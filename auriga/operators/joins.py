@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from auriga.sources.stored import store_once
 
-# About 20 MB of dimension rows at 200 bytes each.
-BROADCAST_ROWS = 100_000
+# Small enough for every task to hold; Catalyst's own estimate must prove it.
+BROADCAST_BYTES = 32 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most max_rows + 1 rows; Spark stops reading once it has them."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the planner's estimate of a plan, an upper bound from file sizes, is within the limit. Runs no job."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes())) <= max_bytes
 
 
 def join_dimension(
@@ -23,36 +24,33 @@ def join_dimension(
     dimension: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a dimension with one row per key.
 
-    A dimension counted within the bound is broadcast and the fact is not shuffled.
-    A larger one joins by shuffle, where adaptive execution splits hot keys.
+    A dimension that is small by the planner's estimate is broadcast and the fact is not shuffled. Any other
+    joins by shuffle, where adaptive execution broadcasts what turns out small and splits hot keys.
     """
-    if fits_broadcast(dimension, max_rows):
+    if fits_broadcast(dimension, max_bytes):
         dimension = F.broadcast(dimension)
     return fact.join(dimension, on, how)
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread costly per-row work when the input has fewer files than the cluster has cores.
-
-    A table of many files is read in parallel as it is, and is left without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def global_rank(df: DataFrame, value: str, output: str) -> DataFrame:
     """rank() over (order by value desc) without sending every row to one task.
 
-    Rows fall into buckets that keep the order of a positive value (sixteen per power
-    of ten). Ranking runs inside each bucket; the rows in higher buckets are counted in
-    a table of at most a few hundred rows and added. The rows are stored first, as both
-    steps read them.
+    Rows fall into buckets that keep the order of the value: sixteen per power of ten,
+    mirrored for negative values, with zero between and null last. Ranking runs inside
+    each bucket; the rows in higher buckets are counted in a table of at most a few
+    thousand rows and added. The rows are stored first, as both steps read them.
     """
-    bucket = F.floor(F.log10(F.col(value).cast("double")) * 16).cast("int")
+    number = F.col(value).cast("double")
+    size = (F.floor(F.log10(F.abs(number)) * 16) + 10_000).cast("int")
+    bucket = (
+        F.when(number.isNull(), F.lit(-1_000_000))
+        .when(number == 0, F.lit(0))
+        .otherwise(F.when(number > 0, size).otherwise(-size))
+    )
     rows = store_once(df.withColumn("_bucket", bucket), "ranked")
     above = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

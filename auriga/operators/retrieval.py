@@ -1,9 +1,9 @@
 """Exact top-k retrieval of many queries at once, by vector (cosine) or by words (BM25).
 
-A batch of queries counted within QUERY_ROWS travels to the tasks and the corpus is
-read once without a shuffle: each task keeps only its k best per query. A larger batch
-is cut into blocks that meet blocks of the corpus. Both ways give the same rows, and
-no (query, text) pair that is not among a task's k best ever leaves it.
+Words are joined: postings of the queries' words, counted in the JVM. Exact vectors need every product: a
+batch of queries counted within QUERY_ROWS travels to the tasks and the corpus is read once without a
+shuffle, each task keeping its k best per query; a larger batch is cut into blocks that meet blocks of the
+corpus, with equal rows. Approximate vectors are an equality join of signatures.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auriga.operators.documents import tokens
-from auriga.operators.joins import fits_broadcast, widen
 
 QUERY_ROWS = 1024
 CORPUS_BLOCK = 50_000
@@ -131,40 +130,63 @@ def semantic_top_k(queries: DataFrame, corpus: DataFrame, k: int = 4, query_rows
     return top_k(queries.select("id_consulta", "vetor"), corpus.select("id", "vetor"), cosine, k, query_rows)
 
 
-def hashed_cosine(bits: int, tables: int, seed: int = 7) -> Scorer:
-    """Cosine for the pairs that share a random-hyperplane signature in some table; others are no candidates."""
+def signatures(vectors: DataFrame, key: str, size: int, bits: int, tables: int, seed: int = 7) -> DataFrame:
+    """key, tabela, assinatura: sides of `bits` random hyperplanes that a vector is on, in each table."""
+    planes = np.random.default_rng(seed).normal(size=(tables, bits, size))
+    powers = 2 ** np.arange(bits)
+    schema = f"{key} {dict(vectors.dtypes)[key]}, assinaturas array<bigint>"
 
-    def scorer(queries: pd.DataFrame) -> Callable[[pd.DataFrame], np.ndarray]:
-        wanted = _unit(np.stack(queries["vetor"].to_numpy()).astype(float))
-        planes = np.random.default_rng(seed).normal(size=(tables, bits, wanted.shape[1]))
-        powers = 2 ** np.arange(bits)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                given = np.stack(frame["vetor"].to_numpy()).astype(float)
+                codes = (np.einsum("tbd,nd->ntb", planes, given) > 0) @ powers
+                yield pd.DataFrame({key: frame[key], "assinaturas": list(codes)})
 
-        def signatures(units: np.ndarray) -> np.ndarray:
-            return (np.einsum("tbd,nd->tnb", planes, units) > 0) @ powers
+    found = vectors.select(key, "vetor").mapInPandas(run, schema)
+    return found.select(key, F.posexplode("assinaturas").alias("tabela", "assinatura"))
 
-        asked = signatures(wanted)
 
-        def score(texts: pd.DataFrame) -> np.ndarray:
-            known = _unit(np.stack(texts["vetor"].to_numpy()).astype(float))
-            near = np.zeros((len(wanted), len(known)), dtype=bool)
-            for mine, theirs in zip(asked, signatures(known)):
-                near |= mine[:, None] == theirs[None, :]
-            query, text = np.nonzero(near)
-            scores = np.full(near.shape, np.nan)
-            scores[query, text] = np.einsum("nd,nd->n", wanted[query], known[text])
-            return scores
+def approximate_top_k(
+    queries: DataFrame, corpus: DataFrame, k: int = 4, bits: int = 5, tables: int = 32, size: int = 64
+) -> DataFrame:
+    """Nearest texts among those that share a signature in some table; may miss neighbours, never misstates a score.
 
-        return score
+    Candidates come from an equality join of signatures, whose hot ones adaptive execution splits.
+    """
+    asked, known = (signatures(df, key, size, bits, tables) for df, key in ((queries, "id_consulta"), (corpus, "id")))
+    pairs = asked.join(known, ["tabela", "assinatura"]).select("id_consulta", "id").distinct()
+
+    def dot(a: str, b: str):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, v: s + v)
+
+    length = F.sqrt(dot("q", "q") * dot("v", "v"))
+    scored = (
+        pairs.join(queries.select("id_consulta", F.col("vetor").alias("q")), "id_consulta")
+        .join(corpus.select("id", F.col("vetor").alias("v")), "id")
+        .filter(length > 0)
+        .select("id_consulta", "id", F.round(dot("q", "v") / length, DIGITS).alias("score"))
+    )
+    return best_of_each(scored, "id", k)
 
-    return scorer
 
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """recall, scores_equal: how many exact neighbours were found, and whether shared ones have the same score."""
+    both = exact.select("id_consulta", "id", F.col("score").alias("exact")).join(
+        found.select("id_consulta", "id", "score"), ["id_consulta", "id"], "left"
+    )
+    same = F.col("score").isNull() | (F.abs(F.col("score") - F.col("exact")) <= 2 * 10.0**-DIGITS)
+    return both.agg(F.avg(F.col("score").isNotNull().cast("double")).alias("recall"), F.every(same).alias("scores_equal"))
 
-def approximate_top_k(
-    queries: DataFrame, corpus: DataFrame, k: int = 4, bits: int = 6, tables: int = 10, query_rows: int = QUERY_ROWS
-) -> DataFrame:
-    """Nearest texts among hash matches only: fewer products, may miss neighbours, never misstates a score."""
-    scorer = hashed_cosine(bits, tables)
-    return top_k(queries.select("id_consulta", "vetor"), corpus.select("id", "vetor"), scorer, k, query_rows)
+
+def best_of_each(scored: DataFrame, key: str, k: int) -> DataFrame:
+    """id_consulta, posicao, key, score: the k best per query. Ranks are cut in each task before the shuffle."""
+    place = Window.partitionBy("id_consulta").orderBy(F.col("score").desc(), key)
+    return (
+        scored.withColumn("posicao", F.row_number().over(place).cast("bigint"))
+        .filter(F.col("posicao") <= k)
+        .select("id_consulta", "posicao", key, "score")
+    )
 
 
 def label_centers(vectors: DataFrame, size: int) -> DataFrame:
@@ -176,79 +198,43 @@ def label_centers(vectors: DataFrame, size: int) -> DataFrame:
 # --- by words ----------------------------------------------------------------
 
 
-def bm25(queries: pd.DataFrame) -> Callable[[pd.DataFrame], np.ndarray]:
-    """Queries carry `palavras` and their `pesos` (inverse document frequency)."""
-    words = pd.Index(sorted({w for row in queries["palavras"] for w in row}))
-    weights = np.zeros((len(words), len(queries)))
-    for column, (row, idf) in enumerate(zip(queries["palavras"], queries["pesos"])):
-        weights[words.get_indexer(list(row)), column] = idf
-
-    def score(texts: pd.DataFrame) -> np.ndarray:
-        scores = np.full((len(queries), len(texts)), np.nan)
-        bags, norms = texts["palavras"].to_numpy(), texts["norma"].to_numpy(dtype=float)
-        sizes = np.array([len(b) for b in bags])
-        # Slices of about 20 000 words keep the (word, query) products small.
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // 20_000)) + 1
-        for rows in np.split(np.arange(len(texts)), cuts):
-            if not sizes[rows].sum():
-                continue
-            found = words.get_indexer(np.concatenate([bags[r] for r in rows]))
-            where = np.repeat(np.arange(len(rows)), sizes[rows])
-            known = found >= 0
-            pairs, counts = np.unique(where[known] * len(words) + found[known], return_counts=True)
-            if not len(pairs):
-                continue
-            text, word = pairs // len(words), pairs % len(words)
-            part = counts * (K1 + 1) / (counts + norms[rows][text])
-            starts = np.flatnonzero(np.r_[True, np.diff(text) > 0])
-            sums = np.add.reduceat(part[:, None] * weights[word], starts)
-            hits = np.where(sums > 0, sums, np.nan)
-            scores[:, rows[text[starts]]] = hits.T
-        return scores
-
-    return score
+def lexical_top_k(queries: DataFrame, chunks: DataFrame, k: int = 4) -> DataFrame:
+    """queries(id_consulta, texto), chunks(chunk_id, texto) -> the k best chunks by BM25.
 
-
-def lexical_top_k(queries: DataFrame, chunks: DataFrame, k: int = 4, query_rows: int = QUERY_ROWS) -> DataFrame:
-    """queries(id_consulta, texto), chunks(chunk_id, texto) -> the k best chunks by BM25."""
-    bags = widen(chunks.select(F.col("chunk_id").alias("id"), "texto")).select("id", tokens().alias("palavras"))
+    Words of chunks meet the queries' words first, so only those are counted and shuffled; postings then join the
+    queries on the word, and scores fold per query and chunk. Nothing depends on the number of queries.
+    """
+    bags = chunks.select("chunk_id", tokens().alias("palavras"))
     length = F.size("palavras")
     means = bags.agg(F.struct(F.count("*").alias("n"), F.avg(length).alias("size")).alias("_s")).scalar()
     asked = queries.select("id_consulta", F.explode(F.array_distinct(tokens())).alias("palavra"))
-    vocabulary = asked.select("palavra").distinct()
-    if fits_broadcast(queries, query_rows):
-        vocabulary = F.broadcast(vocabulary)
-    spread = (
-        bags.select(F.explode(F.array_distinct("palavras")).alias("palavra"))
-        .join(vocabulary, "palavra", "left_semi")
-        .groupBy("palavra")
-        .agg(F.count("*").alias("df"))
+    postings = (
+        bags.select("chunk_id", length.alias("tamanho"), F.explode("palavras").alias("palavra"))
+        .join(asked.select("palavra").distinct(), "palavra", "left_semi")
+        .groupBy("palavra", "chunk_id", "tamanho")
+        .agg(F.count("*").alias("tf"))
     )
+    spread = postings.groupBy("palavra").agg(F.count("*").alias("df")).withColumn("_s", means)
     idf = F.log(1 + (F.col("_s.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = (
-        asked.join(spread.withColumn("_s", means).withColumn("peso", idf).select("palavra", "peso"), "palavra")
-        .groupBy("id_consulta")
-        .agg(F.array_sort(F.collect_list(F.struct("palavra", "peso"))).alias("_p"))
-        .select("id_consulta", F.col("_p.palavra").alias("palavras"), F.col("_p.peso").alias("pesos"))
-    )
-    corpus = bags.withColumn("_s", means).select(
-        "id", "palavras", (K1 * (1 - B + B * length / F.col("_s.size"))).alias("norma")
+    weighted = asked.join(spread.select("palavra", idf.alias("peso"), F.col("_s.size").alias("media")), "palavra")
+    norm = K1 * (1 - B + B * F.col("tamanho") / F.col("media"))
+    scored = (
+        postings.join(weighted, "palavra")
+        .groupBy("id_consulta", "chunk_id")
+        .agg(F.round(F.sum(F.col("peso") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)), DIGITS).alias("score"))
     )
-    found = top_k(weighted, corpus, bm25, k, query_rows)
-    return found.withColumnRenamed("id", "chunk_id")
+    return best_of_each(scored, "chunk_id", k)
 
 
-def contexts(found: DataFrame, chunks: DataFrame, queries: DataFrame) -> DataFrame:
+def contexts(found: DataFrame, chunks: DataFrame) -> DataFrame:
     """One context per query: '[document] text' of its hits in rank order.
 
-    The hits are at most k per query, so a batch of queries within the bound makes them
-    small enough to broadcast and the chunks are not shuffled.
+    The hits are at most k per query; adaptive execution broadcasts them if they are small.
     """
-    hits = F.broadcast(found) if fits_broadcast(queries, QUERY_ROWS) else found
     tagged = F.concat(F.lit("["), F.col("doc_nome"), F.lit("] "), F.col("texto"))
     return (
         chunks.select("chunk_id", tagged.alias("trecho"))
-        .join(hits, "chunk_id")
+        .join(found, "chunk_id")
         .groupBy("id_consulta")
         .agg(F.array_sort(F.collect_list(F.struct("posicao", "trecho"))).alias("_t"))
         .select("id_consulta", F.array_join("_t.trecho", "\n\n").alias("contexto"))

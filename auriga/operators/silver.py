@@ -179,8 +179,8 @@ def payment_flags() -> dict[str, Column]:
     }
 
 
-def enriched_findings(findings: DataFrame, rules: DataFrame, payments: DataFrame) -> DataFrame:
-    """Findings with the rule's own severity and the payment they point at."""
+def ruled_findings(findings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Findings with the rule's own severity."""
     detected = F.col("data_deteccao").cast("date")
     facts = findings.select(
         "id_achado",
@@ -199,10 +199,15 @@ def enriched_findings(findings: DataFrame, rules: DataFrame, payments: DataFrame
         F.col("categoria").alias("regra_categoria"),
         "politica_referencia",
     )
+    return join_dimension(facts, rule, "id_regra")
+
+
+def enriched_findings(findings: DataFrame, rules: DataFrame, payments: DataFrame) -> DataFrame:
+    """Findings with the rule's own severity and the payment they point at."""
     payment = payments.select(
         "id_transacao", "area", "id_fornecedor", "razao_social", F.col("valor").alias("valor_transacao")
     )
-    return join_dimension(facts, rule, "id_regra").join(payment, "id_transacao", "left")
+    return ruled_findings(findings, rules).join(payment, "id_transacao", "left")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -149,6 +149,11 @@ class Cases:
     def findings(self) -> DataFrame:
         return silver.enriched_findings(self.raised, self.rules, self.stored_payments)
 
+    @cached_property
+    def ruled_findings(self) -> DataFrame:
+        """Findings with their rules, for plans that need nothing of the payment."""
+        return silver.ruled_findings(self.raised, self.rules)
+
     @cached_property
     def compliance(self) -> DataFrame:
         return audit.compliance_summary(self.stored_payments, self.raised)

@@ -151,7 +151,7 @@ def gold_tables(c, case: str) -> dict:
             "ativos_risco": maintenance.assets_at_risk(c.health, c.mtbf, c.work_orders),
         },
         "auditoria": lambda: {
-            "achados": audit.findings_by_rule(c.findings),
+            "achados": audit.findings_by_rule(c.ruled_findings),
             "violacoes_alcada": audit.limit_violations(c.payments),
             "gasto_sem_contrato": audit.uncontracted_spend(c.payments),
             "resumo_compliance": c.compliance,
@@ -325,7 +325,7 @@ def register(add_query) -> None:
     )
     add(
         "q8_findings_by_severity",
-        lambda c: quality.findings_by_severity(c.findings),
+        lambda c: quality.findings_by_severity(c.ruled_findings),
         f"""SELECT severidade, count(*) AS qtd_achados, {tot('valor_em_risco')} AS valor_em_risco
             FROM t_findings GROUP BY 1""",
     )

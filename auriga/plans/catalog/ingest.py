@@ -10,8 +10,8 @@ from auriga.plans.refresh import CASES, refresh_bronze, refresh_case
 from auriga.session import scratch
 from auriga.sources import files
 from auriga.sources.stored import replace_table
-from auriga.streaming.tables import StreamTable, start_append
-from auriga.streaming.telemetry import daily_telemetry_stream
+from auriga.streaming.tables import StreamTable
+from auriga.streaming.telemetry import refresh_daily_telemetry
 
 SUPPLIER_COLUMNS = [
     "id_fornecedor", "razao_social", "uf", "criticidade", "fornecedor_unico", "possui_contrato",
@@ -19,7 +19,7 @@ SUPPLIER_COLUMNS = [
 ]
 
 BUNDLE = 200
-SEPARATOR = "\u001e"
+BUNDLED = "array<struct<doc_nome:string,texto:string>>"
 
 
 def folder_source(raw: str, name: str) -> tuple[str, str]:
@@ -96,16 +96,31 @@ def _rescued(c):
 
 
 def _whole_texts(c):
-    """Texts bundled a few hundred per file and split again after the whole-file scan.
+    """Named texts bundled a few hundred per file, as JSON, and told apart again after the whole-file scan.
 
     A file per text would not survive a large table; bundles keep files and rows bounded.
     """
+    scanned = files.whole_texts(c.spark, _write_bundles(c), "part-*", "lote=([^/]+)/[^/]+$")
+    texts = scanned.select(F.col("doc_nome").alias("lote"), F.explode(F.from_json("texto", BUNDLED)).alias("t"))
+    return texts.select("lote", "t.doc_nome", "t.texto")
+
+
+def _binary_files(c):
+    """The same bundles scanned as bytes, and decoded."""
+    scanned = files.binary_files(c.spark, _write_bundles(c), "part-*").filter("length = octet_length(content)")
+    decoded = F.from_json(F.decode("content", "UTF-8"), BUNDLED)
+    return scanned.select(F.explode(decoded).alias("t")).select("t.doc_nome", "t.texto")
+
+
+def _write_bundles(c) -> str:
     folder = scratch(c.spark, "texts")
-    texts = c.lake.table("documents").select("text")
-    texts.write.options(maxRecordsPerFile=BUNDLE, lineSep=SEPARATOR).text(folder)
-    bundles = files.whole_texts(c.spark, folder, "part-*")
-    split = F.explode(F.split("texto", SEPARATOR)).alias("texto")
-    return bundles.select(split).filter(F.col("texto") != "")
+    named = c.lake.documents().select("doc_nome", "texto")
+    number = F.floor(F.substring("doc_nome", 5, 20).cast("bigint") / BUNDLE)
+    bundles = named.groupBy(F.concat(F.lit("lote-"), number.cast("string")).alias("lote")).agg(
+        F.to_json(F.collect_list(F.struct("doc_nome", "texto"))).alias("value")
+    )
+    bundles.write.partitionBy("lote").text(folder)
+    return folder
 
 
 def _silver_stream(c):
@@ -134,10 +149,13 @@ def _bronze(c, case: str):
 
 
 def _daily_stream(c):
+    """Two deliveries; the second one brings late readings of days that the first one already gave."""
     root = scratch(c.spark, "telemetry")
-    c.readings.write.parquet(f"{root}/readings")
-    readings = c.spark.readStream.schema(c.readings.schema).parquet(f"{root}/readings")
-    start_append(daily_telemetry_stream(readings), f"{root}/daily", f"{root}/checkpoint").awaitTermination()
+    late = F.pmod(F.xxhash64("id_leitura"), F.lit(5)) == 0
+    for delivery in (c.readings.filter(~late), c.readings.filter(late)):
+        delivery.write.mode("append").parquet(f"{root}/readings")
+        readings = c.spark.readStream.schema(c.readings.schema).parquet(f"{root}/readings")
+        refresh_daily_telemetry(readings, f"{root}/readings", f"{root}/daily", f"{root}/checkpoint")
     return c.spark.read.parquet(f"{root}/daily")
 
 
@@ -193,10 +211,15 @@ def register(add) -> None:
                   CASE WHEN contrato_id IS NOT NULL THEN '{"contrato_id":"' || contrato_id || '"}' END AS _rescued_data
            FROM t_orders""",
     )
-    add("s6_whole_texts", _whole_texts, "SELECT text AS texto FROM documents WHERE text <> ''")
+    add(
+        "s6_whole_texts",
+        _whole_texts,
+        f"""SELECT 'lote-' || (doc_id // {BUNDLE}) AS lote, 'doc-' || doc_id AS doc_nome, text AS texto FROM documents""",
+    )
     add(
         "s7_binary_files",
-        lambda c: files.binary_files(c.spark, c.lake.path, "*.parquet").select("arquivo", "length"),
+        _binary_files,
+        "SELECT 'doc-' || doc_id AS doc_nome, text AS texto FROM documents",
     )
     add("s8_silver_stream", _silver_stream, "SELECT * FROM t_orders")
     add("s9_gold_refresh", lambda c: _gold_refresh(c, "suprimentos", "gasto_categoria"), "SELECT * FROM t_category_spend")
@@ -223,5 +246,5 @@ def register(add) -> None:
     add(
         "m1_daily_telemetry_stream",
         _daily_stream,
-        "SELECT * FROM t_daily WHERE dia + 1 <= (SELECT max(data_hora) FROM t_readings) - INTERVAL 1 DAY",
+        "SELECT * FROM t_daily",
     )

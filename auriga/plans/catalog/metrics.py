@@ -172,7 +172,7 @@ def register(add_query) -> None:
     add(
         "b7_worst_delays_of_month",
         lambda c: kpis.worst_delays(c.stored_orders, c.receipts),
-        """SELECT * FROM t_late WHERE mes = (SELECT max(mes) FROM t_late)
+        """SELECT * FROM t_late WHERE mes = (SELECT max(CAST(date_trunc('month', data_pedido) AS DATE)) FROM t_orders)
            ORDER BY dias_atraso DESC, id_pedido LIMIT 5""",
     )
     add(
@@ -382,13 +382,13 @@ def register(add_query) -> None:
     )
     add(
         "b15_open_high_severity",
-        lambda c: questions.open_high_severity(c.findings),
+        lambda c: questions.open_high_severity(c.ruled_findings),
         f"""SELECT count(*) AS alta_em_aberto, {tot('valor_em_risco')} AS valor_em_risco FROM t_findings
             WHERE severidade = 'Alta' AND status_achado IN ('Aberto', 'Em análise')""",
     )
     add(
         "b15_risk_by_rule",
-        lambda c: questions.risk_by_rule(audit.findings_by_rule(c.findings)),
+        lambda c: questions.risk_by_rule(audit.findings_by_rule(c.ruled_findings)),
         "SELECT id_regra, regra_nome, severidade, valor_em_risco FROM t_finding_rules",
     )
     add(

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from auriga.operators import features, risk_model
 from auriga.plans.oracle_tables import rnd
 
+# Failures of this lake are random, so a model can hardly beat chance; it must not fall far below it.
+AUC_FLOOR = 0.4
+
 EXTRA = {
     "t_sums": """SELECT id_ativo, CAST(data_hora AS DATE) AS dia, sum(vibracao) AS v, sum(temperatura) AS t,
         count(*) AS n FROM t_readings GROUP BY ALL""",
@@ -22,9 +27,20 @@ EXTRA = {
 }
 
 
-def _fitted(c, kind: str):
+def _fitted(c):
+    training, held_out = risk_model.split_by_day(c.stored_labelled)
+    return risk_model.train(training), held_out
+
+
+def _quality_check(c):
+    """Rows and classes of both parts, and whether the model ranks better than chance would by far."""
     training, held_out = risk_model.split_by_day(c.stored_labelled)
-    return risk_model.train(training, kind), held_out
+    measures = risk_model.measure(risk_model.train(training), held_out)
+    auc_ok = measures.filter("nome = 'auc'").select(F.col("valor") > AUC_FLOOR).scalar()
+    parts = training.withColumn("reservado", F.lit(False)).unionByName(held_out.withColumn("reservado", F.lit(True)))
+    return parts.groupBy("reservado").agg(
+        F.count("*").alias("linhas"), F.sum("falha_proxima").alias("positivos"), F.first(auc_ok).alias("auc_ok")
+    )
 
 
 def register(add_query) -> None:
@@ -40,12 +56,27 @@ def register(add_query) -> None:
                   count(*) OVER () / CAST(2 * count(*) OVER (PARTITION BY falha_proxima) AS DOUBLE) AS peso
            FROM t_labelled""",
     )
-    add("l4_model_quality", lambda c: risk_model.measure(*_fitted(c, "forest")))
+    add("l4_model_quality", lambda c: risk_model.measure(*_fitted(c)))
+    add(
+        "l4_model_check",
+        _quality_check,
+        """SELECT dia > cut AS reservado, count(*) AS linhas, CAST(sum(falha_proxima) AS BIGINT) AS positivos, true AS auc_ok
+           FROM t_labelled, (SELECT max(dia) - CAST(floor((max(dia) - min(dia)) * 0.3) AS INT) AS cut FROM t_labelled)
+           GROUP BY 1""",
+    )
     add(
         "l5_riskiest_assets",
         lambda c: risk_model.riskiest(
-            risk_model.score_latest(risk_model.train(c.stored_labelled, "logistic"), c.stored_labelled)
+            risk_model.score_latest(risk_model.train(c.stored_labelled), c.stored_labelled)
+        ),
+    )
+    add(
+        "l5_scored_rows",
+        lambda c: risk_model.score_latest(risk_model.train(c.stored_labelled), c.stored_labelled).select(
+            "id_ativo", "tag", "dia", F.col("probabilidade_falha").between(0, 1).alias("probabilidade_ok")
         ),
+        """SELECT id_ativo, tag, dia, true AS probabilidade_ok FROM t_labelled
+           QUALIFY row_number() OVER (PARTITION BY id_ativo ORDER BY dia DESC) = 1""",
     )
     add(
         "l6_failure_uplift",

@@ -69,7 +69,7 @@ def register(add) -> None:
     add("m4_maintenance_cost", lambda c: c.cost, "SELECT * FROM t_cost")
     add("m5_assets_at_risk", lambda c: c.risk, "SELECT * FROM t_risk")
 
-    add("a1_findings_by_rule", lambda c: audit.findings_by_rule(c.findings), "SELECT * FROM t_finding_rules")
+    add("a1_findings_by_rule", lambda c: audit.findings_by_rule(c.ruled_findings), "SELECT * FROM t_finding_rules")
     add(
         "a2_limit_violations",
         lambda c: audit.limit_violations(c.payments),

@@ -103,10 +103,15 @@ def register(add_query) -> None:
                   FROM t_middles, embeddings) QUALIFY posicao <= 4""",
     )
     add("c5_approximate_top_k", lambda c: retrieval.approximate_top_k(_middles(c), c.lake.vectors()))
+    add(
+        "c5_approximate_check",
+        lambda c: _approximate_check(c).select((F.col("recall") >= 0.8).alias("recall_ok"), "scores_equal"),
+        "SELECT true AS recall_ok, true AS scores_equal",
+    )
     add("c6_lexical_top_k", lambda c: c.lexical_hits, "SELECT * FROM t_hits")
     add(
         "c7_contexts",
-        lambda c: retrieval.contexts(c.lexical_hits, c.chunks, c.lake.questions()),
+        lambda c: retrieval.contexts(c.lexical_hits, c.chunks),
         """SELECT id_consulta, string_agg('[' || doc_nome || '] ' || texto, chr(10) || chr(10) ORDER BY posicao)
              AS contexto FROM t_hits JOIN t_chunks USING (chunk_id) GROUP BY 1""",
     )
@@ -117,5 +122,10 @@ def register(add_query) -> None:
     )
 
 
+def _approximate_check(c):
+    middles, vectors = _middles(c), c.lake.vectors()
+    return retrieval.recall(retrieval.approximate_top_k(middles, vectors), retrieval.semantic_top_k(middles, vectors))
+
+
 def _middles(c):
     return retrieval.label_centers(c.lake.vectors(), VECTOR_SIZE).select(F.col("label").alias("id_consulta"), "vetor")

@@ -98,14 +98,13 @@ def top_categories_of_month(orders: DataFrame) -> DataFrame:
 
 
 def worst_delays(orders: DataFrame, receipts: DataFrame, n: int = 5) -> DataFrame:
-    """The longest delays among the orders of the newest month that has a late receipt."""
+    """The longest delays among the orders of the newest month; none if no receipt of it is late."""
     late = receipts.filter(F.col("dias_atraso") > 0).select("id_pedido", "data_prometida", "dias_atraso")
     placed = orders.select(
         "id_pedido", "razao_social", "categoria_nome", "valor_total", month_of("data_pedido").alias("mes")
     )
-    delayed = placed.join(late, "id_pedido")
-    newest = delayed.agg(F.max("mes")).scalar()
-    return delayed.filter(F.col("mes") == newest).orderBy(F.col("dias_atraso").desc(), "id_pedido").limit(n)
+    recent = placed.filter(F.col("mes") == latest_month(orders))
+    return recent.join(late, "id_pedido").orderBy(F.col("dias_atraso").desc(), "id_pedido").limit(n)
 
 
 def top_suppliers(orders: DataFrame, receipts: DataFrame, n: int = 10) -> DataFrame:

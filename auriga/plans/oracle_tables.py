@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from auriga.operators.audit_rules import RULES
-from auriga.sources.lake import ACTUALS_END, BUDGET_END, FAILURE_LEVEL
+from auriga.sources.lake import ACTUALS_END
 
 
 def rnd(expr: str, digits: int) -> str:
@@ -51,12 +51,13 @@ def _pick(values: list[str], index: str) -> str:
     return f"([{items}])[CAST({index} % {len(values)} AS INT) + 1]"
 
 
-def _ledger(end: str) -> str:
+def _ledger(end: str = "") -> str:
+    known = f"WHERE o_orderdate < TIMESTAMP '{end}'" if end else ""
     return f"""
     SELECT c_nationkey AS id_centro, c_mktsegment AS id_conta, {month('o_orderdate')} AS mes,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v
     FROM orders JOIN customer ON c_custkey = o_custkey
-    WHERE o_orderdate < TIMESTAMP '{end}' GROUP BY ALL"""
+    {known} GROUP BY ALL"""
 
 
 TABLES: dict[str, str] = {
@@ -125,7 +126,7 @@ TABLES: dict[str, str] = {
     "t_raw_budget": f"""
     SELECT id_centro || '-' || id_conta || '-' || strftime(mes, '%Y%m') AS id_orcamento, id_centro, id_conta, mes,
            CAST(round(CAST(v AS DOUBLE) * (90 + (id_centro % 5) * 5) / 10000) * 100 AS DECIMAL(18,2)) AS valor_orcado
-    FROM ({_ledger(BUDGET_END)})""",
+    FROM ({_ledger()})""",
     "t_raw_actuals": f"""
     SELECT id_centro || '-' || id_conta || '-' || strftime(mes, '%Y%m') AS id_lancamento, id_centro, id_conta, mes,
            v AS valor_realizado
@@ -176,7 +177,7 @@ TABLES: dict[str, str] = {
            {_pick(['Desgaste', 'Sobrecarga', 'Lubrificação'], 'event_id')} AS causa,
            {_pick(['Mancal', 'Selo', 'Rotor', 'Acoplamento'], 'event_id')} AS componente,
            CASE WHEN value >= 200 THEN 'Alta' WHEN value >= 150 THEN 'Média' ELSE 'Baixa' END AS severidade
-    FROM events WHERE event_type = 'error' AND value >= {FAILURE_LEVEL}""",
+    FROM events WHERE event_type = 'error'""",
     "t_work": """
     SELECT event_id AS id_ordem, user_id AS id_ativo, if(event_id % 4 = 0, 'Corretiva', 'Preventiva') AS tipo_ordem,
            CAST(ts AS DATE) AS data_abertura, CAST(ts AS DATE) + CAST(event_id % 3 AS INT) AS data_fechamento,

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from auriga.operators import audit, finance, maintenance, procurement, silver
-from auriga.sources.files import stream_csv
+from auriga.sources.files import INGESTED, RESCUED, cast_or_rescue, stream_csv
 from auriga.sources.stored import replace_table
 from auriga.streaming.tables import StreamTable
 
@@ -100,8 +100,8 @@ CASES = {
 
 
 def raw_source(raw: str, name: str) -> tuple[str, str]:
-    """Where the files of a raw table are: the shared folder and a name pattern."""
-    return raw, f"{name}*.csv"
+    """Where the files of a raw table are: one file of its name, or the numbered lots of the sensors."""
+    return raw, f"{name}_lote*.csv" if name == "leituras_sensores" else f"{name}.csv"
 
 
 def refresh_bronze(
@@ -111,13 +111,20 @@ def refresh_bronze(
     """Raw tables do not depend on each other, so their streams run side by side."""
     tables = {name: StreamTable(spark, root, f"bronze_{name}") for name in CASES[case].bronze}
     running = [
-        table.start(stream_csv(spark, *source(raw, name)), full) for name, table in tables.items()
+        table.start(stream_csv(spark, *source(raw, name), None if full else _known(table)), full)
+        for name, table in tables.items()
     ]
     for query in running:
         query.awaitTermination()
     return {f"bronze_{name}": table.read() for name, table in tables.items()}
 
 
+def _known(table: StreamTable) -> list[str] | None:
+    """A table's own columns stay; what a later file has beyond them is rescued."""
+    columns = table.columns()
+    return columns and [c for c in columns if c not in (RESCUED, INGESTED)]
+
+
 def refresh_silver(spark: SparkSession, case: str, root: str, tables: Tables, full: bool = False) -> Tables:
     tables = dict(tables)
     for name, (streamed, transform) in CASES[case].silver.items():

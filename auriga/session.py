@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,17 +24,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only on a local master without it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="auriga-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The cluster's checkpoint folder, or its warehouse where none is set; both are shared by all executors."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder path under the shared root; every run gets its own."""
-    return f"{shared_root(spark)}/auriga/{name}-{uuid.uuid4().hex}"
+    """A fresh folder path in the application's own folder, which goes when the driver ends."""
+    own = f"{shared_root(spark)}/auriga-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex}"

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import csv
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,58 +14,126 @@ INGESTED = "_ingested_at"
 FILE_NAME = "([^/]+)$"
 
 
+def headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, str]:
+    """Header line of every file that has one. Like a listing, it opens each file once, for its first line."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+    hadoop, found = spark._jvm.org.apache.hadoop.fs.Path, {}
+    for row in listed.toLocalIterator():
+        path = hadoop(row["path"])
+        stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+        try:
+            reader = spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
+            line = spark._jvm.java.io.BufferedReader(reader).readLine()
+        finally:
+            stream.close()
+        if line:
+            found[row["path"]] = line.removeprefix("\ufeff").rstrip("\r")
+    return found
+
+
+def columns_of(header: str) -> list[str]:
+    return next(csv.reader([header]))
+
+
 def header_columns(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
-    """Column names of the files, read once in batch."""
-    return spark.read.option("header", True).option("pathGlobFilter", pattern).csv(folder).columns
+    """Column names of the files in order of appearance."""
+    forms = dict.fromkeys(headers(spark, folder, pattern).values())
+    return list(dict.fromkeys(c for form in forms for c in columns_of(form)))
+
+
+def _by_name(lines: DataFrame, forms: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Lines parsed by the header of their own file, and put in place by name.
+
+    Each form of header is one schema. Columns beyond `columns` go to the rescued column as JSON; a line with
+    missing or extra fields keeps its raw text there, and what it has in its columns.
+    """
+
+    def fields(form: str) -> Column:
+        names = columns_of(form)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, RESCUED]])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED, "escape": '"'}
+        row = F.from_csv("value", _ddl(schema), options)
+        surplus = [n for n in names if n not in columns]
+        more = F.to_json(F.struct(*[row[n].alias(n) for n in surplus])) if surplus else F.lit(None).cast("string")
+        raw = row[RESCUED]
+        values = [row[c] if c in names else F.lit(None).cast("string") for c in columns]
+        return F.struct(*[v.alias(c) for v, c in zip(values, columns, strict=True)], F.coalesce(raw, more).alias(RESCUED))
+
+    parsed = F.lit(None)
+    for form in forms:
+        parsed = F.when(F.col("_header") == form, fields(form)).otherwise(parsed)
+    unknown = F.raise_error(F.concat(F.lit("no header read yet of "), "_file"))
+    return (
+        lines.filter(F.col("_header").isNull() | (F.rtrim(F.col("value"), F.lit("\r")) != F.col("_header")))
+        .withColumn("_row", F.when(F.col("_header").isNull(), unknown.cast("string")).otherwise(F.lit("")))
+        .filter("_row = ''")
+        .select(parsed.alias("_parsed"))
+        .select("_parsed.*")
+        .withColumn(INGESTED, F.current_timestamp())
+    )
 
 
-def _string_schema(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RESCUED]])
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
 
 
-def _options(pattern: str) -> dict[str, str]:
-    """A line with missing or extra fields keeps its raw text in the rescued column."""
-    return {
-        "header": "true",
-        "pathGlobFilter": pattern,
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": RESCUED,
-        "escape": '"',
-    }
+def _lines(reader, spark: SparkSession, folder: str, pattern: str, found: Mapping[str, str]) -> DataFrame:
+    """Non-blank lines with the header of their file; a file that landed after the headers were read has none."""
+    lines = reader.option("pathGlobFilter", pattern).text(folder)
+    rows = [(path, header) for path, header in found.items()] or [("", "")]
+    table = spark.createDataFrame(rows, "_file string, _header string")
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+    lines = lines.withColumn("_file", path).filter(F.trim("value") != "")
+    return lines.join(table.withColumn("_file", F.regexp_replace("_file", "^file:/+", "file:/")), "_file", "left")
 
 
-def scan_csv(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Every column as string, plus rescued text and ingestion time. `folder` may be a glob."""
-    schema = _string_schema(header_columns(spark, folder, pattern))
-    rows = spark.read.schema(schema).options(**_options(pattern)).csv(folder)
-    return rows.withColumn(INGESTED, F.current_timestamp())
+def scan_csv(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", columns: list[str] | None = None
+) -> DataFrame:
+    """Columns by their names in each file's header, as strings, plus rescued text and ingestion time.
+
+    `folder` may be a glob. Without `columns`, the columns of all files are kept; with them, others are
+    rescued. A file without a column has NULL there. Line breaks inside quotes are not read.
+    """
+    found = headers(spark, folder, pattern)
+    names = columns or list(dict.fromkeys(c for h in dict.fromkeys(found.values()) for c in columns_of(h)))
+    return _by_name(_lines(spark.read, spark, folder, pattern, found), sorted(set(found.values())), names)
 
 
 def stream_csv(
     spark: SparkSession, folder: str, pattern: str = "*.csv", columns: list[str] | None = None
 ) -> DataFrame:
-    """The same scan as a stream: each file is read once, files that land later are picked up."""
-    schema = _string_schema(columns or header_columns(spark, folder, pattern))
-    rows = spark.readStream.schema(schema).options(**_options(pattern)).csv(folder)
-    return rows.withColumn(INGESTED, F.current_timestamp())
+    """The same scan as a stream: each file is read once, files that land later are picked up.
+
+    Columns of a table that grows are fixed by `columns`: a later file's new ones are rescued, not lost. A
+    file that lands while the stream starts fails the run before it is marked as read; the next run takes it.
+    """
+    found = headers(spark, folder, pattern)
+    names = columns or list(dict.fromkeys(c for h in dict.fromkeys(found.values()) for c in columns_of(h)))
+    return _by_name(_lines(spark.readStream, spark, folder, pattern, found), sorted(set(found.values())), names)
 
 
 def cast_or_rescue(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast string columns; text that does not fit goes to the rescued column as JSON, blanks become NULL."""
+    """Cast string columns; text that does not fit goes to the rescued column as JSON, blanks become NULL.
+
+    What the scan rescued stays: alone as it was, or as one more field of the JSON.
+    """
     text = {c: F.nullif(F.trim(c), F.lit("")) for c in types}
     misfit = {c: F.when(text[c].try_cast(t).isNull(), text[c]) for c, t in types.items()}
-    pairs = F.create_map(*[part for c in types for part in (F.lit(c), misfit[c])])
+    earlier = F.col(RESCUED) if RESCUED in df.columns else F.lit(None).cast("string")
+    pairs = F.create_map(*[part for c in types for part in (F.lit(c), misfit[c])], F.lit(RESCUED), earlier)
     kept = F.map_filter(pairs, lambda _, value: value.isNotNull())
-    rescued = F.when(F.size(kept) > 0, F.to_json(kept))
+    fits = F.coalesce(*[F.when(misfit[c].isNotNull(), F.lit(False)) for c in types], F.lit(True))
+    rescued = F.when(fits, earlier).otherwise(F.to_json(kept))
     columns = [text[c].try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns if c != RESCUED]
     return df.select(*columns, rescued.alias(RESCUED))
 
 
-def whole_texts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """One row per text file, named by the last part of its path."""
+def whole_texts(spark: SparkSession, folder: str, pattern: str = "*", name: str = FILE_NAME) -> DataFrame:
+    """One row per text file, named by the part of its path that `name` captures; by default the last."""
     files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
     return files.select(
-        F.regexp_extract("_metadata.file_path", FILE_NAME, 1).alias("doc_nome"), F.col("value").alias("texto")
+        F.regexp_extract("_metadata.file_path", name, 1).alias("doc_nome"), F.col("value").alias("texto")
     )
 
 

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from auriga.functions.columns import AMOUNT, month_of
 from auriga.operators.audit_rules import RULES
 
-BUDGET_END = "2001-08-01"
+# Actuals are known up to this day; the months after it are open, as a budget runs ahead of them.
 ACTUALS_END = "2001-02-01"
-FAILURE_LEVEL = 100.0
 
 # Approval limits per position.
 POSITIONS = ["Analista", "Coordenador", "Gerente", "Diretor", "Vice-Presidente"]
@@ -180,11 +179,12 @@ class Lake:
             )
         )
 
-    def _ledger(self, end: str) -> DataFrame:
+    def _ledger(self, end: str | None = None) -> DataFrame:
+        orders = self.table("orders")
+        if end:
+            orders = orders.filter(F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz"))
         return (
-            self.table("orders")
-            .filter(F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz"))
-            .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+            orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .groupBy(
                 F.col("c_nationkey").alias("id_centro"),
                 F.col("c_mktsegment").alias("id_conta"),
@@ -196,7 +196,7 @@ class Lake:
     def budget(self) -> DataFrame:
         weight = 90 + F.pmod(F.col("id_centro"), F.lit(5)) * 5
         planned = F.round(F.col("v").cast("double") * weight / 10000) * 100
-        return self._ledger(BUDGET_END).select(
+        return self._ledger().select(
             self._ledger_key().alias("id_orcamento"),
             "id_centro",
             "id_conta",
@@ -204,8 +204,8 @@ class Lake:
             planned.cast(AMOUNT).alias("valor_orcado"),
         )
 
-    def actuals(self) -> DataFrame:
-        return self._ledger(ACTUALS_END).select(
+    def actuals(self, end: str = ACTUALS_END) -> DataFrame:
+        return self._ledger(end).select(
             self._ledger_key().alias("id_lancamento"),
             "id_centro",
             "id_conta",
@@ -257,7 +257,7 @@ class Lake:
         key, value = F.col("event_id"), F.col("value")
         return (
             self.table("events")
-            .filter((F.col("event_type") == "error") & (value >= FAILURE_LEVEL))
+            .filter(F.col("event_type") == "error")
             .select(
                 key.alias("id_falha"),
                 F.col("user_id").alias("id_ativo"),

@@ -62,6 +62,13 @@ class StreamTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.data_path)
 
+    def columns(self) -> list[str] | None:
+        """Columns the table has already; None before its first refresh."""
+        try:
+            return self.read().columns
+        except AnalysisException:
+            return None
+
     def stream(self) -> DataFrame:
         """The table as a stream of its appends."""
         return self.spark.readStream.schema(self.read().schema).parquet(self.data_path)

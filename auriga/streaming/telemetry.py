@@ -1,28 +1,29 @@
-"""Daily telemetry kept up to date by a stream with a watermark."""
+"""Daily telemetry kept up to date by a stream: days that new readings touch are computed anew."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auriga.operators.maintenance import ASSET, daily_measures
+from auriga.operators.maintenance import daily_telemetry
 
 
-def daily_telemetry_stream(readings: DataFrame, delay: str = "1 day") -> DataFrame:
-    """A day is emitted once it ends before the newest reading minus `delay`; later rows of it are dropped.
+def refresh_daily_telemetry(readings: DataFrame, stored: str, path: str, checkpoint: str) -> None:
+    """Bring the daily table at `path` up to date with a stream of readings.
 
-    A watermark needs an instant, so wall-clock readings are taken in the session time zone.
+    `stored` is the folder of all readings, which the stream reads too. Each batch tells which days
+    it touches; those are computed from all their readings and replace what the table had of
+    them. So a late reading counts, the newest day is there, and a batch that runs again gives the
+    same table.
     """
-    return (
-        readings.withColumn("data_hora", F.col("data_hora").cast("timestamp"))
-        .withWatermark("data_hora", delay)
-        .groupBy(F.window("data_hora", "1 day"), *ASSET)
-        .agg(*daily_measures())
-        .withColumn("dia", F.col("window.start").cast("date"))
-        .drop("window")
-    )
-
-
-def first_of_each(stream: DataFrame, keys: list[str], time_col: str, delay: str = "1 day") -> DataFrame:
-    """Drop repeats of a key that arrive within the delay of each other; state stays bounded."""
-    return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(keys)
+
+    def replace_days(batch: DataFrame, _: int) -> None:
+        touched = batch.select(F.col("data_hora").cast("date").alias("dia")).distinct()
+        every = batch.sparkSession.read.schema(batch.schema).parquet(stored)
+        whole = every.withColumn("dia", F.col("data_hora").cast("date")).join(touched, "dia", "left_semi").drop("dia")
+        daily = daily_telemetry(whole)
+        daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dia").parquet(path)
+
+    readings.writeStream.foreachBatch(replace_days).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True
+    ).start().awaitTermination()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from auriga.plans.refresh import refresh_case
 from auriga.sources import files
 from auriga.sources.stored import replace_table
 from auriga.streaming.tables import StreamTable
-from auriga.streaming.telemetry import first_of_each
+from auriga.streaming.telemetry import refresh_daily_telemetry
 
 
 def test_new_files_only(spark, tmp_path):
@@ -52,10 +52,33 @@ def test_misshapen_lines_are_rescued(spark, tmp_path):
     assert rows["7"] == ('a "b" c', None)
 
 
+@pytest.mark.parametrize("streamed", [False, True])
+def test_columns_are_placed_by_name(spark, tmp_path, streamed):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text("id,v\n1,10\n")
+    (raw / "b.csv").write_text('v,id,novo\n20,2,"x, y"\n')
+    (raw / "c.csv").write_text("id\n3\n")
+    (raw / "d.csv").write_text("")
+
+    def read(columns=None):
+        if not streamed:
+            return files.scan_csv(spark, str(raw), "*.csv", columns)
+        table = StreamTable(spark, str(tmp_path / f"t{columns}"), "x")
+        return table.refresh(files.stream_csv(spark, str(raw), "*.csv", columns)).read()
+
+    got = sorted((r.id, r.v, r._rescued_data) for r in read(["id", "v"]).collect())
+    assert got == [("1", "10", None), ("2", "20", '{"novo":"x, y"}'), ("3", None, None)]
+    assert sorted((r.id, r.v, r.novo) for r in read().collect()) == [("1", "10", None), ("2", "20", "x, y"), ("3", None, None)]
+
+
 def test_cast_or_rescue(spark):
     raw = spark.createDataFrame([("1", "x", " "), ("2", "2024-02-30", "5"), ("3", "2024-02-29", None)], "k string, d string, n string")
     got = {r.k: (str(r.d), r.n, r._rescued_data) for r in files.cast_or_rescue(raw, {"k": "int", "d": "date", "n": "int"}).collect()}
     assert got == {1: ("None", None, '{"d":"x"}'), 2: ("None", 5, '{"d":"2024-02-30"}'), 3: ("2024-02-29", None, None)}
+    scanned = spark.createDataFrame([("1", "3,4,5"), ("x", "6"), ("2", None)], "k string, _rescued_data string")
+    kept = [r._rescued_data for r in files.cast_or_rescue(scanned, {"k": "int"}).collect()]
+    assert kept == ["3,4,5", '{"k":"x","_rescued_data":"6"}', None]
 
 
 def test_whole_texts_and_binary(spark, tmp_path):
@@ -101,13 +124,22 @@ def test_case_refresh_grows_with_a_new_lot(spark, tmp_path):
     assert again["silver_leituras"].count() == 3
 
 
-def test_repeats_within_the_watermark_are_dropped(spark, tmp_path):
-    start = datetime(2024, 1, 1)
-    rows = [("a", start), ("a", start + timedelta(hours=1)), ("b", start)]
-    spark.createDataFrame(rows, "k string, t timestamp").coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("k string, t timestamp").parquet(str(tmp_path / "in"))
-    table = StreamTable(spark, str(tmp_path / "out"), "x").refresh(first_of_each(stream, ["k"], "t"))
-    assert sorted(r.k for r in table.read().collect()) == ["a", "b"]
+def test_late_and_newest_days_are_in_the_daily_table(spark, tmp_path):
+    fields = "id_leitura bigint, id_ativo string, tag string, tipo string, site string, criticidade string, data_hora timestamp, temperatura double, vibracao double, pressao double, rpm int"
+    folder = str(tmp_path / "in")
+
+    def deliver(*days):
+        rows = [(d, "A", "t", "Bomba", "Sul", "Alta", datetime(2024, 1, d, 9), 50.0, float(d), 1.0, 900) for d in days]
+        spark.createDataFrame(rows, fields).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+        refresh_daily_telemetry(stream, folder, str(tmp_path / "daily"), str(tmp_path / "check"))
+        return sorted(r.dia.day for r in spark.read.parquet(str(tmp_path / "daily")).collect())
+
+    assert deliver(5, 6) == [5, 6]
+    assert deliver(2, 6, 9) == [2, 5, 6, 9]
+    daily = spark.read.parquet(str(tmp_path / "daily")).filter("dia = '2024-01-06'").first()
+    assert daily.n_leituras == 2
+    assert deliver(10) == [2, 5, 6, 9, 10]
 
 
 def test_working_folder_comes_from_the_session(spark):

@@ -72,7 +72,7 @@ def test_global_rank_equals_rank(spark):
 def test_dimension_past_the_bound_joins_the_same(spark):
     fact = spark.range(50).select((F.col("id") % 5).alias("k"), "id")
     dimension = spark.range(4).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    small, large = join_dimension(fact, dimension, "k"), join_dimension(fact, dimension, "k", max_rows=2)
+    small, large = join_dimension(fact, dimension, "k"), join_dimension(fact, dimension, "k", max_bytes=0)
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     plan = small._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan
