@@ -130,9 +130,8 @@ def semantic_top_k(queries: DataFrame, corpus: DataFrame, k: int = 4, query_rows
     return top_k(queries.select("id_consulta", "vetor"), corpus.select("id", "vetor"), cosine, k, query_rows)
 
 
-def signatures(vectors: DataFrame, key: str, size: int, bits: int, tables: int, seed: int = 7) -> DataFrame:
+def signatures(vectors: DataFrame, key: str, bits: int, tables: int, seed: int = 7) -> DataFrame:
     """key, tabela, assinatura: sides of `bits` random hyperplanes that a vector is on, in each table."""
-    planes = np.random.default_rng(seed).normal(size=(tables, bits, size))
     powers = 2 ** np.arange(bits)
     schema = f"{key} {dict(vectors.dtypes)[key]}, assinaturas array<bigint>"
 
@@ -140,6 +139,7 @@ def signatures(vectors: DataFrame, key: str, size: int, bits: int, tables: int,
         for frame in frames:
             if len(frame):
                 given = np.stack(frame["vetor"].to_numpy()).astype(float)
+                planes = np.random.default_rng(seed).normal(size=(tables, bits, given.shape[1]))
                 codes = (np.einsum("tbd,nd->ntb", planes, given) > 0) @ powers
                 yield pd.DataFrame({key: frame[key], "assinaturas": list(codes)})
 
@@ -148,13 +148,13 @@ def signatures(vectors: DataFrame, key: str, size: int, bits: int, tables: int,
 
 
 def approximate_top_k(
-    queries: DataFrame, corpus: DataFrame, k: int = 4, bits: int = 5, tables: int = 32, size: int = 64
+    queries: DataFrame, corpus: DataFrame, k: int = 4, bits: int = 5, tables: int = 32
 ) -> DataFrame:
     """Nearest texts among those that share a signature in some table; may miss neighbours, never misstates a score.
 
     Candidates come from an equality join of signatures, whose hot ones adaptive execution splits.
     """
-    asked, known = (signatures(df, key, size, bits, tables) for df, key in ((queries, "id_consulta"), (corpus, "id")))
+    asked, known = (signatures(df, key, bits, tables) for df, key in ((queries, "id_consulta"), (corpus, "id")))
     pairs = asked.join(known, ["tabela", "assinatura"]).select("id_consulta", "id").distinct()
 
     def dot(a: str, b: str):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from auriga.operators import audit, changes, finance, maintenance, procurement, quality
+from auriga.operators import changes, finance, quality
 from auriga.plans.oracle_tables import pct_true, ratio, tot, tot_where
 
 FIRST_SNAPSHOT = "2000-06-30"
@@ -113,60 +113,23 @@ def raw_tables(c, case: str) -> dict:
     return {name: getattr(c.lake, adapter)() if adapter else made[name]() for name, adapter in RAW[case]}
 
 
-def typed_tables(c, case: str) -> dict:
-    return {
-        "suprimentos": lambda: {"pedidos": c.orders, "itens": c.lines, "recebimentos": c.receipts},
-        "financas": lambda: {
-            "centros": c.centers, "contas": c.accounts, "orcamento": c.budget, "realizado": c.actuals,
-        },
-        "manutencao": lambda: {
-            "ativos": c.assets, "leituras": c.readings, "falhas": c.failures, "ordens": c.work_orders,
-        },
-        "auditoria": lambda: {"transacoes": c.payments, "achados": c.findings},
-    }[case]()
-
-
-def gold_tables(c, case: str) -> dict:
-    base = c.budget_base
-    return {
-        "suprimentos": lambda: {
-            "gasto_categoria": procurement.category_spend(c.orders),
-            "lead_time_fornecedor": c.delivery,
-            "saving": procurement.category_saving(c.lines, c.orders),
-            "aderencia_contrato": procurement.contract_coverage(c.orders),
-            "fornecedor_unico": procurement.sole_source_spend(c.orders),
-        },
-        "financas": lambda: {
-            "orcado_vs_realizado": base,
-            "variacao_budget": finance.budget_variance(base),
-            "despesa_categoria": finance.expense_by_group(base),
-            "receita_mensal": finance.monthly_revenue(base),
-            "topo_estouros": finance.top_overruns(base),
-        },
-        "manutencao": lambda: {
-            "telemetria_resumo": c.daily,
-            "saude_ativo": c.health,
-            "mtbf": c.mtbf,
-            "custo_manutencao": c.cost,
-            "ativos_risco": maintenance.assets_at_risk(c.health, c.mtbf, c.work_orders),
-        },
-        "auditoria": lambda: {
-            "achados": audit.findings_by_rule(c.ruled_findings),
-            "violacoes_alcada": audit.limit_violations(c.payments),
-            "gasto_sem_contrato": audit.uncontracted_spend(c.payments),
-            "resumo_compliance": c.compliance,
-        },
-    }[case]()
+def layer_counts(c, case: str):
+    """Rows of every stored table of a refreshed case."""
+    from auriga.plans.catalog.ingest import refreshed
 
+    tables, parts = refreshed(c, case), []
+    for layer in ("bronze", "silver", "gold"):
+        own = {n.removeprefix(f"{layer}_"): df for n, df in tables.items() if n.startswith(f"{layer}_")}
+        parts.append(quality.row_counts(layer, own))
+    return quality.stack(parts)
 
-def layer_counts(c, case: str):
-    return quality.stack(
-        [
-            quality.row_counts("bronze", raw_tables(c, case)),
-            quality.row_counts("silver", typed_tables(c, case)),
-            quality.row_counts("gold", gold_tables(c, case)),
-        ]
-    )
+
+def stored_check(c, name: str, case: str, bronze: str, silver: str, keys: list[str]):
+    """A stored bronze table against the stored silver table made of it."""
+    from auriga.plans.catalog.ingest import refreshed
+
+    tables = refreshed(c, case)
+    return quality.layer_check(name, tables[f"bronze_{bronze}"], tables[f"silver_{silver}"], keys)
 
 
 _COUNTED = {
@@ -366,25 +329,20 @@ def register(add_query) -> None:
               FROM t_suppliers) v""",
     )
     keyed = [
-        ("pedidos", "purchase_orders", "orders", ["id_pedido", "id_fornecedor"], "t_orders"),
-        ("itens", "order_lines", "lines", ["id_pedido", "id_item"], "t_lines"),
-        ("recebimentos", "receipts", "receipts", ["id_pedido"], "t_receipts"),
-        ("orcamento", "budget", "budget", ["id_centro", "id_conta", "mes"], "t_budget"),
-        ("lancamentos", "actuals", "actuals", ["id_centro", "id_conta", "mes"], "t_actuals"),
-        ("leituras", "readings", "readings", ["id_leitura", "id_ativo"], "t_readings"),
-        ("transacoes", "payments", "payments", ["id_transacao"], "t_payments"),
+        ("pedidos", "suprimentos", "pedidos_compra", "pedidos", ["id_pedido", "id_fornecedor"], "t_orders"),
+        ("itens", "suprimentos", "itens_pedido", "itens", ["id_pedido", "id_item"], "t_lines"),
+        ("recebimentos", "suprimentos", "recebimentos", "recebimentos", ["id_pedido"], "t_receipts"),
+        ("orcamento", "financas", "orcamento", "orcamento", ["id_centro", "id_conta", "mes"], "t_budget"),
+        ("lancamentos", "financas", "lancamentos", "realizado", ["id_centro", "id_conta", "mes"], "t_actuals"),
+        ("leituras", "manutencao", "leituras_sensores", "leituras", ["id_leitura", "id_ativo"], "t_readings"),
+        ("transacoes", "auditoria", "transacoes", "transacoes", ["id_transacao"], "t_payments"),
     ]
     add(
         "q9_layer_check",
-        lambda c: quality.stack(
-            [
-                quality.layer_check(name, getattr(c.lake, raw)(), getattr(c, typed), keys)
-                for name, raw, typed, keys, _ in keyed
-            ]
-        ),
+        lambda c: quality.stack([stored_check(c, *check) for *check, _ in keyed]),
         _union(
             [f"""SELECT '{name}' AS tabela, count(*) AS linhas_silver, count(*) AS linhas_bronze,
                         count(*) FILTER (WHERE {' OR '.join(f'{k} IS NULL' for k in keys)}) AS chaves_nulas FROM {table}"""
-             for name, _, _, keys, table in keyed]
+             for name, _, _, _, keys, table in keyed]
         ),
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from auriga.operators import quality
+from auriga.operators import changes, documents, quality
 from auriga.plans.catalog.checks import raw_tables
+from auriga.plans.catalog.texts import EXTRA as TEXTS
 from auriga.plans.refresh import CASES, refresh_bronze, refresh_case
 from auriga.session import scratch
 from auriga.sources import files
@@ -123,17 +124,74 @@ def _write_bundles(c) -> str:
     return folder
 
 
-def _silver_stream(c):
-    raw, root = write_raw(c, "suprimentos"), scratch(c.spark, "tables")
-    tables = refresh_case(c.spark, "suprimentos", raw, root, source=folder_source)
-    return tables["silver_pedidos"].withColumns(
-        {"id_pedido": F.col("id_pedido").cast("bigint"), "id_fornecedor": F.col("id_fornecedor").cast("bigint")}
+_REFRESHED: dict[tuple, dict] = {}
+
+
+def refreshed(c, case: str) -> dict:
+    """One refresh per application, lake and case, shared by all queries on its layers."""
+    key = (c.spark.sparkContext.applicationId, c.lake.path, case)
+    if key not in _REFRESHED:
+        raw, root = write_raw(c, case), scratch(c.spark, "tables")
+        _REFRESHED[key] = refresh_case(c.spark, case, raw, root, source=folder_source)
+    return _REFRESHED[key]
+
+
+def _layer(c, case: str, table: str, direct):
+    """A refreshed table with its ids, text in raw files, in the types of the plan over the lake."""
+    found = refreshed(c, case)[table]
+    return found.select(*[F.col(name).cast(kind).alias(name) for name, kind in direct(c).dtypes])
+
+
+_LAYERS = {
+    "suprimentos": {
+        "silver_pedidos": "v1_enriched_orders", "silver_itens": "v2_priced_lines", "silver_recebimentos": "v3_timed_receipts",
+        "gold_gasto_categoria": "p1_category_spend", "gold_lead_time_fornecedor": "p2_supplier_delivery",
+        "gold_saving": "p3_category_saving", "gold_aderencia_contrato": "p4_contract_coverage",
+        "gold_fornecedor_unico": "p5_sole_source_spend"},
+    "financas": {
+        "silver_centros": "v4_cost_centers", "silver_contas": "v4_accounts", "silver_orcamento": "v5_budget",
+        "silver_realizado": "v5_actuals", "gold_orcado_vs_realizado": "f1_budget_vs_actual",
+        "gold_variacao_budget": "f2_budget_variance", "gold_despesa_categoria": "f3_expense_by_group",
+        "gold_receita_mensal": "f4_monthly_revenue", "gold_topo_estouros": "f5_top_overruns"},
+    "manutencao": {
+        "silver_ativos": "v6_assets", "silver_falhas": "v6_failures", "silver_ordens": "v6_work_orders",
+        "silver_leituras": "v7_readings", "gold_telemetria_resumo": "m1_daily_telemetry", "gold_saude_ativo": "m2_asset_health",
+        "gold_mtbf": "m3_time_between_failures", "gold_custo_manutencao": "m4_maintenance_cost",
+        "gold_ativos_risco": "m5_assets_at_risk"},
+    "auditoria": {
+        "silver_transacoes": "v8_flagged_payments", "silver_achados": "v9_enriched_findings",
+        "gold_achados": "a1_findings_by_rule", "gold_violacoes_alcada": "a2_limit_violations",
+        "gold_gasto_sem_contrato": "a3_uncontracted_spend", "gold_resumo_compliance": "a4_compliance_summary"},
+}
+
+
+def _chunk_changes(c):
+    """A folder of texts becomes chunks twice, the second time with some texts edited, dropped and added."""
+    snapshots = []
+    number = F.substring("doc_nome", 5, 20).cast("bigint")
+    first = c.lake.documents().filter(number % 10 != 0)
+    second = c.lake.documents().filter(number % 10 != 1).withColumn(
+        "texto", F.when(number % 10 == 2, F.concat("texto", F.lit("\nnota"))).otherwise(F.col("texto"))
     )
+    for texts in (first, second):
+        snapshots.append(replace_table(documents.split_sections(texts, "\n"), scratch(c.spark, "chunks")))
+    return snapshots
 
 
-def _gold_refresh(c, case: str, name: str):
-    raw, root = write_raw(c, case), scratch(c.spark, "tables")
-    return refresh_case(c.spark, case, raw, root, source=folder_source)[f"gold_{name}"]
+def _searched_corpus(c):
+    """The searched copy brought up to date by the feed alone."""
+    before, after = _chunk_changes(c)
+    feed = replace_table(changes.change_feed(before, after, ["chunk_id"]), scratch(c.spark, "feed"))
+    return changes.apply_changes(before, feed, ["chunk_id"])
+
+
+def _changed_sections(condition: str, text: str) -> str:
+    return f"""
+    SELECT doc_nome || '#' || i AS chunk_id, doc_nome, politica, CAST(i AS INT) AS secao_idx,
+           CASE WHEN i = 0 THEN p ELSE p END AS texto
+    FROM (SELECT doc_nome, politica, unnest(s) AS p, unnest(range(len(s))) AS i
+          FROM (SELECT *, string_split({text}, chr(10)) AS s FROM t_docs
+                WHERE CAST(substr(doc_nome, 5) AS BIGINT) % 10 {condition})) WHERE length(trim(p)) > 0"""
 
 
 def _replace_twice(c):
@@ -221,8 +279,32 @@ def register(add) -> None:
         _binary_files,
         "SELECT 'doc-' || doc_id AS doc_nome, text AS texto FROM documents",
     )
-    add("s8_silver_stream", _silver_stream, "SELECT * FROM t_orders")
-    add("s9_gold_refresh", lambda c: _gold_refresh(c, "suprimentos", "gasto_categoria"), "SELECT * FROM t_category_spend")
+    from auriga.plans.catalog import tables as direct
+
+    plans: dict = {}
+    direct.register(lambda name, build, sql=None: plans.__setitem__(name, (build, sql)))
+    for case, layers in _LAYERS.items():
+        for table, key in layers.items():
+            build, sql = plans[key]
+            prefix = "s8" if table.startswith("silver") else "s9"
+            add(
+                f"{prefix}_{table}",
+                lambda c, case=case, table=table, build=build: _layer(c, case, table, build),
+                sql,
+            )
+    edited = "CASE WHEN CAST(substr(doc_nome, 5) AS BIGINT) % 10 = 2 THEN texto || chr(10) || 'nota' ELSE texto END"
+    old, new = _changed_sections("<> 0", "texto"), _changed_sections("<> 1", edited)
+    fields = ("doc_nome", "politica", "secao_idx", "texto")
+    add(
+        "s13_chunk_changes",
+        lambda c: changes.change_feed(*_chunk_changes(c), ["chunk_id"]),
+        f"""SELECT chunk_id, {', '.join(f'CASE WHEN n.chunk_id IS NULL THEN o.{f} ELSE n.{f} END AS {f}' for f in fields)},
+                   CASE WHEN o.chunk_id IS NULL THEN 'insert' WHEN n.chunk_id IS NULL THEN 'delete' ELSE 'update' END AS _change
+            FROM ({old}) o FULL JOIN ({new}) n USING (chunk_id)
+            WHERE o.chunk_id IS NULL OR n.chunk_id IS NULL OR ({' OR '.join(f'o.{f} IS DISTINCT FROM n.{f}' for f in fields)})""",
+        **TEXTS,
+    )
+    add("s13_searched_corpus", _searched_corpus, new, **TEXTS)
     add(
         "s10_replace_table",
         _replace_twice,

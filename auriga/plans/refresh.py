@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from auriga.operators import audit, finance, maintenance, procurement, silver
 from auriga.sources.files import INGESTED, RESCUED, cast_or_rescue, stream_csv
@@ -99,6 +100,26 @@ CASES = {
 }
 
 
+# What silver reads typed. Text that does not fit is set aside, so one bad value stops no table.
+TYPES = {
+    "pedidos_compra": {"data_pedido": "date", "valor_total": "decimal(18,2)"},
+    "itens_pedido": {
+        "id_item": "int", "qtd": "decimal(18,2)", "preco_unitario": "decimal(18,2)", "preco_baseline": "decimal(18,2)"},
+    "recebimentos": {
+        "data_prometida": "date", "data_recebida": "date", "qtd_recebida": "decimal(18,2)", "ok_qualidade": "boolean"},
+    "orcamento": {"mes": "date", "valor_orcado": "decimal(18,2)"},
+    "lancamentos": {"mes": "date", "valor_realizado": "decimal(18,2)"},
+    "ativos": {"data_instalacao": "date", "potencia_kw": "int"},
+    "leituras_sensores": {
+        "data_hora": "timestamp_ntz", "temperatura": "double", "vibracao": "double", "pressao": "double", "rpm": "int"},
+    "falhas": {"data_falha": "date"},
+    "ordens_manutencao": {
+        "data_abertura": "date", "data_fechamento": "date", "custo": "decimal(18,2)", "downtime_horas": "double"},
+    "transacoes": {"data_transacao": "date", "valor": "decimal(18,2)"},
+    "achados_auditoria": {"data_deteccao": "date", "valor_em_risco": "decimal(18,2)"},
+}
+
+
 def raw_source(raw: str, name: str) -> tuple[str, str]:
     """Where the files of a raw table are: one file of its name, or the numbered lots of the sensors."""
     return raw, f"{name}_lote*.csv" if name == "leituras_sensores" else f"{name}.csv"
@@ -126,11 +147,16 @@ def _known(table: StreamTable) -> list[str] | None:
 
 
 def refresh_silver(spark: SparkSession, case: str, root: str, tables: Tables, full: bool = False) -> Tables:
+    """Silver tables, and a `rescued_` table beside each with the rows of which some text did not fit."""
     tables = dict(tables)
     for name, (streamed, transform) in CASES[case].silver.items():
         facts = StreamTable(spark, root, f"bronze_{streamed}").stream()
+        facts = cast_or_rescue(facts, TYPES.get(streamed, {}))
+        misfits = StreamTable(spark, root, f"rescued_{name}")
+        running = misfits.start(facts.filter(F.col(RESCUED).isNotNull()), full)
         table = StreamTable(spark, root, f"silver_{name}").refresh(transform(facts, tables), full)
-        tables[f"silver_{name}"] = table.read()
+        running.awaitTermination()
+        tables[f"silver_{name}"], tables[f"rescued_{name}"] = table.read(), misfits.read(facts.schema)
     return tables
 
 
@@ -146,6 +172,6 @@ def refresh_case(
     spark: SparkSession, case: str, raw: str, root: str, full: bool = False,
     source: Callable[[str, str], tuple[str, str]] = raw_source,
 ) -> Tables:
-    """All three layers; every table by its prefixed name."""
+    """All three layers and what was rescued; every table by its prefixed name."""
     bronze = refresh_bronze(spark, case, raw, root, full, source)
     return refresh_gold(spark, case, root, refresh_silver(spark, case, root, bronze, full))

@@ -144,7 +144,8 @@ def binary_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFr
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
-    """CSV with a header that keeps blanks as they are."""
+    """CSV with a header that keeps blanks and microseconds as they are."""
     df.write.mode("overwrite").options(
+        timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
         header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", escape='"'
     ).csv(folder)

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 
 def start_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -59,8 +60,10 @@ class StreamTable:
         self.start(stream, full).awaitTermination()
         return self
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.data_path)
+    def read(self, schema: StructType | None = None) -> DataFrame:
+        """The table; with a schema also one that has no rows yet."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.data_path)
 
     def columns(self) -> list[str] | None:
         """Columns the table has already; None before its first refresh."""

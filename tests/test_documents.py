@@ -96,7 +96,7 @@ def _bm25(queries, chunks, k=4):
     return out
 
 
-def test_lexical_matches_a_plain_loop_both_ways(spark):
+def test_lexical_matches_a_plain_loop(spark):
     rng = np.random.default_rng(3)
     words = [f"p{i}" for i in range(40)] + ["ção", "Über"]
     chunks = [(f"c{i:03d}", " ".join(rng.choice(words, size=rng.integers(1, 30)))) for i in range(200)]
@@ -105,14 +105,13 @@ def test_lexical_matches_a_plain_loop_both_ways(spark):
     query_df = spark.createDataFrame(queries, "id_consulta int, texto string")
     want = _bm25(queries, chunks)
     assert _rows(retrieval.lexical_top_k(query_df, chunk_df)) == want
-    assert _rows(retrieval.lexical_top_k(query_df, chunk_df, query_rows=5)) == want
 
 
 def test_context_lists_sources_in_rank_order(spark):
     chunks = documents.split_sections(docs(spark, "alpha beta\n## beta", "beta gamma"))
     asked = spark.createDataFrame([(1, "gamma beta")], "id_consulta int, texto string")
     found = retrieval.lexical_top_k(asked, chunks, k=2)
-    text = retrieval.contexts(found, chunks, asked).first().contexto
+    text = retrieval.contexts(found, chunks).first().contexto
     assert text.startswith("[d1] beta gamma\n\n[d0] ")
 
 

@@ -149,6 +149,21 @@ def test_working_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_bad_value_is_rescued_and_stops_nothing(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    for name, text in RAW.items():
+        (raw / name).write_text(text)
+    lot = raw / "leituras_sensores_lote02.csv"
+    lot.write_text(RAW["leituras_sensores_lote01.csv"].splitlines()[0] + "\n7,A1,ontem,50,3,2,900\n")
+    (raw / "ativos_antigos.csv").write_text(RAW["ativos.csv"])
+    tables = refresh_case(spark, "manutencao", str(raw), root)
+    assert tables["bronze_ativos"].count() == 2
+    assert tables["silver_leituras"].filter("id_leitura = '7' AND data_hora IS NULL").count() == 1
+    assert [r._rescued_data for r in tables["rescued_leituras"].collect()] == ['{"data_hora":"ontem"}']
+    assert tables["rescued_falhas"].count() == 0
+
+
 def test_unknown_case_fails(spark, tmp_path):
     with pytest.raises(KeyError):
         refresh_case(spark, "outro", str(tmp_path), str(tmp_path))

@@ -116,3 +116,26 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT variancia, variancia_pct FROM fin_variancia_conta('Energia')").first()[:] == (Decimal("10.00"), 6.7)
     assert spark.sql("SELECT otif_pct FROM sup_otif_fornecedor('Uno')").first()[0] == 75.5
     assert spark.sql("SELECT * FROM aud_achados_fornecedor('Uno')").first()[:] == (2, Decimal("15.00"))
+
+
+def test_functions_take_the_ids_of_their_tables(spark):
+    health = spark.createDataFrame([("ATV001", "B-1", 80, "Crítico", 3.5)], "id_ativo string, tag string, score_risco int, categoria_risco string, vibracao_recente double")
+    delivery = spark.createDataFrame([("F01", "Uno", 75.5)], "id_fornecedor string, razao_social string, otif_pct double")
+    register_functions(spark, {"mnt_saude_ativo": health, "sup_otif_fornecedor": delivery})
+    assert spark.sql("SELECT id_ativo FROM mnt_saude_ativo('ATV001')").first()[0] == "ATV001"
+    assert spark.sql("SELECT * FROM sup_otif_fornecedor('Uno')").first()[:] == ("F01", 75.5)
+
+
+def test_global_rank_keeps_every_row(spark):
+    values = [5.0, 0.0, -3.0, None, 5.0, -0.001, 1e-9, -3.0, None, 700.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = sorted((r.p, str(r.v)) for r in global_rank(df, "v", "p").select("v", "p").collect())
+    df.createOrReplaceTempView("ranked_values")
+    want = spark.sql("SELECT rank() OVER (ORDER BY v DESC) AS p, v FROM ranked_values").collect()
+    assert got == sorted((r.p, str(r.v)) for r in want)
+
+
+def test_joins_are_planned_without_jobs(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    join_dimension(spark.range(5), spark.range(9).groupBy("id").count(), "id")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
