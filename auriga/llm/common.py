@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auriga.session import scratch, shared_root
+from auriga.session import scratch
 
 # Words are runs without the six ASCII blanks; no other white space parts them.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -72,5 +72,5 @@ def cut(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_root(df.sparkSession))
+        context.setCheckpointDir(scratch(df.sparkSession, "checkpoints"))
     return df.checkpoint()

@@ -19,12 +19,14 @@ FOLDS, HELD_OUT = 7, 2
 STATES = 6
 ROUNDS = 4
 # Words with a symbol of their own; all others share symbols by their first and last letters.
-OWN_WORDS, LONGEST_OWN = 65_536, 64
+# Rare words must be among the latter, since they stand for words that training has not seen.
+OWN_WORDS, LONGEST_OWN, LEAST_OWN = 65_536, 64, 4
 SHARED = 8_192
 # Baum-Welch runs on stretches of so many tokens; so many stretches at a time.
 STRETCH, AT_ONCE = 64, 2_048
-# Weight of the corpus distribution in every state's emissions, in tokens.
-PRIOR = 200.0
+# Weight of the corpus distribution in a state's emissions, as a share of the state's even part of the tokens.
+PRIOR = 0.1
+NOISE = 0.5
 LOG10 = math.log(10)
 
 
@@ -119,8 +121,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 def learn_vocabulary(training: DataFrame, counts: DataFrame) -> Vocabulary:
     """Totals, the commonest words, and tokens and words per shared symbol; at most OWN_WORDS + SHARED rows."""
-    short = counts.filter(F.length("word") <= LONGEST_OWN)
-    own = keep(short.orderBy(F.desc("count"), "word").limit(OWN_WORDS), "lm-own")
+    common = counts.filter((F.length("word") <= LONGEST_OWN) & (F.col("count") >= LEAST_OWN))
+    own = keep(common.orderBy(F.desc("count"), F.xxhash64("word"), "word").limit(OWN_WORDS), "lm-own")
     listed = own.collect()
     letters = F.concat(F.substring("word", 1, 2), F.substring("word", -2, 2))
     shared = (
@@ -147,14 +149,15 @@ def shared_symbol(word: str) -> int:
 
 def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Symbols of every text, the parts of its scores that common words settle, and its other words."""
-    shipped = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    # Plain values travel, so that executors need no module of this package.
+    shipped = rows.sparkSession.sparkContext.broadcast(vars(vocabulary))
     schema = (
         "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, own_known bigint, own_score double, "
         "shared_score double, symbols binary, rare array<struct<word:string,times:int>>"
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = shipped.value
+        v = Vocabulary(**shipped.value)
         first = len(v.words)
         own_log = np.log10(v.counts + 1)
         shared_log = np.log10(v.shared_tokens + v.shared_words + 1)
@@ -190,7 +193,7 @@ def split(text: str) -> list[str]:
 
 def initial_model(corpus: np.ndarray, states: int) -> Model:
     """Sticky states whose emissions are the corpus distribution, each shaken by its own noise."""
-    noise = np.random.default_rng(5).normal(0.0, 1.0, (len(corpus), states))
+    noise = np.random.default_rng(5).normal(0.0, NOISE, (len(corpus), states))
     emit = corpus[:, None] * np.exp(noise)
     moves = np.full((states, states), 0.05 / max(states - 1, 1))
     np.fill_diagonal(moves, 0.95 if states > 1 else 1.0)
@@ -205,10 +208,10 @@ def train(coded: DataFrame, vocabulary: Vocabulary, states: int, rounds: int) ->
     columns = [f"s{k}" for k in range(states)]
     schema = ", ".join(["kind int", "symbol int"] + [f"{c} double" for c in columns])
     for _ in range(rounds if vocabulary.texts else 0):
-        shipped = coded.sparkSession.sparkContext.broadcast(model)
+        shipped = coded.sparkSession.sparkContext.broadcast(vars(model))
 
         def run(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            found = Expected(shipped.value)
+            found = Expected(Model(**shipped.value))
             for batch in sliced(batches, 2048):
                 found.add([np.frombuffer(s, dtype="<i4") for s in batch["symbols"]])
             yield found.table(columns)
@@ -291,7 +294,8 @@ class Expected:
 def updated(table: pd.DataFrame, columns: list[str], corpus: np.ndarray) -> Model:
     """The next model from summed counts; the corpus distribution keeps every emission above 0."""
     states = len(columns)
-    emit = PRIOR * np.repeat(corpus[:, None], states, axis=1)
+    tokens = table[table["kind"] == 0][columns].to_numpy().sum()
+    emit = max(PRIOR * tokens / states, 1.0) * np.repeat(corpus[:, None], states, axis=1)
     moves, start, resume = np.ones((states, states)), np.ones(states), np.ones(states)
     for kind, target in ((0, emit), (1, moves)):
         part = table[table["kind"] == kind]
@@ -324,12 +328,13 @@ def log_likelihoods(texts: list[np.ndarray], model: Model) -> np.ndarray:
 
 def forward_scores(coded: DataFrame, model: Model) -> DataFrame:
     """row, likely: log10 probability of each text's symbols."""
-    shipped = coded.sparkSession.sparkContext.broadcast(model)
+    shipped = coded.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = Model(**shipped.value)
         for batch in sliced(batches, 4096):
             if len(batch):
                 texts = [np.frombuffer(s, dtype="<i4") for s in batch["symbols"]]
-                yield pd.DataFrame({"row": batch["row"], "likely": log_likelihoods(texts, shipped.value)})
+                yield pd.DataFrame({"row": batch["row"], "likely": log_likelihoods(texts, model)})
 
     return coded.select("row", "symbols").mapInPandas(run, "row bigint, likely double")
