@@ -150,76 +150,162 @@ def near_groups(
     return rows.join(per_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-# For copies with a few edits: fingerprints of the set of words, under several seeds, find candidates. A
-# longer sketch of five-word shingles settles most: a Jaccard similarity s of shingles is a cosine of
-# 2s / (1 + s), whose angle gives the share of bits that differ, 77 of 512 for 0.8. At most SURE bits count as
-# similar, more than DOUBT as not, three standard deviations off; the shingles themselves decide between.
-SEEDS = 6
-NEAR_RADIUS = 3
-SKETCH = 8
+# For copies with a few edits, texts link at a Jaccard similarity of 0.8 of their sets of five-word shingles: sets
+# of m and n shingles link if at most (m + n) / 9 shingles are in one of them only, so m <= 1.25 n. Sizes fall into
+# classes by a factor of 1.25; a pair that links lies in one class or in two neighbouring ones, a level. On each
+# level shingles are dealt by hash into more parts than shingles may differ, so similar sets agree in whole parts.
 NEAR_SHINGLE = 5
-SIMILAR = 0.8
-SURE, DOUBT = 54, 104
+PARITY = 8
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], dtype=np.uint64)
+BUCKET = 1 << 20
 
 
-def sketches(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """row, doc_id, key (MD5 of the text), prints (SEEDS fingerprints), sketch (SKETCH times 64 bits)."""
+def _classes() -> np.ndarray:
+    """Smallest size of each class: sizes within a factor of 1.25 are at most one class apart."""
+    bounds = [1]
+    while bounds[-1] < 1 << 40:
+        bounds.append(bounds[-1] * 5 // 4 + 1)
+    return np.array(bounds)
+
+
+CLASSES = _classes()
+
+
+def shingle_values(text: bytes) -> np.ndarray:
+    """Distinct 64-bit hashes of the five-word shingles, ascending; fewer words, or none, are one shingle."""
+    words = [xxhash.xxh64_intdigest(w, SEED) for w in text.lower().split()]
+    hashes = np.array(words + [0] * (NEAR_SHINGLE - len(words)), dtype=np.uint64)
+    grams = len(hashes) - NEAR_SHINGLE + 1
+    return np.unique(_mixed(sum(hashes[i : i + grams] * FACTORS[i] for i in range(NEAR_SHINGLE))))
+
+
+def part_signatures(values: np.ndarray) -> np.ndarray:
+    """Signatures of a set of shingles; sets of a similarity of 0.8 or more share one at least.
+
+    On a level whose sets differ in at most d shingles, of k parts at least k - d are equal. Empty parts tell
+    nothing and have no signature; a set with k - d of them or more adds its least shingles, as many as miss from
+    a common share of 0.8, plus one: if only empty parts are equal, both sets do so and have one in common.
+    """
+    size = len(values)
+    own = int(np.searchsorted(CLASSES, size, side="right")) - 1
+    out = []
+    for level in range(max(own - 1, 0), own + 1):
+        most = int(CLASSES[level + 1]) - 1
+        differ = (most + most * 5 // 4) // 9
+        parts = differ + 1 + differ // 6
+        dealt = ((values >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
+        sums = np.zeros(parts, dtype=np.uint64)
+        np.add.at(sums, dealt, _mixed(values))
+        full = np.flatnonzero(np.bincount(dealt, minlength=parts))
+        place = full.astype(np.uint64) + np.uint64(level << 32)
+        out.append(_mixed(sums[full] + place * FACTORS[0]))
+        if len(full) <= differ:
+            out.append(_mixed(values[: size - (4 * size + 4) // 5 + 1] ^ np.uint64(level + 1)))
+    return np.concatenate(out)
+
+
+def shingle_sets(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, key (MD5 of the text), node (hash of the set of shingles), size, parity, signatures (64 bits each).
+
+    Bit i of parity tells whether an odd number of shingles fall on i: the bits in which two sets differ are
+    never more than the shingles that are in one of them only.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in sliced(batches):
-            prints, marks = [], []
-            for text in batch["text"]:
-                words = text.lower().split()
-                prints.append(many_bits(sorted(set(words)), SEEDS, 1))
-                marks.append(many_bits([b" ".join(g) for g in _shingles(words, NEAR_SHINGLE)], SKETCH, 101))
+            sets = [shingle_values(text) for text in batch["text"]]
+            odd = [np.bincount((v % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1 for v in sets]
             yield pd.DataFrame({
-                "row": batch["row"], "doc_id": batch["doc_id"],
-                "key": [hashlib.md5(t).digest() for t in batch["text"]], "prints": prints, "sketch": marks,
+                "doc_id": batch["doc_id"], "key": [hashlib.md5(t).digest() for t in batch["text"]],
+                "node": np.array([_mixed(v).sum() for v in sets], dtype=np.uint64).view(np.int64),
+                "size": [len(v) for v in sets],
+                "parity": [np.packbits(o.astype(np.uint8), bitorder="little").view("<i8") for o in odd],
+                "signatures": [part_signatures(v).tobytes() for v in sets],
             })
 
     rows = documents.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("bigint").alias("doc_id"),
-        text_of(text_column).cast("binary").alias("text"),
+        F.col(id_column).cast("bigint").alias("doc_id"), text_of(text_column).cast("binary").alias("text")
     )
-    schema = "row bigint, doc_id bigint, key binary, prints array<bigint>, sketch array<bigint>"
+    schema = "doc_id bigint, key binary, node bigint, size bigint, parity array<bigint>, signatures binary"
     return rows.mapInPandas(run, schema)
 
 
+def shared_signatures(marks: DataFrame) -> DataFrame:
+    """signature, node of each signature that several sets have. Packed: most signatures are of one set only."""
+    total = marks.agg(F.sum(F.length("signatures"))).first()[0] or 0
+    buckets = max(2 * int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (8 * BUCKET))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in sliced(batches, 1024):
+            parts = [np.frombuffer(s, dtype=np.uint64) for s in batch["signatures"]]
+            pairs = np.empty((sum(map(len, parts)), 2), dtype=np.uint64)
+            pairs[:, 0] = np.concatenate(parts)
+            pairs[:, 1] = np.repeat(batch["node"].to_numpy().view(np.uint64), [len(p) for p in parts])
+            bucket = (pairs[:, 0] % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            found, starts = np.unique(bucket[order], return_index=True)
+            blobs = [p.tobytes() for p in np.split(pairs[order], starts[1:])]
+            yield pd.DataFrame({"bucket": found, "pairs": blobs})
+
+    def repeated(blobs: pd.DataFrame) -> pd.DataFrame:
+        pairs = np.frombuffer(b"".join(blobs["pairs"]), dtype=np.int64).reshape(-1, 2)
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        new = np.ones(len(pairs), dtype=bool)
+        new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+        pairs = pairs[new]
+        same = pairs[1:, 0] == pairs[:-1, 0]
+        several = np.append(same, False) | np.insert(same, 0, False)
+        return pd.DataFrame({"signature": pairs[several, 0], "node": pairs[several, 1]})
+
+    dealt = marks.select("node", "signatures").mapInPandas(deal, "bucket bigint, pairs binary")
+    return dealt.groupBy("bucket").applyInPandas(repeated, "signature bigint, node bigint")
+
+
 def near_distinct(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each group of near copies (smallest id), all columns; documents without one stay as they are.
 
-    Texts link if one of their fingerprints is at most NEAR_RADIUS bits apart and their five-word shingles have
-    a Jaccard similarity of SIMILAR or more; groups are what links reach. Texts without words are one group; a null text is
-    empty; a null id sorts before all others; repeated rows are one group. An empty table stays empty.
+    Texts link if their five-word shingles have a Jaccard similarity of 0.8 or more, every such pair; groups
+    are what links reach. Texts without words are one group; a null text is empty; a null id sorts before all
+    others; repeated rows are one group. An empty table stays empty.
 
-    Texts of equal fingerprints are hung on the first of them, so a large group of copies gives one link per
-    text and collapses before pairs are sought; the pivot join skips pairs within what has collapsed.
+    Equal sets are one node. Nodes that share a signature are first held against the least and the largest of
+    them, which gives a few candidates per node and collapses large groups; then all nodes are paired that share a
+    signature and are not in one group yet. Sizes and parities rule out candidates that cannot link.
     """
-    marks = keep(sketches(documents, id_column, text_column), "near-sketches")
-    each = marks.select("row", "sketch", F.posexplode("prints").alias("seed", "fingerprint"))
-    heads = each.groupBy("seed", "fingerprint").agg(
-        F.min("row").alias("head"), F.min_by("sketch", "row").alias("head_sketch")
+    marks = keep(shingle_sets(documents, id_column, text_column), "near-sets")
+    live = keep(shared_signatures(marks), "near-live")
+    sets = marks.groupBy("node").agg(F.min("size").alias("size"), F.min("parity").alias("parity"), F.min("key").alias("key"))
+    sets = keep(sets.join(live.select("node").distinct(), "node", "left_semi"), "near-nodes")
+    brief = sets.select(F.struct("node", "size", "parity").alias("_set"), "node")
+    ends = live.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    hung = live.join(ends, "signature").select(
+        F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("_p")
     )
     hung = (
-        each.join(heads, ["seed", "fingerprint"])
-        .filter(F.col("row") != F.col("head"))
-        .select(F.col("head").alias("a"), F.col("row").alias("b"), _bits_apart("sketch", "head_sketch").alias("bits"))
-    )
-    hung = _similar(hung, marks, documents, text_column)
-    first = _rooted(marks.select("row"), components(hung))
-    nodes = each.drop("sketch").join(first, "row").groupBy("seed", "fingerprint", "root").agg(F.min("row").alias("row"))
-    met = pivot_join(
-        nodes, NEAR_RADIUS, None, lambda a, b: (a["row"] < b["row"]) & (a["root"] != b["root"]), ["seed"]
+        hung.select("_p.*").filter("a < b").distinct()
+        .join(brief.select(F.col("node").alias("a"), F.col("_set").alias("one")), "a")
+        .join(brief.select(F.col("node").alias("b"), F.col("_set").alias("two")), "b")
+        .filter(_may_link(F.col("one"), F.col("two")))
+        .select("a", "b")
     )
+    hung = keep(_similar(hung, sets, documents, text_column), "near-links")
+    first = _rooted(sets.select("node"), components(hung))
+    nodes = live.join(first, "node")
+    mixed = nodes.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    nodes = nodes.join(mixed.select("signature"), "signature", "left_semi")
+    nodes = keep(nodes.join(brief, "node").select("signature", "root", "_set"), "near-open")
+    left = nodes.select("signature", F.col("root").alias("ra"), F.col("_set").alias("one"))
+    right = nodes.select("signature", F.col("root").alias("rb"), F.col("_set").alias("two"))
     met = (
-        met.select(F.col("a.row").alias("a"), F.col("b.row").alias("b")).distinct()
-        .join(marks.select(F.col("row").alias("a"), F.col("sketch").alias("sa")), "a")
-        .join(marks.select(F.col("row").alias("b"), F.col("sketch").alias("sb")), "b")
-        .select("a", "b", _bits_apart("sa", "sb").alias("bits"))
+        left.join(right, "signature")
+        .filter((F.col("one.node") < F.col("two.node")) & (F.col("ra") != F.col("rb")))
+        .filter(_may_link(F.col("one"), F.col("two")))
+        .select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
+        .distinct()
     )
-    found = _similar(met, marks, documents, text_column)
-    groups = _rooted(marks.select("row", "doc_id", "key"), components(hung.unionByName(found)))
-    name = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "key", "row")
+    found = keep(_similar(met, sets, documents, text_column), "near-links")
+    groups = _rooted(marks.select("node", "doc_id", "key"), components(hung.unionByName(found)))
+    name = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "key")
     staying = groups.groupBy("root").agg(F.min(name).alias("least")).select("least.*")
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
     rows = rows.withColumn("id", F.coalesce(F.col("_row")[id_column].cast("bigint"), F.lit(-(2**63))))
@@ -228,22 +314,27 @@ def near_distinct(documents: DataFrame, id_column: str = "doc_id", text_column:
     return rows.join(staying.select("id", "key"), ["id", "key"]).withColumn("_n", copy).filter("_n = 1").select("_row.*")
 
 
-def _similar(pairs: DataFrame, marks: DataFrame, documents: DataFrame, text_column: str) -> DataFrame:
-    """Of pairs (a, b, bits) those of similar texts. Only texts that the sketches leave in doubt are read."""
-    pairs = keep(pairs.filter(F.col("bits") <= DOUBT).distinct(), "near-pairs")
-    sure = pairs.filter(F.col("bits") <= SURE).select("a", "b")
-    doubt = pairs.filter(F.col("bits") > SURE).select("a", "b")
-    if doubt.isEmpty():
-        return sure
-    rows = doubt.select(F.col("a").alias("row")).unionByName(doubt.select(F.col("b").alias("row"))).distinct()
-    rows = rows.join(marks.select("row", "key"), "row")
+def _may_link(one: Column, two: Column) -> Column:
+    """False only for sets that cannot reach 0.8: by their sizes, or by the parities in which they differ."""
+    sizes = one["size"] + two["size"]
+    bits = [F.bit_count(F.get(one["parity"], F.lit(i)).bitwiseXOR(F.get(two["parity"], F.lit(i)))) for i in range(PARITY)]
+    apart = F.greatest(reduce(lambda a, b: a + b, bits), F.abs(one["size"] - two["size"]))
+    return apart * 9 <= sizes
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, documents: DataFrame, text_column: str) -> DataFrame:
+    """Of pairs (a, b) of nodes those whose texts are similar: the shingles decide on every pair."""
+    pairs = keep(pairs, "near-pairs")
+    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    asked = asked.join(sets.select("node", "key"), "node")
     texts = documents.select(text_of(text_column).alias("text")).withColumn("key", F.unhex(F.md5("text")))
-    sets = texts.join(rows, "key").select("row", "text").dropDuplicates(["row"]).select("row", _shingle_set(F.col("text")).alias("set"))
+    read = texts.join(asked, "key").dropDuplicates(["node"]).select("node", _shingle_set(F.col("text")).alias("set"))
+    read = keep(read, "near-shingles")
     common = F.size(F.array_intersect("sa", "sb"))
-    return sure.unionByName(
-        doubt.join(sets.select(F.col("row").alias("a"), F.col("set").alias("sa")), "a")
-        .join(sets.select(F.col("row").alias("b"), F.col("set").alias("sb")), "b")
-        .filter(common >= SIMILAR * (F.size("sa") + F.size("sb") - common))
+    return (
+        pairs.join(read.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
+        .join(read.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
+        .filter(common * 9 >= (F.size("sa") + F.size("sb")) * 4)
         .select("a", "b")
     )
 
@@ -259,22 +350,10 @@ def _shingle_set(text: Column) -> Column:
     )
 
 
-def many_bits(grams: list[bytes], words: int, first: int) -> list[int]:
-    """SimHash of the grams under several mixes of one hash, as signed 64-bit integers."""
-    if not grams:
-        return [0] * words
-    hashes = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], dtype=np.uint64)
-    out = np.empty(words, dtype=np.uint64)
-    for n in range(words):
-        ones = np.zeros(64, dtype=np.int64)
-        for at in range(0, len(hashes), 65536):
-            mixed = (hashes[at : at + 65536] ^ np.uint64((first + n) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(MIX)
-            mixed ^= mixed >> np.uint64(32)
-            mixed *= np.uint64(0xD6E8FEB86659FD93)
-            mixed ^= mixed >> np.uint64(32)
-            ones += np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[n] = np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0]
-    return out.view(np.int64).tolist()
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(33))) * np.uint64(MIX)
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(32))
 
 
 def _shingles(words: list[bytes], width: int) -> list[tuple]:
@@ -283,14 +362,9 @@ def _shingles(words: list[bytes], width: int) -> list[tuple]:
     return list(zip(*(words[i:] for i in range(width)), strict=False))
 
 
-def _bits_apart(left: str, right: str) -> Column:
-    parts = [F.bit_count(F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i)))) for i in range(SKETCH)]
-    return reduce(lambda a, b: a + b, parts)
-
-
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    joined = rows.join(roots, rows["row"] == roots["node"], "left")
-    return joined.select(*rows.columns, F.coalesce("root", "row").alias("root"))
+    joined = rows.join(roots, "node", "left")
+    return joined.select(*rows.columns, F.coalesce("root", "node").alias("root"))
 
 
 def hex_of(fingerprint: Column) -> Column:

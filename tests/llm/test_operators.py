@@ -469,6 +469,56 @@ def test_near_distinct(spark, documents, rows, nothing):
     assert simhash.near_distinct(nothing).count() == 0
 
 
+def near_variants(kind, count, seed):
+    """Base texts, each with a copy of a similarity of about 0.8 to 0.95."""
+    rng = np.random.default_rng(seed)
+    for n in range(count):
+        size = int(rng.integers(40, 600))
+        base = [f"{kind[0]}{n}v{i}" for i in rng.integers(0, size, size)]
+        extra = max(1, int(size * rng.uniform(0.05, 0.22)))
+        other = list(base)
+        if kind == "appended":
+            other += base[:3] + [f"new{n}x{i}" for i in range(extra)]
+        elif kind == "truncated":
+            other = base[: size - extra]
+        elif kind == "short":
+            base = base[: int(rng.integers(8, 12))]
+            other = base + ["end"]
+        else:
+            for at in rng.integers(0, size, max(1, extra // 10)):
+                other[at] = "changed"
+        yield " ".join(base), " ".join(other)
+
+
+def five_words(text):
+    words = words_of(text)
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}
+
+
+def similar(a, b):
+    a, b = five_words(a), five_words(b)
+    return 9 * len(a & b) >= 4 * (len(a) + len(b))
+
+
+def test_similar_sets_share_a_signature():
+    seen = Counter()
+    for kind in ("appended", "truncated", "short", "substituted"):
+        for a, b in near_variants(kind, 300, 11):
+            if similar(a, b):
+                one, two = (set(simhash.part_signatures(simhash.shingle_values(t.encode())).tolist()) for t in (a, b))
+                assert one & two, (kind, a, b)
+                seen[kind] += 1
+    assert min(seen.values()) >= 100 and len(seen) == 4
+
+
+@pytest.mark.parametrize("kind", ["appended", "truncated", "short", "substituted"])
+def test_near_copies_of_every_kind_are_found(spark, kind):
+    pairs = list(near_variants(kind, 60, 5))
+    table = [(2 * n + k, t, "src0") for n, pair in enumerate(pairs) for k, t in enumerate(pair)]
+    expected = {2 * n for n in range(60)} | {2 * n + 1 for n, (a, b) in enumerate(pairs) if not similar(a, b)}
+    assert {r["doc_id"] for r in simhash.near_distinct(frame(spark, table)).collect()} == expected
+
+
 # 9 -------------------------------------------------------------------------------------------------------
 
 
