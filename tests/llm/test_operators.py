@@ -519,6 +519,19 @@ def test_near_copies_of_every_kind_are_found(spark, kind):
     assert {r["doc_id"] for r in simhash.near_distinct(frame(spark, table)).collect()} == expected
 
 
+def test_members_link_where_their_representative_does_not(spark):
+    table = []
+    for n in range(12):
+        words = [f"m{n}x{i}" for i in range(200)]
+        # Passages repeated in another order: the same set of words, but new shingles.
+        more = [words[i] for i in np.random.default_rng(n).permutation(200)]
+        texts = [words, words + more[:30], words + more[:30] + more[60:94]]
+        a, b, c = (" ".join(t) for t in texts)
+        assert similar(a, b) and similar(b, c) and not similar(a, c)
+        table += [(10 * n + k, t, "src0") for k, t in enumerate((a, b, c))]
+    assert {r["doc_id"] for r in simhash.near_distinct(frame(spark, table)).collect()} == {10 * n for n in range(12)}
+
+
 # 9 -------------------------------------------------------------------------------------------------------
 
 
