@@ -532,6 +532,18 @@ def test_members_link_where_their_representative_does_not(spark):
     assert {r["doc_id"] for r in simhash.near_distinct(frame(spark, table)).collect()} == {10 * n for n in range(12)}
 
 
+def test_shingles_decide_on_every_pair_of_short_texts(spark):
+    table = []
+    for n in range(150):
+        words = [f"s{n}y{i}" for i in range(9)]
+        table += [(10 * n, " ".join(words[:8]), "src0"), (10 * n + 1, " ".join(words), "src0")]
+        # Of 3 and 4 shingles, 3 are common: 0.75, not a copy.
+        words = [f"t{n}y{i}" for i in range(8)]
+        table += [(10 * n + 2, " ".join(words[:7]), "src0"), (10 * n + 3, " ".join(words), "src0")]
+    stay = {r["doc_id"] % 10 for r in simhash.near_distinct(frame(spark, table)).collect()}
+    assert stay == {0, 2, 3} and simhash.near_distinct(frame(spark, table)).count() == 450
+
+
 # 9 -------------------------------------------------------------------------------------------------------
 
 
