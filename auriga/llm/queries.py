@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auriga.llm import (
-    chat, exact_dedup, fingerprint, hidden_markov, link_graph, mixing, packing, secret_scan, simhash, toxicity,
+    cell_clusters, chat, exact_dedup, fingerprint, hidden_markov, link_graph, merkle, mixing, packing, secret_scan, simhash,
+    top_products, toxicity,
 )
-from auriga.llm.common import read
+from auriga.llm.common import ascii_lower, crc_fold, read
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,11 +107,24 @@ def op10_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_graph.judge(read(spark, sf_dir, "pages"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claimed = F.when(crc_fold("doc_id", 5) == 0, ascii_lower(F.col("text")))
+    return merkle.proofs(read(spark, sf_dir, "documents"), claimed)
+
+
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.top_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_cell_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cell_clusters.clusters(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_fingerprints, op2_secrets, op3_exact_dedup, op4_hidden_markov, op5_toxicity, op6_packing,
-        op7_mixing, op8_simhash, op9_chat, op10_link_graph,
+        op7_mixing, op8_simhash, op9_chat, op10_link_graph, op11_merkle, op12_top_products, op13_cell_clusters,
     )
 }
 
@@ -166,7 +180,144 @@ def link_graph_sql(rounds: int = link_graph.ROUNDS) -> str:
     """
 
 
+def merkle_sql(levels: int = 5, fields: str = "source, lang, n_chars, text") -> str:
+    """The twin of op11 for trees of up to 16 ** levels leaves: each level is a table of runs, proofs and folds are joins."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, start: str, key: str) -> str:
+        """Tables name0, name1, ...: nodes by level; a tree that has one node keeps it unhashed on the levels above."""
+        steps = f"{name}0 AS MATERIALIZED ({start})"
+        for n in range(levels):
+            steps += f""",
+        {name}{n + 1} AS MATERIALIZED (
+            SELECT {key}, place // 16 AS place, CASE WHEN max(many) = 1 THEN min(hash) ELSE sha256(string_agg(hash, '' ORDER BY place)) END AS hash,
+                   (max(many) + 15) // 16 AS many
+            FROM {name}{n} GROUP BY {key}, place // 16
+        )"""
+        return steps
+
+    def beside(name: str, key: str, base: str) -> str:
+        """For each row of base what stands left and right of its node on every level of the tree."""
+        steps = ""
+        for n in range(levels):
+            last = f"{base}{n - 1}" if n else base
+            match = f"m.{key} IS NOT DISTINCT FROM b.{key}" if key else "true"
+            steps += f""",
+        {base}{n} AS MATERIALIZED (
+            SELECT b.row, any_value(b.path) || [struct_pack(
+                       left_ := coalesce(string_agg(m.hash, '' ORDER BY m.place) FILTER (m.place < b.pos // {16**n}), ''),
+                       right_ := coalesce(string_agg(m.hash, '' ORDER BY m.place) FILTER (m.place > b.pos // {16**n}), ''),
+                       hashed := max(m.many) > 1)] AS path, any_value(b.pos) AS pos{f", any_value(b.{key}) AS {key}" if key else ""}
+            FROM {last} b JOIN {name}{n} m ON {match} AND m.place // 16 = b.pos // {16 ** (n + 1)} GROUP BY b.row
+        )"""
+        return steps
+
+    crc = """list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT),
+                        lambda crc, byte: xor(crc >> 8, codes[(xor(crc, byte) & 255) + 1]))"""
+    return f"""
+        WITH crcs AS (
+            SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS codes
+            FROM range(256) r(i)
+        ), leaves AS (
+            SELECT row_number() OVER () AS row, doc_id, source, {leaf("text")} AS hash,
+                   CASE WHEN text IS NOT NULL AND xor({crc}, 4294967295) % 5 = 0
+                        THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS seen
+            FROM documents, crcs
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, hash) - 1 AS pos, count(*) OVER (PARTITION BY source) AS many
+            FROM leaves
+        ), {tree("s", "SELECT source, pos AS place, hash, many FROM numbered", "source")},
+        tops AS (
+            SELECT 0 AS every, source, hash, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS many FROM s{levels}
+        ), {tree("t", "SELECT every, pos AS place, hash, many FROM tops", "every")},
+        inner_ AS (SELECT row, source, pos, [] AS path FROM numbered)
+        {beside("s", "source", "inner_")},
+        outer_ AS (SELECT pos AS row, every, pos, [] AS path FROM tops)
+        {beside("t", "every", "outer_")},
+        paths AS (
+            SELECT n.doc_id, n.hash AS leaf, coalesce(n.seen, n.hash) AS seen, t.hash AS subroot, (SELECT hash FROM t{levels}) AS root,
+                   list_filter(i.path || o.path, lambda p: p.hashed) AS path
+            FROM numbered n JOIN inner_{levels - 1} i ON i.row = n.row JOIN tops t ON t.source IS NOT DISTINCT FROM n.source
+            JOIN outer_{levels - 1} o ON o.row = t.pos
+        ), folded AS (
+            SELECT *, list_reduce([seen] || list_transform(path, lambda p: p.left_ || ' ' || p.right_),
+                                  lambda hash, p: sha256(split_part(p, ' ', 1) || hash || split_part(p, ' ', 2))) AS folded_root
+            FROM paths
+        )
+        SELECT doc_id, leaf, subroot, root,
+               sha256(coalesce(list_aggregate(list_transform(path, lambda p: p.left_ || p.right_), 'string_agg', ''), '')) AS proof_sha256,
+               folded_root, folded_root = root AS verified
+        FROM folded
+    """
+
+
+WHOLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def cell_clusters_sql(rounds: int = 3) -> str:
+    """The twin of op13, its rounds unrolled, over one row per vector and component."""
+
+    def assigned(centers: str) -> str:
+        return f"""
+            SELECT v.row, arg_min(struct_pack(cluster := c.cluster, distance := c.distance), c.distance * 64 + c.cluster) AS best
+            FROM vectors v JOIN (
+                SELECT p.row, c.cluster, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS distance
+                FROM parts p JOIN {centers} c USING (dim) GROUP BY p.row, c.cluster
+            ) c USING (row) GROUP BY v.row"""
+
+    steps = ""
+    for n in range(rounds):
+        steps += f""", a{n} AS MATERIALIZED ({assigned(f"c{n}")}
+        ), m{n} AS MATERIALIZED (
+            SELECT a.best.cluster AS cluster, p.dim, CAST(sum(p.x) AS BIGINT) AS total, count(*) AS many
+            FROM a{n} a JOIN parts p USING (row) GROUP BY a.best.cluster, p.dim
+        ), c{n + 1} AS MATERIALIZED (
+            SELECT c.cluster, c.dim, coalesce((m.total - ((m.total % m.many) + m.many) % m.many) // m.many, c.x) AS x
+            FROM c{n} c LEFT JOIN m{n} m USING (cluster, dim)
+        )"""
+    return f"""
+        WITH vectors AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints,
+                   sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS name
+            FROM embeddings WHERE {WHOLE} AND len(embedding) = 64
+        ), parts AS MATERIALIZED (
+            SELECT row, unnest(range(64)) AS dim, unnest(ints) AS x FROM vectors
+        ), firsts AS (
+            SELECT row, row_number() OVER (ORDER BY name, ints, row) - 1 AS cluster FROM vectors
+        ), c0 AS MATERIALIZED (
+            SELECT f.cluster, p.dim, p.x FROM firsts f JOIN parts p USING (row) WHERE f.cluster < 16
+        ){steps}, last AS MATERIALIZED ({assigned(f"c{rounds}")}
+        ), shas AS (
+            SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster
+        )
+        SELECT v.vec_id, CAST(l.best.cluster AS INTEGER) AS cluster, l.best.distance AS distance,
+               CAST(sum(l.best.distance) OVER (PARTITION BY l.best.cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(l.best.distance) OVER () AS BIGINT) AS inertia, s.centroid_sha256
+        FROM last l JOIN vectors v USING (row) JOIN shas s ON s.cluster = l.best.cluster
+    """
+
+
 ORACLE_SQL = {
+    "op11_merkle": merkle_sql(),
+    "op12_top_products": f"""
+        WITH vectors AS (
+            SELECT row_number() OVER () AS row, vec_id,
+                   list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS ints
+            FROM embeddings WHERE {WHOLE}
+        ), ranked AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.ints, c.ints) AS BIGINT) AS score,
+                   row_number() OVER (PARTITION BY q.row ORDER BY list_inner_product(q.ints, c.ints) DESC, c.vec_id, c.row) AS rank
+            FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.row <> c.row
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op13_cell_clusters": cell_clusters_sql(),
     "op10_link_graph": link_graph_sql(),
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
