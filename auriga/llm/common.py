@@ -55,6 +55,21 @@ def sliced(batches: Iterator[pd.DataFrame], rows: int = 256) -> Iterator[pd.Data
             yield batch.iloc[at : at + rows].reset_index(drop=True)
 
 
+def map_frames(
+    df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, ids: str = "doc_id"
+) -> DataFrame:
+    """mapInPandas in which the bigint column `ids` travels as text, both ways.
+
+    pandas makes doubles of whole numbers as soon as one of them is null, and so rounds large ones.
+    """
+    named = f"{ids} bigint"
+    if named not in schema:
+        raise ValueError(f"{named} is not in {schema}")
+    given = df.withColumn(ids, F.col(ids).cast("string"))
+    found = given.mapInPandas(run, schema.replace(named, f"{ids} string"))
+    return found.withColumn(ids, F.col(ids).cast("bigint"))
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several passes read as Parquet in the shared folder, and read it back.
 

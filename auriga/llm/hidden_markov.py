@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auriga.llm.common import ascii_lower, crc_fold, keep, sliced, split_words, text_of
+from auriga.llm.common import ascii_lower, crc_fold, keep, map_frames, sliced, split_words, text_of
 
 FOLDS, HELD_OUT = 7, 2
 STATES = 6
@@ -183,7 +183,7 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             found = pd.DataFrame(out, columns=names, index=batch.index)
             yield pd.concat([batch[["row", "doc_id", "held_out"]], found], axis=1)
 
-    return rows.mapInPandas(run, schema)
+    return map_frames(rows, run, schema)
 
 
 def split(text: str) -> list[str]:

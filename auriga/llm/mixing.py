@@ -14,6 +14,9 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 EPOCHS = 2
 SEED = 7
+ROUNDS = 24
+BLOCK_WORDS = 4096
+SHARD_WORDS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -28,25 +31,31 @@ class Grid:
         return 1 << self.depth
 
 
-def grid(words: int, block_words: int = 512, shard_words: int = 1 << 20, most_blocks: int = 1 << 22) -> Grid:
-    """Blocks grow with a very large mix, so that the splitting tree works with at most so many of them."""
-    block = max(block_words, -(-words // most_blocks))
-    return Grid(block, max(0, math.ceil(math.log2(max(1, words) / max(shard_words, block)))))
+def grid(words: int, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> Grid:
+    """As many shards as make them shard_words long at most, blocks of one length in all of them."""
+    return Grid(block_words, max(0, math.ceil(math.log2(max(1, words) / shard_words))))
 
 
 def sized(documents: DataFrame, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text"):
-    """One row per document row: doc_id, source, size in words, and what orders it on its source's line."""
-    text = text_of(text_column)
-    place = F.md5(F.concat(F.lit(f"{SEED}-"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
+    """One row per document row: doc_id, source, size in words, what orders it on its source's line, and a hash of the row."""
+    text = text_of(f"`{text_column}`")
+    name = F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit(""))
     return documents.select(
-        F.col(id_column).cast("bigint").alias("doc_id"),
-        F.col(source_column).cast("string").alias("source"),
+        F.col(f"`{id_column}`").cast("bigint").alias("doc_id"),
+        F.col(f"`{source_column}`").cast("string").alias("source"),
         count_words(text).alias("size"),
-        F.xxhash64(text).alias("_text"),
-        place.alias("_place"),
+        row_hash(documents).alias("_row_hash"),
+        F.md5(F.concat(F.lit(f"{SEED}-"), name, F.lit("-"), F.md5(text))).alias("_place"),
     )
 
 
+def row_hash(documents: DataFrame) -> Column:
+    """A hash of all columns of a row, maps as their entries."""
+    return F.xxhash64(*[
+        F.map_entries(f"`{c}`") if kind.startswith("map") else F.col(f"`{c}`") for c, kind in documents.dtypes
+    ])
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """source, source_size -> source, number, source_size, target, drawn (the target in whole words).
 
@@ -75,19 +84,20 @@ def draws(
     id_column: str = "doc_id",
     source_column: str = "source",
     text_column: str = "text",
-    block_words: int = 512,
-    shard_words: int = 1 << 20,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
-    """One row per document row: doc_id, source, size, source_size, target, draws (epoch, taken, shard, position).
+    """One row per document row: doc_id, source, size, source_size, target, draws (epoch, first, taken, shard, position).
 
-    Each source's documents lie in a keyed order on a line of words, repeated once more for a second epoch.
-    The mix takes the line's first `drawn` words: every document before the end whole, the one at the end
-    in part, none more than EPOCHS times. The line is cut into blocks. The splitting tree gives each shard
-    an exact number of every source's blocks, and the shard takes the next so many of that line; positions
-    shuffle a shard's documents. Runs agree: order and draws depend on the seed, ids and texts alone.
+    Each source's documents lie in a keyed order on a line of words, repeated once more for a second epoch. The mix takes
+    the line's first `drawn` words, so no document more than EPOCHS times, and cuts them into blocks. The splitting
+    tree gives each shard an exact number of every source's blocks; a permutation of a source's blocks tells which
+    these are. A document is cut where a block ends: each draw is the words of it in one block, `taken` words from
+    word `first` on. Positions shuffle the draws of a shard. So a shard has the words of its quotas, all
+    blocks being whole but the last of a source. Runs agree: all depends on the seed, ids and texts alone.
 
     A null text has size 0 and no draws; a null source is a source of its own, the last. Repeated rows are
-    documents of their own. Ties of the order go by size and text hash. Other columns are ignored.
+    documents of their own. Ties of the order go by id and a hash of the row. Other columns are ignored.
     An empty table gives no rows.
 
     Prefix sums run per source and range of the order, with offsets from a table of range totals, so a source
@@ -105,111 +115,119 @@ def draws(
     offsets = offsets.join(sources.alias("s"), F.col("o.source").eqNullSafe(F.col("s.source"))).select(
         "o.source", "range", "offset", "number", "source_size", "target", "drawn"
     )
-    inside = Window.partitionBy("source", "range").orderBy("_place", "doc_id", "size", "_text")
+    inside = Window.partitionBy("source", "range").orderBy("_place", "doc_id", "size", "_row_hash")
     started = rows.withColumn(
         "inside", F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
+    columns = ["doc_id", "source", "size", "_row_hash", "source_size", "target", "number", "start"]
     placed = (
         started.alias("d")
         .join(
             offsets.alias("o"),
             (F.col("d.range") == F.col("o.range")) & F.col("d.source").eqNullSafe(F.col("o.source")),
         )
-        .select(
-            "doc_id", "d.source", "size", "_text", "source_size", "target", "drawn", "number",
-            (F.col("inside") + F.col("offset")).alias("start"),
-        )
+        .withColumn("start", F.col("inside") + F.col("offset"))
+        .select("d.source", *[c for c in columns if c != "source"], "drawn")
     )
-    columns = ["doc_id", "source", "size", "_text", "source_size", "target"]
-    empty = F.array().cast("array<struct<epoch:int,taken:bigint,shard:bigint,position:bigint>>")
-    pieces = placed.filter("size > 0").select(
-        *columns, "number", "start", F.explode_outer(_pieces(plan.block, plan.shards)).alias("piece")
+    taken = (F.col("size") > 0) & (F.col("start") < F.col("drawn"))
+    pieces = placed.filter(taken).select(*columns, F.explode(_pieces(plan.block)).alias("piece")).select(*columns, "piece.*")
+    sharded = pieces.join(block_shards(sources, plan), ["number", "block"])
+    shuffled = F.md5(F.concat_ws("-", F.lit(SEED), "doc_id", "epoch", "start", "first"))
+    local = Window.partitionBy("shard").orderBy(shuffled, "number", "start", "epoch", "first")
+    drawn = F.struct("epoch", "first", "taken", "shard", F.row_number().over(local).cast("bigint").alias("position"))
+    # Positive sizes make (number, start) a key of the rows.
+    told = sharded.withColumn("draw", drawn).groupBy(*columns).agg(
+        F.sort_array(F.collect_list("draw")).alias("draws")
     )
-    pieces = pieces.select(*columns, "number", "start", "piece.*")
-    spans = shard_spans(sources, plan).withColumnRenamed("number", "n").withColumnRenamed("cell", "c")
-    sharded = pieces.join(
-        spans,
-        (F.col("number") == F.col("n"))
-        & (F.col("cell") == F.col("c"))
-        & (F.col("at") >= F.col("first"))
-        & (F.col("at") < F.col("end")),
-        "left",
+    empty = F.array().cast("array<struct<epoch:int,first:bigint,taken:bigint,shard:bigint,position:bigint>>")
+    kept = [c for c in columns if c not in ("number", "start")]
+    return told.select(*kept, "draws").unionByName(placed.filter(~taken).select(*kept, empty.alias("draws")))
+
+
+def mixed(documents: DataFrame, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text", **grid_words):
+    """The mix itself: a struct of the columns of documents for each draw, and beside it epoch, shard and position.
+
+    A draw that is not the whole document has its words joined by single spaces; all others keep their text as it is.
+    Rows lie by shard, in the order of positions. A text travels twice: to its draws, then to their shards.
+    """
+    drawn = draws(documents, id_column, source_column, text_column, **grid_words).filter(F.size("draws") > 0)
+    drawn = drawn.select(
+        F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("_row_hash").alias("_hash"), "size", F.explode("draws").alias("draw")
     )
-    local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(SEED), "doc_id", "epoch"), "doc_id", "start", "epoch")
-    drawn = F.when(
-        F.col("taken").isNotNull(),
-        F.struct("epoch", "taken", "shard", F.row_number().over(local).cast("bigint").alias("position")),
+    # Rows that are equal in all columns are one row with the draws of all of them.
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"), row_hash(documents).alias("_hash")
     )
-    # Positive sizes make (source, start) a key of the rows.
-    return (
-        sharded.withColumn("draw", drawn)
-        .groupBy(*columns, "number", "start")
-        .agg(F.sort_array(F.collect_list("draw")).alias("draws"))
-        .select(*columns, "draws")
-        .unionByName(placed.filter("size = 0").select(*columns, empty.alias("draws")))
+    rows = rows.withColumn("_id", F.coalesce(F.col("_row")[id_column].cast("bigint"), F.lit(0)))
+    rows = rows.groupBy("_id", "_hash").agg(F.first("_row").alias("_row"))
+    words = split_words(F.col("_row")[text_column].cast("string"))
+    cut = F.array_join(F.slice(words, F.col("draw.first").cast("int") + 1, F.col("draw.taken").cast("int")), " ")
+    text = F.when(F.col("draw.taken") == F.col("size"), F.col("_row")[text_column]).otherwise(cut)
+    mix = rows.join(drawn, ["_id", "_hash"]).select(
+        F.col("_row").withField(f"`{text_column}`", text).alias("row"), "draw.epoch", "draw.shard", "draw.position"
     )
+    return mix.repartition("shard").sortWithinPartitions("shard", "position")
+
+
+def block_shards(sources: DataFrame, plan: Grid) -> DataFrame:
+    """number, block, shard: every block of every source once; each shard has as many as its quotas say."""
+    blocks = _blocks(plan.block)
+    many = F.sequence(F.lit(0).cast("bigint"), F.greatest(blocks - 1, F.lit(0)), F.lit(1 << 16).cast("bigint"))
+    parts = sources.withColumn("blocks", blocks).filter("blocks > 0").select("number", "blocks", F.explode(many).alias("part"))
+    inner = F.sequence(F.col("part"), F.least(F.col("part") + (1 << 16), F.col("blocks")) - 1)
+    listed = parts.repartition("number", "part").select("number", "blocks", F.explode(inner).alias("block"))
+    listed = listed.withColumn("rank", permuted(F.col("block"), F.col("blocks"), F.col("number")))
+    spans = shard_spans(sources, plan).withColumnsRenamed({"number": "n", "cell": "c"})
+    return listed.withColumn("cell", F.floor(F.col("rank") / _cell(plan.shards))).join(
+        spans,
+        (F.col("number") == F.col("n")) & (F.col("cell") == F.col("c"))
+        & (F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("end")),
+    ).select("number", "block", "shard")
+
 
+def keyed(*parts: Column | int) -> Column:
+    """52 bits of MD5 over the seed and the parts."""
+    told = F.concat_ws("-", F.lit(SEED), *[(F.lit(p) if isinstance(p, int) else p).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(told), 1, 13), 16, 10).cast("bigint")
 
-def mixed(documents: DataFrame, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text"):
-    """The mix itself: the columns of documents, a row for each draw, and epoch, shard and position.
 
-    A document taken in part keeps its first words, joined by single spaces; all others keep their text as
-    it is. Sorting by shard and position gives the shuffled order.
+def permuted(value: Column, size: Column, key: Column, rounds: int = ROUNDS) -> Column:
+    """A keyed permutation of 0 .. size - 1 by the swap-or-not shuffle.
+
+    A round pairs each number with its mirror at a keyed point and swaps the pair if a keyed bit says so.
     """
-    drawn = draws(documents, id_column, source_column, text_column)
-    key = ["_id", "_null", "_n"]
-    # Rows of one id are told apart by number; texts that are equal as well can change places.
-    order = Window.partitionBy("_id", "_null").orderBy("_source", "_size", "_hash")
-
-    def numbered(df: DataFrame, doc_id: Column, source: Column, size: Column, text_hash: Column) -> DataFrame:
-        return (
-            df.withColumns({
-                "_id": F.coalesce(doc_id.cast("bigint"), F.lit(0)), "_null": doc_id.isNull(),
-                "_source": source.cast("string"), "_size": size, "_hash": text_hash,
-            })
-            .withColumn("_n", F.row_number().over(order))
+
+    def step(x: Column, number: Column) -> Column:
+        point = keyed(number, key) % size
+        return let(
+            F.struct(x.alias("x"), F.pmod(point - x, size).alias("y")),
+            lambda pair: F.when(
+                keyed(number, key, F.greatest(pair["x"], pair["y"])) % 2 == 1, pair["y"]
+            ).otherwise(pair["x"]),
         )
 
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
-    value = F.coalesce(F.col("_row")[text_column].cast("string"), F.lit(""))
-    rows = numbered(
-        rows, F.col("_row")[id_column], F.col("_row")[source_column], count_words(value), F.xxhash64(value)
-    )
-    taken = numbered(drawn, F.col("doc_id"), F.col("source"), F.col("size"), F.col("_text"))
-    taken = taken.filter(F.size("draws") > 0).select(*key, F.explode("draws").alias("_draw"))
-    cut = F.array_join(F.slice(split_words(value), F.lit(1), F.col("_draw.taken").cast("int")), " ")
-    whole = F.col("_draw.taken") == F.col("_size")
-    return rows.join(taken, key).select(
-        *[
-            F.when(whole, F.col("_row")[c]).otherwise(cut).alias(c) if c == text_column else F.col("_row")[c].alias(c)
-            for c in documents.columns
-        ],
-        F.col("_draw.epoch").alias("mix_epoch"),
-        F.col("_draw.shard").alias("mix_shard"),
-        F.col("_draw.position").alias("mix_position"),
-    )
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), value, step)
 
 
 def shard_spans(sources: DataFrame, plan: Grid) -> DataFrame:
-    """number, shard, first, end, cell: each shard's span of every source's line, once per cell it touches.
+    """number, shard, from, end, cell: each shard's span of every source's permuted blocks, once per cell it touches.
 
-    A cell is as long as a shard's even part of the line, so a span meets few cells and a cell few spans:
-    finding the span of a position is an equality join.
+    A cell is as long as a shard's even part of the blocks, so a span meets few cells and a cell few spans:
+    finding the span of a block is an equality join.
     """
     leaves = splitting_tree(sources, plan)
     quota = leaves.select(
-        F.col("node").alias("shard"), F.posexplode("quotas").alias("at", "blocks")
-    ).filter("blocks > 0").withColumn("number", F.col("at") + 1)
+        F.col("node").alias("shard"), F.posexplode("quotas").alias("at", "quota")
+    ).filter("quota > 0").withColumn("number", F.col("at") + 1)
     along = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     spans = (
-        quota.withColumn("last", F.sum("blocks").over(along))
-        .join(sources.select("number", "drawn"), "number")
-        .withColumn("end", F.least(F.col("last") * plan.block, F.col("drawn")))
-        .withColumn("first", (F.col("last") - F.col("blocks")) * plan.block)
+        quota.withColumn("end", F.sum("quota").over(along))
+        .join(sources.select("number", _blocks(plan.block).alias("blocks")), "number")
+        .withColumn("from", F.col("end") - F.col("quota"))
     )
-    size = _cell(plan.block, plan.shards)
-    cells = F.sequence(F.floor(F.col("first") / size), F.floor((F.col("end") - 1) / size))
-    return spans.filter("first < end").select("number", "shard", "first", "end", F.explode(cells).alias("cell"))
+    size = _cell(plan.shards)
+    cells = F.sequence(F.floor(F.col("from") / size), F.floor((F.col("end") - 1) / size))
+    return spans.select("number", "shard", "from", "end", F.explode(cells).alias("cell"))
 
 
 def splitting_tree(sources: DataFrame, plan: Grid) -> DataFrame:
@@ -219,8 +237,7 @@ def splitting_tree(sources: DataFrame, plan: Grid) -> DataFrame:
     tells how many of each source go to the left half: what a random permutation of the blocks would give,
     without touching them. The quotas of a source always sum to its blocks. One row per node.
     """
-    blocks = F.ceil(F.col("drawn") / plan.block).cast("bigint").alias("blocks")
-    nodes = sources.select("number", blocks).agg(
+    nodes = sources.select("number", _blocks(plan.block).alias("blocks")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("number", "blocks"))), lambda s: s["blocks"]).alias("quotas")
     ).select(F.lit(0).cast("bigint").alias("node"), "quotas")
     for level in range(plan.depth):
@@ -244,8 +261,8 @@ def multivariate_draw(quotas: Column, level: int, node: Column) -> Column:
 
     def step(state: Column, quota: Column) -> Column:
         number = F.size(state["out"])
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.lit(level), node, number), 11)
-        drawn = hypergeometric(state["rest"], quota, state["want"], bits.cast("double") * 2.0**-53)
+        uniform = keyed(level, node, number) * 2.0**-52
+        drawn = hypergeometric(state["rest"], quota, state["want"], uniform)
         return let(
             drawn,
             lambda x: F.struct(
@@ -257,7 +274,7 @@ def multivariate_draw(quotas: Column, level: int, node: Column) -> Column:
 
     start = F.struct(
         total.alias("rest"),
-        F.floor((total + F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.lit(level), node), 63)) / 2).alias("want"),
+        F.floor((total + keyed(level, node) % 2) / 2).alias("want"),
         F.array().cast("array<bigint>").alias("out"),
     )
     return F.aggregate(quotas, start, step, lambda state: state["out"])
@@ -348,25 +365,25 @@ def _invert(a: Column) -> Column:
     )
 
 
-def _cell(block: int, shards: int) -> Column:
-    """Words per cell of a source's line."""
-    return block * F.greatest(F.lit(1), F.ceil(F.col("drawn") / (block * shards)))
+def _blocks(block: int) -> Column:
+    return F.ceil(F.col("drawn") / block).cast("bigint")
+
 
+def _cell(shards: int) -> Column:
+    """Blocks per cell."""
+    return F.greatest(F.lit(1), F.ceil(F.col("blocks") / shards))
 
-def _pieces(block: int, shards: int) -> Column:
-    """What the mix takes of a document: for each epoch the place on the line and the number of words."""
+
+def _pieces(block: int) -> Column:
+    """What the mix takes of a document: for each epoch, the words in each block: block, first word, words."""
 
     def piece(epoch: int) -> Column:
         at = F.col("start") + epoch * F.col("source_size")
-        taken = F.least(F.col("size"), F.col("drawn") - at)
-        return F.when(
-            taken > 0,
-            F.struct(
-                F.lit(epoch).alias("epoch"),
-                taken.cast("bigint").alias("taken"),
-                at.alias("at"),
-                F.floor(at / _cell(block, shards)).alias("cell"),
-            ),
-        )
-
-    return F.array_compact(F.array(*[piece(e) for e in range(EPOCHS)]))
+        end = at + F.least(F.col("size"), F.col("drawn") - at)
+        within = F.sequence(F.floor(at / block).cast("bigint"), F.floor((end - 1) / block).cast("bigint"))
+        return F.when(end > at, F.transform(within, lambda b: F.struct(
+            F.lit(epoch).alias("epoch"), b.alias("block"), (F.greatest(at, b * block) - at).alias("first"),
+            (F.least(end, (b + 1) * block) - F.greatest(at, b * block)).alias("taken"),
+        ))).otherwise(F.array().cast("array<struct<epoch:int,block:bigint,first:bigint,taken:bigint>>"))
+
+    return F.concat(*[piece(e) for e in range(EPOCHS)])

@@ -12,12 +12,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auriga.llm.common import keep, sliced, text_of
+from auriga.llm.common import keep, map_frames, sliced, text_of
 
 WINDOW = 1024
 END_ID = 0
 SHARD = 1024
-QUERY_TERMS = 32
 K1, B = 1.2, 0.75
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -65,7 +64,6 @@ def cut_documents(
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = np.append(ids_of(text), END_ID).astype("<u4")
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
                 for at in range(0, len(ids), window):
                     part = ids[at : at + window]
                     tail = len(part) < window
@@ -76,12 +74,10 @@ def cut_documents(
                         part.tobytes() if tail else None, mark,
                     ))
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "signature"]
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=names)
 
     rows = documents.select(F.col(id_column).cast("bigint").alias("doc_id"), text_of(text_column).alias("text"))
-    return rows.mapInPandas(run, CUTS)
+    return map_frames(rows, run, CUTS)
 
 
 def pack(
@@ -121,7 +117,7 @@ def pack(
             yield as_pieces(fill(left, window, last=True)[0], number)
 
     ranges = tails.repartitionByRange(parts, "signature", "doc_id").sortWithinPartitions("signature", "doc_id", "start")
-    packed = ranges.mapInPandas(run, PIECES)
+    packed = map_frames(ranges, run, PIECES)
     # Odd numbers for windows of one document, even ones for packed windows.
     full = cuts.filter("ids IS NULL").select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens",
@@ -137,7 +133,7 @@ def in_shards(batches: Iterator[pd.DataFrame], size: int) -> Iterator[list[tuple
         for doc_id, start, total, ids in zip(
             batch["doc_id"], batch["start"], batch["doc_tokens"], batch["ids"], strict=True
         ):
-            shard.append((None if pd.isna(doc_id) else int(doc_id), start, total, np.frombuffer(ids, dtype="<u4")))
+            shard.append((doc_id, start, total, np.frombuffer(ids, dtype="<u4")))
             if len(shard) == size:
                 yield shard
                 shard = []
@@ -165,13 +161,14 @@ class Index:
         norm = K1 * (1 - B + B * lengths / lengths.mean())
         self.owner = owner
         self.weight = np.repeat(idf, size) * count * (K1 + 1) / (count + norm[owner])
-        self.idf, self.terms, self.size = idf, terms, len(tails)
+        self.terms, self.size, self.shared = terms, len(tails), size > 1
 
     def scores(self, at: int) -> np.ndarray:
-        """BM25 of every tail for the QUERY_TERMS rarest terms of tail `at`."""
+        """BM25 of every other tail for all terms of tail `at`; terms of no other tail tell nothing."""
         found = np.searchsorted(self.vocabulary, self.terms[at])
-        if len(found) > QUERY_TERMS:
-            found = found[np.argsort(-self.idf[found], kind="stable")[:QUERY_TERMS]]
+        found = found[self.shared[found]]
+        if not len(found):
+            return np.zeros(self.size)
         spans = [slice(self.first[t], self.end[t]) for t in found]
         owner = np.concatenate([self.owner[s] for s in spans])
         weight = np.concatenate([self.weight[s] for s in spans])
@@ -230,8 +227,6 @@ def as_pieces(sequences: list[list[tuple]], number: int) -> pd.DataFrame:
             rows.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes()), total, number, offset))
             offset += len(ids)
         number += 1
-    out = pd.DataFrame(
+    return pd.DataFrame(
         rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     )
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    return out

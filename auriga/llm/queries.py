@@ -13,6 +13,7 @@ from auriga.llm import (
     top_products, toxicity,
 )
 from auriga.llm.common import ascii_lower, crc_fold, read
+from auriga.llm.packing import tokenizer
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +66,7 @@ def byte_bpe() -> Callable[[str], np.ndarray]:
     import public_tokenizers
 
     path = public_tokenizers.path
-    return packing.tokenizer(path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, path("byte_bpe_50k.json"))
+    return tokenizer(path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, path("byte_bpe_50k.json"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.draws(read(spark, sf_dir, "documents"))
     taken = F.aggregate("draws", F.lit(0).cast("bigint"), lambda total, d: total + d["taken"])
-    return found.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    told = F.transform("draws", lambda d: F.concat_ws(":", *[d[c].cast("string") for c in ("shard", "position", "first", "taken")]))
+    return found.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.array_join(told, ",").alias("draws"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,6 +258,120 @@ def merkle_sql(levels: int = 5, fields: str = "source, lang, n_chars, text") ->
     """
 
 
+def mixing_sql(levels: int = 6, block: int = mixing.BLOCK_WORDS, shard: int = mixing.SHARD_WORDS) -> str:
+    """The twin of op7 for a splitting tree of up to so many levels."""
+
+    def keyed(*parts: str) -> str:
+        return "('0x' || substr(md5('7-' || " + " || '-' || ".join(f"CAST({p} AS VARCHAR)" for p in parts) + "), 1, 13))::BIGINT"
+
+    def let(name: str, value: str, body: str) -> str:
+        return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+    def weights(name: str, steps: str, ratio: str) -> str:
+        """Running products of the ratios, without the 1 they start from."""
+        return (
+            f"list_reduce([[1.0::DOUBLE]] || list_transform(range(1, {steps}::BIGINT + 1), lambda {name}: [{ratio}]), "
+            f"lambda acc, next_: list_append(acc, acc[len(acc)] * next_[1]))[2:]"
+        )
+
+    def picked(list_: str, left: str) -> str:
+        """The first weight that is larger than what is left before it."""
+        lefts = f"list_reduce([[{left}]] || list_transform({list_}, lambda w: [w]), lambda acc, w: list_append(acc, acc[len(acc)] - w[1]))"
+        return let("lefts", lefts, f"list_filter(range(1, len({list_}) + 1), lambda i: lefts[i] < {list_}[i])[1]")
+
+    up = weights("i", "b.up_", "(b.k - (b.mode_ + i - 1)) * (b.m - (b.mode_ + i - 1)) / ((b.mode_ + i - 1 + 1) * (b.n - b.k - b.m + (b.mode_ + i - 1) + 1))")
+    down = weights("i", "b.down_", "(b.mode_ - i + 1) * (b.n - b.k - b.m + (b.mode_ - i + 1)) / ((b.k - (b.mode_ - i + 1) + 1) * (b.m - (b.mode_ - i + 1) + 1))")
+    total = "list_reduce([0.0::DOUBLE] || {}, lambda x, y: x + y)"
+    settle = let("s", f"struct_pack(up_ := {total.format('w.up_')}, down_ := {total.format('w.down_')})", let(
+        "left_", "b.u * (1 + s.up_ + s.down_) - 1",
+        f"CASE WHEN left_ < 0 THEN b.mode_ ELSE coalesce(b.mode_ + {picked('w.up_', 'left_')}, b.mode_ - {picked('w.down_', 'left_ - s.up_')}, b.mode_) END",
+    ))
+    inverted = let("w", f"struct_pack(up_ := {up}, down_ := {down})", settle)
+    bounded = let("a", """struct_pack(n := g.n, k := g.k, m := g.m, u := g.u, low_ := greatest(0.0, g.m - (g.n - g.k)), high_ := least(g.m, g.k),
+        far_ := ceil(12 * sqrt(greatest(g.m * g.k / g.n * (g.n - g.k) / g.n * (g.n - g.m) / greatest(g.n - 1, 1.0), 0.0))) + 30)""", let(
+        "a2", "struct_pack(n := a.n, k := a.k, m := a.m, u := a.u, low_ := a.low_, high_ := a.high_, far_ := a.far_, mode_ := greatest(a.low_, least(a.high_, floor((a.m + 1) * (a.k + 1) / (a.n + 2)))))",
+        let("b", "struct_pack(n := a2.n, k := a2.k, m := a2.m, u := a2.u, mode_ := a2.mode_, up_ := least(a2.high_, a2.mode_ + a2.far_) - a2.mode_, down_ := a2.mode_ - greatest(a2.low_, a2.mode_ - a2.far_))", inverted),
+    ))
+    drawn = f"""CASE WHEN e.quota = 0 OR e.want = 0 THEN 0 WHEN e.want = e.rest THEN e.quota ELSE CAST({let(
+        "g", "struct_pack(n := e.rest::DOUBLE, k := e.quota::DOUBLE, m := e.want::DOUBLE, u := e.u)", bounded)} AS BIGINT) END"""
+    tree = ""
+    for level in range(levels):
+        tree += f""", w{level} AS (
+            SELECT node, 0 AS number, sum(quota)::BIGINT AS rest, (sum(quota)::BIGINT + {keyed(str(level), "node")} % 2) // 2 AS want, 0::BIGINT AS x
+            FROM n{level} GROUP BY node
+            UNION ALL
+            SELECT node, number, rest - quota, want - x, x FROM (
+                SELECT e.*, {drawn} AS x FROM (
+                    SELECT n.node, n.number, n.quota, w.rest, w.want, {keyed(str(level), "n.node", "n.number - 1")} * (1.0::DOUBLE / 4503599627370496) AS u
+                    FROM w{level} w JOIN n{level} n ON n.node = w.node AND n.number = w.number + 1
+                ) e
+            )
+        ), n{level + 1} AS MATERIALIZED (
+            SELECT n.node * 2 + side AS node, n.number, CASE side WHEN 0 THEN w.x ELSE n.quota - w.x END AS quota
+            FROM n{level} n JOIN w{level} w USING (node, number), range(2) r(side) WHERE (SELECT depth FROM plan) > {level}
+            UNION ALL
+            SELECT node, number, quota FROM n{level} WHERE (SELECT depth FROM plan) <= {level}
+        )"""
+    return f"""
+        WITH RECURSIVE sized AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+                   md5('7-' || coalesce(CAST(doc_id AS VARCHAR), '') || '-' || md5(coalesce(text, ''))) AS place
+            FROM documents
+        ), per AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS number
+            FROM sized GROUP BY source
+        ), levels AS (
+            SELECT *, [3, 1, 2][(number - 1) % 3 + 1] AS weight FROM per
+        ), shares AS (
+            SELECT *, (1.5::DOUBLE * CAST(sum(source_size) OVER () AS BIGINT)
+                       - coalesce(sum(2 * source_size) OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+                      / (sum(weight) OVER (b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level
+            FROM levels WINDOW b AS (ORDER BY 2 * source_size / weight::DOUBLE, number)
+        ), aims AS MATERIALIZED (
+            SELECT source, number, source_size, target, drawn, (drawn + {block - 1}) // {block} AS blocks FROM (
+                SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS drawn FROM (
+                    SELECT source, number, source_size, least((2 * source_size)::DOUBLE, max(level) OVER () * weight) AS target FROM shares
+                )
+            )
+        ), plan AS MATERIALIZED (
+            SELECT greatest(0, ceil(log2(greatest(1, CAST(floor(1.5 * sum(source_size)) AS BIGINT)) / {float(shard)}::DOUBLE))) AS depth FROM aims
+        ), n0 AS MATERIALIZED (SELECT 0::BIGINT AS node, number, blocks AS quota FROM aims){tree}, spans AS (
+            SELECT node AS shard, number, quota, sum(quota) OVER (PARTITION BY number ORDER BY node) AS stop FROM n{levels}
+        ), listed AS (
+            SELECT number, blocks, unnest(range(blocks)) AS block FROM aims
+        ), ranked AS (
+            SELECT number, block, list_reduce([block] || range(1, {mixing.ROUNDS + 1}), lambda x, r: {let(
+                "y", f"((({keyed('r', 'number')} % blocks) - x) % blocks + blocks) % blocks",
+                f"CASE WHEN {keyed('r', 'number', 'greatest(x, y)')} % 2 = 1 THEN y ELSE x END")}) AS rank
+            FROM listed
+        ), dealt AS MATERIALIZED (
+            SELECT r.number, r.block, s.shard FROM ranked r JOIN spans s ON s.number = r.number AND r.rank >= s.stop - s.quota AND r.rank < s.stop
+        ), placed AS (
+            SELECT s.doc_id, s.size, a.source_size, a.target, a.drawn, a.number,
+                   CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.doc_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+            FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source
+        ), epochs AS (
+            SELECT *, start + epoch * source_size AS at_, least(start + epoch * source_size + size, drawn) AS end_ FROM placed, range(2) e(epoch)
+        ), pieces AS (
+            SELECT *, unnest(range(at_ // {block}, (end_ - 1) // {block} + 1)) AS block FROM epochs WHERE end_ > at_
+        ), cut AS (
+            SELECT p.doc_id, p.number, p.start, p.epoch, d.shard, greatest(at_, p.block * {block}) - at_ AS first_,
+                   least(end_, (p.block + 1) * {block}) - greatest(at_, p.block * {block}) AS taken
+            FROM pieces p JOIN dealt d ON d.number = p.number AND d.block = p.block
+        ), shuffled AS (
+            SELECT *, row_number() OVER (PARTITION BY shard ORDER BY md5('7-' || coalesce(doc_id || '-', '') || epoch || '-' || start || '-' || first_),
+                                         number, start, epoch, first_) AS position FROM cut
+        ), told AS (
+            SELECT number, start, sum(taken)::BIGINT AS taken,
+                   string_agg(shard || ':' || position || ':' || first_ || ':' || taken, ',' ORDER BY epoch, first_) AS draws
+            FROM shuffled GROUP BY number, start
+        )
+        SELECT p.doc_id, p.size, p.source_size, p.target, coalesce(t.taken, 0) AS taken, coalesce(t.draws, '') AS draws
+        FROM placed p LEFT JOIN told t ON t.number = p.number AND t.start = p.start AND p.size > 0
+    """
+
+
 WHOLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 
 
@@ -324,33 +440,7 @@ ORACLE_SQL = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
-    "op7_mixing": """
-        WITH sized AS (
-            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-                   md5('7-' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
-            FROM documents
-        ), per AS (
-            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-                   [3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS weight
-            FROM sized GROUP BY source
-        ), levels AS (
-            SELECT *, (1.5::DOUBLE * CAST(sum(source_size) OVER () AS BIGINT)
-                       - coalesce(sum(2 * source_size) OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
-                      / (sum(weight) OVER (b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level
-            FROM per WINDOW b AS (ORDER BY 2 * source_size / weight::DOUBLE, source IS NULL, source)
-        ), aims AS (
-            SELECT source, source_size, least((2 * source_size)::DOUBLE, max(level) OVER () * weight) AS target
-            FROM levels
-        ), placed AS (
-            SELECT s.doc_id, s.size, a.source_size, a.target, CAST(floor(a.target + 0.5) AS BIGINT) AS drawn,
-                   CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.doc_id
-                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
-            FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source
-        )
-        SELECT doc_id, size, source_size, target,
-               greatest(0, least(size, drawn - start)) + greatest(0, least(size, drawn - start - source_size)) AS taken
-        FROM placed
-    """,
+    "op7_mixing": mixing_sql(),
     "op9_chat": """
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

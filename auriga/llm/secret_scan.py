@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auriga.llm.common import sliced, text_of
+from auriga.llm.common import map_frames, sliced, text_of
 
 KINDS = ("assign", "access", "hex", "literal")
 ASSIGN = re.compile(
@@ -136,7 +136,7 @@ def secrets(documents: DataFrame, id_column: str = "doc_id", text_column: str =
             yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": pd.Series(spans, dtype=object)})
 
     rows = documents.select(F.col(id_column).cast("bigint").alias("doc_id"), text_of(text_column).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, spans array<struct<kind:string,start:int,end:int>>")
+    return map_frames(rows, run, "doc_id bigint, spans array<struct<kind:string,start:int,end:int>>")
 
 
 def written(spans: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from itertools import combinations
@@ -10,16 +9,19 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auriga.llm.common import ascii_lower, cut, keep, let, sliced, split_words, text_of
+from auriga.llm.common import cut, keep, map_frames, sliced, text_of
 
 SEED = 42
 # The pivots: one reference fingerprint, and one more for each run of WIDTH bits, with that run flipped.
 REFERENCE = 0x5A3C96E1F00D7B24
-MIX = 0xFF51AFD7ED558CCD
 WIDTH = 2
+# Fingerprints of unlike texts that one may meet under one key.
+MEETINGS = 4
+# Stands for a null id where ids are compared; it sorts before every id in use.
+NO_ID = -(2**63)
 
 
 def fingerprint_of(text: bytes | None, shingle: int = 3, seed: int = SEED) -> int:
@@ -48,17 +50,22 @@ def fingerprints(
     Words are runs without ASCII blanks, A-Z lower-cased; fewer words than a shingle make one shingle.
     """
 
+    rows = documents.select(
+        F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), text_of(f"`{text_column}`").cast("binary").alias("text")
+    )
+    return _printed(rows, shingle, seed)
+
+
+def _printed(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """Rows with fingerprint in place of text."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in sliced(batches):
             found = [fingerprint_of(text, shingle, seed) for text in batch["text"]]
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "fingerprint": np.array(found, dtype=np.uint64).view(np.int64)}
-            )
+            yield batch.drop(columns="text").assign(fingerprint=np.array(found, dtype=np.uint64).view(np.int64))
 
-    rows = documents.select(
-        F.col(id_column).cast("bigint").alias("doc_id"), text_of(text_column).cast("binary").alias("text")
-    )
-    return rows.mapInPandas(run, "doc_id bigint, fingerprint bigint")
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes if name != "text")
+    return map_frames(rows, run, f"{schema}, fingerprint bigint")
 
 
 def pivot_table(prints: DataFrame) -> DataFrame:
@@ -72,10 +79,22 @@ def pivot_table(prints: DataFrame) -> DataFrame:
 def links(prints: DataFrame, radius: int = 2, groups: int | None = None) -> DataFrame:
     """Pairs (a < b) of distinct fingerprints at most radius bits apart; every such pair, each once."""
     table = prints.select("fingerprint").distinct()
+    if groups is None:
+        table = keep(table, "prints")
+        groups = groups_for(table.count(), radius)
     pairs = pivot_join(table, radius, groups, lambda a, b: a["fingerprint"] < b["fingerprint"])
     return pairs.select(F.col("a.fingerprint").alias("a"), F.col("b.fingerprint").alias("b")).distinct()
 
 
+def groups_for(rows: int, radius: int) -> int:
+    """The fewest groups whose keys let a row meet at most MEETINGS chance candidates; pairs are the same with any number."""
+    bits = 1.5 * 64 / WIDTH
+    for groups in range(radius + 2, 64 // WIDTH):
+        if rows <= MEETINGS * 2 ** (bits * (groups - radius) / groups):
+            return groups
+    return 64 // WIDTH
+
+
 def pivot_join(
     table: DataFrame,
     radius: int,
@@ -150,210 +169,31 @@ def near_groups(
     return rows.join(per_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-# For copies with a few edits, texts link at a Jaccard similarity of 0.8 of their sets of five-word shingles: sets
-# of m and n shingles link if at most (m + n) / 9 shingles are in one of them only, so m <= 1.25 n. Sizes fall into
-# classes by a factor of 1.25; a pair that links lies in one class or in two neighbouring ones, a level. On each
-# level shingles are dealt by hash into more parts than shingles may differ, so similar sets agree in whole parts.
-NEAR_SHINGLE = 5
-PARITY = 8
-FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], dtype=np.uint64)
-BUCKET = 1 << 20
-
-
-def _classes() -> np.ndarray:
-    """Smallest size of each class: sizes within a factor of 1.25 are at most one class apart."""
-    bounds = [1]
-    while bounds[-1] < 1 << 40:
-        bounds.append(bounds[-1] * 5 // 4 + 1)
-    return np.array(bounds)
-
-
-CLASSES = _classes()
-
-
-def shingle_values(text: bytes) -> np.ndarray:
-    """Distinct 64-bit hashes of the five-word shingles, ascending; fewer words, or none, are one shingle."""
-    words = [xxhash.xxh64_intdigest(w, SEED) for w in text.lower().split()]
-    hashes = np.array(words + [0] * (NEAR_SHINGLE - len(words)), dtype=np.uint64)
-    grams = len(hashes) - NEAR_SHINGLE + 1
-    return np.unique(_mixed(sum(hashes[i : i + grams] * FACTORS[i] for i in range(NEAR_SHINGLE))))
-
-
-def part_signatures(values: np.ndarray) -> np.ndarray:
-    """Signatures of a set of shingles; sets of a similarity of 0.8 or more share one at least.
-
-    On a level whose sets differ in at most d shingles, of k parts at least k - d are equal. Empty parts tell
-    nothing and have no signature; a set with k - d of them or more adds its least shingles, as many as miss from
-    a common share of 0.8, plus one: if only empty parts are equal, both sets do so and have one in common.
-    """
-    size = len(values)
-    own = int(np.searchsorted(CLASSES, size, side="right")) - 1
-    out = []
-    for level in range(max(own - 1, 0), own + 1):
-        most = int(CLASSES[level + 1]) - 1
-        differ = (most + most * 5 // 4) // 9
-        parts = differ + 1 + differ // 6
-        dealt = ((values >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
-        sums = np.zeros(parts, dtype=np.uint64)
-        np.add.at(sums, dealt, _mixed(values))
-        full = np.flatnonzero(np.bincount(dealt, minlength=parts))
-        place = full.astype(np.uint64) + np.uint64(level << 32)
-        out.append(_mixed(sums[full] + place * FACTORS[0]))
-        if len(full) <= differ:
-            out.append(_mixed(values[: size - (4 * size + 4) // 5 + 1] ^ np.uint64(level + 1)))
-    return np.concatenate(out)
-
-
-def shingle_sets(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, key (MD5 of the text), node (hash of the set of shingles), size, parity, signatures (64 bits each).
-
-    Bit i of parity tells whether an odd number of shingles fall on i: the bits in which two sets differ are
-    never more than the shingles that are in one of them only.
-    """
+def near_distinct(
+    documents: DataFrame, radius: int = 2, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One row of each component of near_groups, with all its columns; documents without a near copy stay as they are.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in sliced(batches):
-            sets = [shingle_values(text) for text in batch["text"]]
-            odd = [np.bincount((v % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1 for v in sets]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "key": [hashlib.md5(t).digest() for t in batch["text"]],
-                "node": np.array([_mixed(v).sum() for v in sets], dtype=np.uint64).view(np.int64),
-                "size": [len(v) for v in sets],
-                "parity": [np.packbits(o.astype(np.uint8), bitorder="little").view("<i8") for o in odd],
-                "signatures": [part_signatures(v).tobytes() for v in sets],
-            })
+    The row with the smallest id stays, a null id before all others; of equal ids the one with the smallest MD5 of its text;
+    of rows equal in both, any one. An empty table stays empty.
 
-    rows = documents.select(
-        F.col(id_column).cast("bigint").alias("doc_id"), text_of(text_column).cast("binary").alias("text")
-    )
-    schema = "doc_id bigint, key binary, node bigint, size bigint, parity array<bigint>, signatures binary"
-    return rows.mapInPandas(run, schema)
-
-
-def shared_signatures(marks: DataFrame) -> DataFrame:
-    """signature, node of each signature that several sets have. Packed: most signatures are of one set only."""
-    total = marks.agg(F.sum(F.length("signatures"))).first()[0] or 0
-    buckets = max(2 * int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (8 * BUCKET))
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in sliced(batches, 1024):
-            parts = [np.frombuffer(s, dtype=np.uint64) for s in batch["signatures"]]
-            pairs = np.empty((sum(map(len, parts)), 2), dtype=np.uint64)
-            pairs[:, 0] = np.concatenate(parts)
-            pairs[:, 1] = np.repeat(batch["node"].to_numpy().view(np.uint64), [len(p) for p in parts])
-            bucket = (pairs[:, 0] % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            found, starts = np.unique(bucket[order], return_index=True)
-            blobs = [p.tobytes() for p in np.split(pairs[order], starts[1:])]
-            yield pd.DataFrame({"bucket": found, "pairs": blobs})
-
-    def repeated(blobs: pd.DataFrame) -> pd.DataFrame:
-        pairs = np.frombuffer(b"".join(blobs["pairs"]), dtype=np.int64).reshape(-1, 2)
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-        new = np.ones(len(pairs), dtype=bool)
-        new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
-        pairs = pairs[new]
-        same = pairs[1:, 0] == pairs[:-1, 0]
-        several = np.append(same, False) | np.insert(same, 0, False)
-        return pd.DataFrame({"signature": pairs[several, 0], "node": pairs[several, 1]})
-
-    dealt = marks.select("node", "signatures").mapInPandas(deal, "bucket bigint, pairs binary")
-    return dealt.groupBy("bucket").applyInPandas(repeated, "signature bigint, node bigint")
-
-
-def near_distinct(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each group of near copies (smallest id), all columns; documents without one stay as they are.
-
-    Texts link if their five-word shingles have a Jaccard similarity of 0.8 or more, every such pair; groups
-    are what links reach. Texts without words are one group; a null text is empty; a null id sorts before all
-    others; repeated rows are one group. An empty table stays empty.
-
-    Equal sets are one node. Nodes that share a signature are first held against the least and the largest of
-    them, which gives a few candidates per node and collapses large groups; then all nodes are paired that share a
-    signature and are not in one group yet. Sizes and parities rule out candidates that cannot link.
+    Documents fold per fingerprint before they are shuffled, so a hot group leaves a task as one row. Texts
+    travel once, folded by id and MD5, to meet the rows that stay.
     """
-    marks = keep(shingle_sets(documents, id_column, text_column), "near-sets")
-    live = keep(shared_signatures(marks), "near-live")
-    sets = marks.groupBy("node").agg(F.min("size").alias("size"), F.min("parity").alias("parity"), F.min("key").alias("key"))
-    sets = keep(sets.join(live.select("node").distinct(), "node", "left_semi"), "near-nodes")
-    brief = sets.select(F.struct("node", "size", "parity").alias("_set"), "node")
-    ends = live.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    hung = live.join(ends, "signature").select(
-        F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("_p")
-    )
-    hung = (
-        hung.select("_p.*").filter("a < b").distinct()
-        .join(brief.select(F.col("node").alias("a"), F.col("_set").alias("one")), "a")
-        .join(brief.select(F.col("node").alias("b"), F.col("_set").alias("two")), "b")
-        .filter(_may_link(F.col("one"), F.col("two")))
-        .select("a", "b")
+    texts = documents.select(
+        F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), text_of(f"`{text_column}`").cast("binary").alias("text")
     )
-    hung = keep(_similar(hung, sets, documents, text_column), "near-links")
-    first = _rooted(sets.select("node"), components(hung))
-    nodes = live.join(first, "node")
-    mixed = nodes.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    nodes = nodes.join(mixed.select("signature"), "signature", "left_semi")
-    nodes = keep(nodes.join(brief, "node").select("signature", "root", "_set"), "near-open")
-    left = nodes.select("signature", F.col("root").alias("ra"), F.col("_set").alias("one"))
-    right = nodes.select("signature", F.col("root").alias("rb"), F.col("_set").alias("two"))
-    met = (
-        left.join(right, "signature")
-        .filter((F.col("one.node") < F.col("two.node")) & (F.col("ra") != F.col("rb")))
-        .filter(_may_link(F.col("one"), F.col("two")))
-        .select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
-        .distinct()
+    prints = keep(_printed(texts.withColumn("key", F.unhex(F.md5("text"))), shingle, SEED), "fingerprints")
+    name = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "key")
+    least = keep(prints.groupBy("fingerprint").agg(F.min(name).alias("least")), "least")
+    rooted = _rooted(least.withColumnRenamed("fingerprint", "node"), components(links(prints, radius)))
+    staying = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")).select(
+        "_row", F.coalesce(F.col("_row")[id_column].cast("bigint"), F.lit(NO_ID)).alias("id"),
+        F.unhex(F.md5(F.coalesce(F.col("_row")[text_column].cast("string"), F.lit("")))).alias("key"),
     )
-    found = keep(_similar(met, sets, documents, text_column), "near-links")
-    groups = _rooted(marks.select("node", "doc_id", "key"), components(hung.unionByName(found)))
-    name = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "key")
-    staying = groups.groupBy("root").agg(F.min(name).alias("least")).select("least.*")
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
-    rows = rows.withColumn("id", F.coalesce(F.col("_row")[id_column].cast("bigint"), F.lit(-(2**63))))
-    rows = rows.withColumn("key", F.unhex(F.md5(F.coalesce(F.col("_row")[text_column].cast("string"), F.lit("")))))
-    copy = F.row_number().over(Window.partitionBy("id", "key").orderBy("id"))
-    return rows.join(staying.select("id", "key"), ["id", "key"]).withColumn("_n", copy).filter("_n = 1").select("_row.*")
-
-
-def _may_link(one: Column, two: Column) -> Column:
-    """False only for sets that cannot reach 0.8: by their sizes, or by the parities in which they differ."""
-    sizes = one["size"] + two["size"]
-    bits = [F.bit_count(F.get(one["parity"], F.lit(i)).bitwiseXOR(F.get(two["parity"], F.lit(i)))) for i in range(PARITY)]
-    apart = F.greatest(reduce(lambda a, b: a + b, bits), F.abs(one["size"] - two["size"]))
-    return apart * 9 <= sizes
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, documents: DataFrame, text_column: str) -> DataFrame:
-    """Of pairs (a, b) of nodes those whose texts are similar: the shingles decide on every pair."""
-    pairs = keep(pairs, "near-pairs")
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    asked = asked.join(sets.select("node", "key"), "node")
-    texts = documents.select(text_of(text_column).alias("text")).withColumn("key", F.unhex(F.md5("text")))
-    read = texts.join(asked, "key").dropDuplicates(["node"]).select("node", _shingle_set(F.col("text")).alias("set"))
-    read = keep(read, "near-shingles")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return (
-        pairs.join(read.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
-        .join(read.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-        .filter(common * 9 >= (F.size("sa") + F.size("sb")) * 4)
-        .select("a", "b")
-    )
-
-
-def _shingle_set(text: Column) -> Column:
-    """Hashes of the distinct shingles of NEAR_SHINGLE words; fewer words are one shingle."""
-    return let(
-        split_words(ascii_lower(text)),
-        lambda w: F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(w) - NEAR_SHINGLE, F.lit(0))),
-            lambda i: F.xxhash64(*[F.get(w, i + n) for n in range(NEAR_SHINGLE)]),
-        )),
-    )
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(33))) * np.uint64(MIX)
-    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return values ^ (values >> np.uint64(32))
+    one = rows.groupBy("id", "key").agg(F.first("_row").alias("_row"))
+    return one.join(staying, ["id", "key"]).select("_row.*")
 
 
 def _shingles(words: list[bytes], width: int) -> list[tuple]:
