@@ -1,4 +1,8 @@
-"""Documents to packed sequences: toxicity, exact copies, near copies, mix, packing."""
+"""Documents to packed sequences: toxicity, exact copies, near copies, mix, packing.
+
+Every stage takes nulls in any column, texts of any length, repeated rows, further columns of any name and
+empty tables; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -11,33 +15,38 @@ from auriga.llm.queries import byte_bpe
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not predicted toxic; empty texts are judged like others."""
+    """Documents not predicted toxic; null and empty texts are judged like others, repeated rows alike."""
     return toxicity.accepted(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest id."""
+    """Of documents with equal texts (null counts as empty), the one with the largest id, null ids before all others."""
     return exact_dedup.keep_distinct(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """Of documents whose fingerprints link at two bits, the one with the smallest id, as op8 groups them.
+
+    Texts without words are one group. Null ids come before all others.
+    """
     return simhash.near_distinct(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources at their target weights: a row for each time a document is taken, perhaps cut at its end.
+    """The sources at their target weights: a row for each time a document is taken, in the order of the mix.
 
-    Texts without words have nothing to take. n_chars follows the text where the table has it.
+    A document that lies in two blocks of the mix is a row for each. Texts without words, null ones too, have nothing to
+    take. n_chars follows the text where the table has it. A null source is a source of its own; repeated rows are
+    taken each.
     """
-    mixed = mixing.mixed(docs)
+    row = F.col("row")
     if "n_chars" in docs.columns:
-        mixed = mixed.withColumn("n_chars", F.char_length("text").cast("bigint"))
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
+        row = row.withField("n_chars", F.char_length(F.col("row")["text"]).cast(dict(docs.dtypes)["n_chars"]))
+    return mixing.mixed(docs).select(row.alias("row")).select("row.*")
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token windows of 1024, as op6 returns them."""
+    """Pieces of token windows of 1024, as op6 returns them; an empty or null text is its end alone."""
     return packing.pack(docs, byte_bpe)
 
 
