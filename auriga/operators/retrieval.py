@@ -1,7 +1,7 @@
 """Exact top-k retrieval of many queries at once, by vector (cosine) or by words (BM25).
 
-Words are joined: postings of the queries' words, counted in the JVM. Exact vectors need every product: a
-batch of queries counted within QUERY_ROWS travels to the tasks and the corpus is read once without a
+Words of a counted batch of queries go to the tasks, which skip what their bounds rule out; those of a larger one
+are joined. Exact vectors need every product: a batch of queries counted within QUERY_ROWS travels to the tasks and the corpus is read once without a
 shuffle, each task keeping its k best per query; a larger batch is cut into blocks that meet blocks of the
 corpus, with equal rows. Approximate vectors are an equality join of signatures.
 """
@@ -12,13 +12,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auriga.operators.documents import tokens
+from auriga.sources.stored import store_once
 
 QUERY_ROWS = 1024
 CORPUS_BLOCK = 50_000
+# Words of all queries that go to the tasks, and chunks that are scored at a time.
+ASKED = 1 << 19
+POSTING_BLOCK = 2048
 DIGITS = 6
 
 # The usual BM25 constants.
@@ -198,32 +204,172 @@ def label_centers(vectors: DataFrame, size: int) -> DataFrame:
 # --- by words ----------------------------------------------------------------
 
 
-def lexical_top_k(queries: DataFrame, chunks: DataFrame, k: int = 4) -> DataFrame:
-    """queries(id_consulta, texto), chunks(chunk_id, texto) -> the k best chunks by BM25.
+def lexical_top_k(queries: DataFrame, chunks: DataFrame, k: int = 4, most: int = ASKED) -> DataFrame:
+    """queries(id_consulta, texto), chunks(chunk_id, texto) -> the k best chunks by BM25, equal scores by chunk_id.
 
-    Words of chunks meet the queries' words first, so only those are counted and shuffled; postings then join the
-    queries on the word, and scores fold per query and chunk. Nothing depends on the number of queries.
+    Chunks are cut into words once, into a stored table. If the queries have at most `most` words in all (read up to one
+    past it, which is the check), they go to the tasks: each scores its chunks in blocks and keeps the k best, so no
+    pair is shuffled. Beyond that, postings join the queries on the word. Both give the same rows.
     """
-    bags = chunks.select("chunk_id", tokens().alias("palavras"))
-    length = F.size("palavras")
-    means = bags.agg(F.struct(F.count("*").alias("n"), F.avg(length).alias("size")).alias("_s")).scalar()
+    bags = store_once(chunks.select("chunk_id", tokens().alias("palavras")), "bags")
+    size = bags.agg(F.count("*").alias("n"), F.avg(F.size("palavras")).alias("media")).first()
     asked = queries.select("id_consulta", F.explode(F.array_distinct(tokens())).alias("palavra"))
+    batch = asked.limit(most + 1).toArrow()
+    if batch.num_rows > most:
+        return best_of_each(_joined_scores(asked, bags, size), "chunk_id", k)
+    return best_of_each(_task_scores(asked, batch, bags, size, k), "chunk_id", k)
+
+
+def _joined_scores(asked: DataFrame, bags: DataFrame, size) -> DataFrame:
+    """Scores by equality joins: words of chunks meet the queries' words first, so only those are counted and shuffled."""
     postings = (
-        bags.select("chunk_id", length.alias("tamanho"), F.explode("palavras").alias("palavra"))
+        bags.select("chunk_id", F.size("palavras").alias("tamanho"), F.explode("palavras").alias("palavra"))
         .join(asked.select("palavra").distinct(), "palavra", "left_semi")
         .groupBy("palavra", "chunk_id", "tamanho")
         .agg(F.count("*").alias("tf"))
     )
-    spread = postings.groupBy("palavra").agg(F.count("*").alias("df")).withColumn("_s", means)
-    idf = F.log(1 + (F.col("_s.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = asked.join(spread.select("palavra", idf.alias("peso"), F.col("_s.size").alias("media")), "palavra")
-    norm = K1 * (1 - B + B * F.col("tamanho") / F.col("media"))
-    scored = (
+    spread = postings.groupBy("palavra").agg(F.count("*").alias("df"))
+    weighted = asked.join(spread.select("palavra", _idf(size["n"]).alias("peso")), "palavra")
+    norm = K1 * (1 - B + B * F.col("tamanho") / F.lit(size["media"]))
+    return (
         postings.join(weighted, "palavra")
         .groupBy("id_consulta", "chunk_id")
         .agg(F.round(F.sum(F.col("peso") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)), DIGITS).alias("score"))
     )
-    return best_of_each(scored, "chunk_id", k)
+
+
+def _idf(rows: int) -> Column:
+    return F.log(1 + (F.lit(rows) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+
+
+def _task_scores(asked: DataFrame, batch: pa.Table, bags: DataFrame, size, k: int) -> DataFrame:
+    """The k best of every task: id_consulta, chunk_id, score."""
+    spread = (
+        bags.select(F.explode(F.array_distinct("palavras")).alias("palavra"))
+        .join(asked.select("palavra").distinct(), "palavra", "left_semi")
+        .groupBy("palavra").agg(F.count("*").alias("df")).select("palavra", _idf(size["n"]).alias("peso"))
+    )
+    weights = {row["palavra"]: row["peso"] for row in spread.collect()}
+    ids = batch["id_consulta"].unique()
+    numbers = {value: n for n, value in enumerate(ids.to_pylist())}
+    known = [
+        (numbers[q], w) for q, w in zip(batch["id_consulta"].to_pylist(), batch["palavra"].to_pylist(), strict=True) if w in weights
+    ]
+    words = {w: n for n, w in enumerate(weights)}
+    owners = np.array([q for q, _ in known], dtype=np.int64)
+    terms = np.array([words[w] for _, w in known], dtype=np.int64)
+    idf, media = np.array(list(weights.values())), size["media"]
+    chunk_type = dict(bags.dtypes)["chunk_id"]
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = BestChunks(len(ids), owners, terms, idf, media, k)
+        for frame in frames:
+            for at in range(0, frame.num_rows, POSTING_BLOCK):
+                part = frame.slice(at, POSTING_BLOCK)
+                best.add(part["chunk_id"], _postings(part["palavras"], words))
+        if len(best.query):
+            yield best.rows(ids)
+
+    return bags.mapInArrow(run, f"id_consulta {dict(asked.dtypes)['id_consulta']}, chunk_id {chunk_type}, score double")
+
+
+def _postings(lists: pa.ListArray, words: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """chunk, term, times and length of each asked word of each chunk of a block."""
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    coded = lists.flatten().dictionary_encode()
+    number = np.array([words.get(w, -1) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+    term = number[coded.indices.to_numpy(zero_copy_only=False)] if len(number) else np.empty(0, dtype=np.int64)
+    chunk = np.repeat(np.arange(len(lists)), lengths)
+    width = max(len(words), 1)
+    keys, times = np.unique((chunk * width + term)[term >= 0], return_counts=True)
+    return keys // width, keys % width, times, lengths
+
+
+class BestChunks:
+    """The k best chunks of each query so far, block by block of chunks.
+
+    A block has each word's largest impact in it. A query whose words' largest impacts in the block add up to less than its
+    k-th score skips the block. Of the others, the words of least impact that cannot lift a chunk to the k-th score by
+    themselves open no chunk: only chunks with some other word of the query are counted, and of these
+    only the ones that may still reach it are counted in full.
+    """
+
+    def __init__(self, queries: int, owners: np.ndarray, terms: np.ndarray, idf: np.ndarray, media: float, k: int):
+        self.queries, self.idf, self.media, self.k = queries, idf, media, k
+        order = np.argsort(owners, kind="stable")
+        self.owners, self.terms = owners[order], terms[order]
+        self.floor = np.full(queries, -np.inf)
+        self.opened = self.scored = 0
+        self.query = np.empty(0, dtype=np.int64)
+        self.score = np.empty(0)
+        self.chunk = pa.array([], pa.null())
+
+    def add(self, ids: pa.Array, postings: tuple) -> None:
+        chunk, term, times, lengths = postings
+        impact = self.idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[chunk] / self.media))
+        most = np.zeros(len(self.idf))
+        np.maximum.at(most, term, impact)
+        bound = most[self.terms]
+        reach = np.bincount(self.owners, weights=bound, minlength=self.queries)
+        # Scores are rounded; half a unit more keeps what may round up to the floor.
+        floor = self.floor - 10.0**-DIGITS
+        entry = np.flatnonzero((bound > 0) & (reach[self.owners] >= floor[self.owners]))
+        entry = entry[np.lexsort((bound[entry], self.owners[entry]))]
+        owner, ub = self.owners[entry], bound[entry]
+        total = np.cumsum(ub)
+        first = np.searchsorted(owner, owner)
+        below = total - (total[first] - ub[first])
+        minor = below < floor[owner]
+        order = np.argsort(term, kind="stable")
+        by_term, starts = term[order], np.searchsorted(term[order], np.arange(len(self.idf) + 1))
+        major = entry[~minor]
+        spans = starts[self.terms[major] + 1] - starts[self.terms[major]]
+        place = order[_ranges(starts[self.terms[major]], spans)]
+        pairs, at = np.unique(np.repeat(self.owners[major], spans) * len(lengths) + chunk[place], return_inverse=True)
+        part = np.bincount(at, weights=impact[place], minlength=len(pairs))
+        query, where = pairs // len(lengths), pairs % len(lengths)
+        rest = np.bincount(owner[minor], weights=ub[minor], minlength=self.queries)
+        alive = part + rest[query] >= floor[query]
+        query, where, part = query[alive], where[alive], part[alive]
+        self.opened += len(alive)
+        self.scored += len(part)
+        self._merge(query, np.round(part + self._minor(query, where, owner[minor], self.terms[entry[minor]], chunk, term, impact), DIGITS), ids, where)
+
+    def _minor(self, query, where, owner, words, chunk, term, impact) -> np.ndarray:
+        """What the words that open no chunk add to the chunks that are open."""
+        first = np.searchsorted(owner, np.arange(self.queries + 1))
+        spans = first[query + 1] - first[query]
+        entry = _ranges(first[query], spans)
+        pair = np.repeat(np.arange(len(query)), spans)
+        key, wanted = chunk * len(self.idf) + term, np.repeat(where, spans) * len(self.idf) + words[entry]
+        found = np.searchsorted(key, wanted)
+        hit = found < len(key)
+        hit[hit] = key[found[hit]] == wanted[hit]
+        return np.bincount(pair[hit], weights=impact[found[hit]], minlength=len(query))
+
+    def _merge(self, query: np.ndarray, score: np.ndarray, ids: pa.Array, where: np.ndarray) -> None:
+        close = score >= self.floor[query]
+        chunk = ids.take(pa.array(where[close]))
+        chunk = pa.concat_arrays([self.chunk.cast(chunk.type), chunk])
+        query, score = np.concatenate([self.query, query[close]]), np.concatenate([self.score, score[close]])
+        name = pc.rank(chunk, "ascending", tiebreaker="dense").to_numpy(zero_copy_only=False)
+        order = np.lexsort((name, -score, query))
+        query, score = query[order], score[order]
+        nth = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = nth < self.k
+        self.query, self.score, self.chunk = query[kept], score[kept], chunk.take(pa.array(order[kept]))
+        last = nth == self.k - 1
+        self.floor[query[last]] = score[last]
+
+    def rows(self, ids: pa.Array) -> pa.RecordBatch:
+        found = ids.take(pa.array(self.query))
+        return pa.RecordBatch.from_arrays([found, self.chunk, pa.array(self.score)], ["id_consulta", "chunk_id", "score"])
+
+
+def _ranges(starts: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each span, one after another."""
+    ends = np.cumsum(spans)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - spans, spans) + np.repeat(starts, spans)
 
 
 def contexts(found: DataFrame, chunks: DataFrame) -> DataFrame:

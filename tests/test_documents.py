@@ -6,6 +6,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,36 @@ def test_lexical_matches_a_plain_loop(spark):
     query_df = spark.createDataFrame(queries, "id_consulta int, texto string")
     want = _bm25(queries, chunks)
     assert _rows(retrieval.lexical_top_k(query_df, chunk_df)) == want
+    assert _rows(retrieval.lexical_top_k(query_df, chunk_df, most=10)) == want
+    assert _rows(retrieval.lexical_top_k(query_df, chunk_df.limit(0))) == []
+    assert _rows(retrieval.lexical_top_k(query_df.limit(0), chunk_df)) == []
+
+
+def test_lexical_bounds_skip_work_and_lose_nothing():
+    rng = np.random.default_rng(8)
+    words = {f"p{i}": i for i in range(300)}
+    often = 1 / np.arange(1, 301)
+    bags = [list(rng.choice(list(words), size=rng.integers(5, 60), p=often / often.sum())) for _ in range(6000)]
+    asked = [(q, w) for q in range(25) for w in set(bags[q * 7][:15])]
+    owners, terms = np.array([q for q, _ in asked]), np.array([words[w] for _, w in asked])
+    idf = np.log(6000 / (1 + np.array([sum(w in b for b in bags) for w in words])))
+    idf = np.maximum(idf, 0.01)
+    media = float(np.mean([len(b) for b in bags]))
+    best = retrieval.BestChunks(25, owners, terms, idf, media, 4)
+    every = np.zeros((25, 6000))
+    for at in range(0, 6000, 500):
+        block = bags[at : at + 500]
+        postings = retrieval._postings(pa.array(block), words)
+        best.add(pa.array([f"c{at + i:04d}" for i in range(len(block))]), postings)
+        chunk, term, times, lengths = postings
+        impact = idf[term] * times * 2.2 / (times + 1.2 * (0.25 + 0.75 * lengths[chunk] / media))
+        for q, t in zip(owners, terms):
+            hit = term == t
+            every[q, at + chunk[hit]] += impact[hit]
+    scores = np.round(every, 6)
+    want = [(q, f"c{i:04d}") for q in range(25) for i in sorted(range(6000), key=lambda i: (-scores[q, i], i))[:4]]
+    assert list(zip(best.query.tolist(), best.chunk.to_pylist())) == want
+    assert best.scored < (every > 0).sum() / 3
 
 
 def test_context_lists_sources_in_rank_order(spark):
