@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auriga.operators import audit, finance, maintenance, procurement, silver
-from auriga.sources.files import INGESTED, RESCUED, cast_or_rescue, stream_csv
+from auriga.sources.files import RESCUED, cast_or_rescue, stream_csv
 from auriga.sources.stored import replace_table
 from auriga.streaming.tables import StreamTable
 
@@ -132,7 +132,7 @@ def refresh_bronze(
     """Raw tables do not depend on each other, so their streams run side by side."""
     tables = {name: StreamTable(spark, root, f"bronze_{name}") for name in CASES[case].bronze}
     running = [
-        table.start(stream_csv(spark, *source(raw, name), None if full else _known(table)), full)
+        table.start(stream_csv(spark, *source(raw, name)), full)
         for name, table in tables.items()
     ]
     for query in running:
@@ -140,12 +140,6 @@ def refresh_bronze(
     return {f"bronze_{name}": table.read() for name, table in tables.items()}
 
 
-def _known(table: StreamTable) -> list[str] | None:
-    """A table's own columns stay; what a later file has beyond them is rescued."""
-    columns = table.columns()
-    return columns and [c for c in columns if c not in (RESCUED, INGESTED)]
-
-
 def refresh_silver(spark: SparkSession, case: str, root: str, tables: Tables, full: bool = False) -> Tables:
     """Silver tables, and a `rescued_` table beside each with the rows of which some text did not fit."""
     tables = dict(tables)

@@ -4,41 +4,55 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from auriga.operators.joins import join_dimension
+from auriga.sources.stored import store_once
+
 RESCUED = "_rescued_data"
 INGESTED = "_ingested_at"
 FILE_NAME = "([^/]+)$"
 
 
-def headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, str]:
-    """Header line of every file that has one. Like a listing, it opens each file once, for its first line."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    hadoop, found = spark._jvm.org.apache.hadoop.fs.Path, {}
-    for row in listed.toLocalIterator():
-        path = hadoop(row["path"])
-        stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
-        try:
-            reader = spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
-            line = spark._jvm.java.io.BufferedReader(reader).readLine()
-        finally:
-            stream.close()
-        if line:
-            found[row["path"]] = line.removeprefix("\ufeff").rstrip("\r")
-    return found
-
-
 def columns_of(header: str) -> list[str]:
     return next(csv.reader([header]))
 
 
-def header_columns(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
-    """Column names of the files in order of appearance."""
-    forms = dict.fromkeys(headers(spark, folder, pattern).values())
-    return list(dict.fromkeys(c for form in forms for c in columns_of(form)))
+def _lines(reader, folder: str, pattern: str) -> DataFrame:
+    """Lines of all files with the file and the byte at which the part of it that was read starts."""
+    lines = reader.option("pathGlobFilter", pattern).text(folder)
+    return lines.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+
+
+def parse_lines(lines: DataFrame, columns: Sequence[str] | None = None) -> DataFrame | None:
+    """Lines of whole files -> columns by the names in each file's header, as strings, plus rescued text and ingestion time.
+
+    The lines are stored once, so every file is opened once and its header is a row like others: the first line that is
+    not blank where the file starts. That line alone is the header; a later one that reads the same is data. Blank
+    lines are no data, but in a file of one column, where they are empty values. Without `columns`, those of
+    all files are kept; None if no file has a header. The driver sees the distinct headers only.
+    """
+    filled = F.trim(F.regexp_replace("value", "[\uFEFF\r]", "")) != ""
+    kept = store_once(lines.withColumn("_line", F.monotonically_increasing_id()).withColumn("_filled", filled), "csv-lines")
+    first = F.min_by(F.struct(F.col("_line").alias("_first"), "value"), "_line").alias("_h")
+    heads = kept.filter("_start = 0 AND _filled").groupBy("_file").agg(first).select(
+        "_file", "_h._first", F.regexp_replace("_h.value", "^\uFEFF|\r$", "").alias("_header")
+    )
+    heads = store_once(heads, "csv-headers")
+    forms = sorted(row["_header"] for row in heads.select("_header").distinct().collect())
+    names = list(columns or dict.fromkeys(c for form in forms for c in columns_of(form)))
+    if not names:
+        return None
+    single = [form for form in forms if len(columns_of(form)) == 1]
+    placed = join_dimension(kept, heads, "_file", "inner")
+    data = placed.filter(
+        ((F.col("_start") > 0) | (F.col("_line") > F.col("_first"))) & (F.col("_filled") | F.col("_header").isin(single))
+    )
+    return _by_name(data, forms, names)
 
 
 def _by_name(lines: DataFrame, forms: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -52,41 +66,24 @@ def _by_name(lines: DataFrame, forms: Sequence[str], columns: Sequence[str]) ->
         names = columns_of(form)
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, RESCUED]])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED, "escape": '"'}
-        row = F.from_csv("value", _ddl(schema), options)
+        row = F.from_csv(F.rtrim(F.col("value"), F.lit("\r")), _ddl(schema), options)
         surplus = [n for n in names if n not in columns]
         more = F.to_json(F.struct(*[row[n].alias(n) for n in surplus])) if surplus else F.lit(None).cast("string")
         raw = row[RESCUED]
         values = [row[c] if c in names else F.lit(None).cast("string") for c in columns]
         return F.struct(*[v.alias(c) for v, c in zip(values, columns, strict=True)], F.coalesce(raw, more).alias(RESCUED))
 
-    parsed = F.lit(None)
+    empty = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RESCUED]])
+    parsed = F.lit(None).cast(empty)
     for form in forms:
         parsed = F.when(F.col("_header") == form, fields(form)).otherwise(parsed)
-    unknown = F.raise_error(F.concat(F.lit("no header read yet of "), "_file"))
-    return (
-        lines.filter(F.col("_header").isNull() | (F.rtrim(F.col("value"), F.lit("\r")) != F.col("_header")))
-        .withColumn("_row", F.when(F.col("_header").isNull(), unknown.cast("string")).otherwise(F.lit("")))
-        .filter("_row = ''")
-        .select(parsed.alias("_parsed"))
-        .select("_parsed.*")
-        .withColumn(INGESTED, F.current_timestamp())
-    )
+    return lines.select(parsed.alias("_parsed")).select("_parsed.*").withColumn(INGESTED, F.current_timestamp())
 
 
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
 
 
-def _lines(reader, spark: SparkSession, folder: str, pattern: str, found: Mapping[str, str]) -> DataFrame:
-    """Non-blank lines with the header of their file; a file that landed after the headers were read has none."""
-    lines = reader.option("pathGlobFilter", pattern).text(folder)
-    rows = [(path, header) for path, header in found.items()] or [("", "")]
-    table = spark.createDataFrame(rows, "_file string, _header string")
-    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
-    lines = lines.withColumn("_file", path).filter(F.trim("value") != "")
-    return lines.join(table.withColumn("_file", F.regexp_replace("_file", "^file:/+", "file:/")), "_file", "left")
-
-
 def scan_csv(
     spark: SparkSession, folder: str, pattern: str = "*.csv", columns: list[str] | None = None
 ) -> DataFrame:
@@ -95,22 +92,33 @@ def scan_csv(
     `folder` may be a glob. Without `columns`, the columns of all files are kept; with them, others are
     rescued. A file without a column has NULL there. Line breaks inside quotes are not read.
     """
-    found = headers(spark, folder, pattern)
-    names = columns or list(dict.fromkeys(c for h in dict.fromkeys(found.values()) for c in columns_of(h)))
-    return _by_name(_lines(spark.read, spark, folder, pattern, found), sorted(set(found.values())), names)
+    found = parse_lines(_lines(spark.read, folder, pattern), columns)
+    if found is None:
+        raise ValueError(f"no header in {folder}/{pattern}")
+    return found
+
+
+@dataclass(frozen=True)
+class CsvStream:
+    """Lines of files that land in a folder. Headers are found in each batch, so a refresh opens new files only."""
+
+    lines: DataFrame
+    columns: list[str] | None = None
+
+    def parse(self, batch: DataFrame, known: list[str] | None) -> DataFrame | None:
+        """A batch in the columns that are asked for, or else those the table has, or else those of its files."""
+        fixed = known and [c for c in known if c not in (RESCUED, INGESTED)]
+        return parse_lines(batch, self.columns or fixed)
 
 
 def stream_csv(
     spark: SparkSession, folder: str, pattern: str = "*.csv", columns: list[str] | None = None
-) -> DataFrame:
+) -> CsvStream:
     """The same scan as a stream: each file is read once, files that land later are picked up.
 
-    Columns of a table that grows are fixed by `columns`: a later file's new ones are rescued, not lost. A
-    file that lands while the stream starts fails the run before it is marked as read; the next run takes it.
+    A table's columns are fixed by `columns`, or by its first batch: a later file's new ones are rescued, not lost.
     """
-    found = headers(spark, folder, pattern)
-    names = columns or list(dict.fromkeys(c for h in dict.fromkeys(found.values()) for c in columns_of(h)))
-    return _by_name(_lines(spark.readStream, spark, folder, pattern, found), sorted(set(found.values())), names)
+    return CsvStream(_lines(spark.readStream, folder, pattern), columns)
 
 
 def cast_or_rescue(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from auriga.sources.files import CsvStream
+
 
 def start_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start writing everything the stream has now; the query ends by itself."""
@@ -50,20 +52,35 @@ class StreamTable:
     def data_path(self) -> str:
         return f"{self.base}/v{self.version}/data"
 
-    def start(self, stream: DataFrame, full: bool = False) -> StreamingQuery:
+    def start(self, stream: DataFrame | CsvStream, full: bool = False) -> StreamingQuery:
         """Append what the stream has not delivered yet; `full` rebuilds the table from its source."""
         if full or self.version == 0:
             self._next_version()
-        return start_append(stream, self.data_path, f"{self.base}/v{self.version}/checkpoint")
+        checkpoint = f"{self.base}/v{self.version}/checkpoint"
+        if isinstance(stream, CsvStream):
+            writer = stream.lines.writeStream.foreachBatch(self._appending(stream))
+            return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        return start_append(stream, self.data_path, checkpoint)
+
+    def _appending(self, stream: CsvStream):
+        """Each batch has its own folder, so a batch that runs again replaces what it wrote before."""
+        path = self.data_path
+
+        def append(batch: DataFrame, number: int) -> None:
+            rows = stream.parse(batch, self.columns())
+            if rows is not None:
+                rows.write.mode("overwrite").parquet(f"{path}/{number:012d}")
 
-    def refresh(self, stream: DataFrame, full: bool = False) -> StreamTable:
+        return append
+
+    def refresh(self, stream: DataFrame | CsvStream, full: bool = False) -> StreamTable:
         self.start(stream, full).awaitTermination()
         return self
 
     def read(self, schema: StructType | None = None) -> DataFrame:
         """The table; with a schema also one that has no rows yet."""
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.data_path)
+        return reader.option("recursiveFileLookup", "true").parquet(self.data_path)
 
     def columns(self) -> list[str] | None:
         """Columns the table has already; None before its first refresh."""
@@ -74,4 +91,5 @@ class StreamTable:
 
     def stream(self) -> DataFrame:
         """The table as a stream of its appends."""
-        return self.spark.readStream.schema(self.read().schema).parquet(self.data_path)
+        reader = self.spark.readStream.schema(self.read().schema).option("recursiveFileLookup", "true")
+        return reader.parquet(self.data_path)

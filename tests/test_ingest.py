@@ -64,7 +64,7 @@ def test_columns_are_placed_by_name(spark, tmp_path, streamed):
     def read(columns=None):
         if not streamed:
             return files.scan_csv(spark, str(raw), "*.csv", columns)
-        table = StreamTable(spark, str(tmp_path / f"t{columns}"), "x")
+        table = StreamTable(spark, str(tmp_path / f"t{len(columns or ())}"), "x")
         return table.refresh(files.stream_csv(spark, str(raw), "*.csv", columns)).read()
 
     got = sorted((r.id, r.v, r._rescued_data) for r in read(["id", "v"]).collect())
@@ -72,6 +72,61 @@ def test_columns_are_placed_by_name(spark, tmp_path, streamed):
     assert sorted((r.id, r.v, r.novo) for r in read().collect()) == [("1", "10", None), ("2", "20", "x, y"), ("3", None, None)]
 
 
+@pytest.mark.parametrize("streamed", [False, True])
+def test_paths_headers_and_blank_lines(spark, tmp_path, streamed):
+    raw = tmp_path / "dados brutos ção 100%"
+    raw.mkdir()
+    (raw / "a b.csv").write_text("id,v\n1,x\n\nid,v\n2,y\n")
+    (raw / "ç%20.csv").write_text("\ufeffv,id\r\nz,3\r\n")
+    (raw / "one.csv").write_text("\nid\n4\n\n")
+
+    def read():
+        if not streamed:
+            return files.scan_csv(spark, str(raw))
+        return StreamTable(spark, str(tmp_path / "t"), "x").refresh(files.stream_csv(spark, str(raw))).read()
+
+    got = sorted(((r.id, r.v, r._rescued_data) for r in read().collect()), key=str)
+    assert got == sorted(
+        [("1", "x", None), ("id", "v", None), ("2", "y", None), ("3", "z", None), ("4", None, None), (None, None, None)], key=str
+    )
+
+
+def test_a_refresh_opens_new_files_only(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(30):
+        (raw / f"f{i}.csv").write_text(f"id\n{i}\n")
+    table = StreamTable(spark, str(tmp_path / "t"), "x")
+    table.refresh(files.stream_csv(spark, str(raw)))
+    # Old files that can no longer be read as they were don't matter to a refresh.
+    for i in range(30):
+        (raw / f"f{i}.csv").write_bytes(b"")
+    (raw / "new.csv").write_text("id,more\n99,m\n")
+    seen = []
+
+    class Counting(files.CsvStream):
+        def parse(self, batch, known):
+            seen.extend(r[0] for r in batch.select("_file").distinct().collect())
+            return super().parse(batch, known)
+
+    table.refresh(Counting(files.stream_csv(spark, str(raw)).lines))
+    assert [p.rsplit("/", 1)[1] for p in seen] == ["new.csv"]
+    got = {(r.id, r._rescued_data) for r in table.read().collect()}
+    assert len(got) == 31 and ("99", '{"more":"m"}') in got
+
+
+def test_a_batch_that_runs_again_gives_the_same_table(spark, tmp_path):
+    table = StreamTable(spark, str(tmp_path / "t"), "x")
+    table._next_version()
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text("id\n1\n2\n")
+    append = table._appending(files.stream_csv(spark, str(tmp_path / "raw")))
+    batch = files._lines(spark.read, str(tmp_path / "raw"), "*.csv")
+    for _ in range(2):
+        append(batch, 0)
+    assert sorted(r.id for r in table.read().collect()) == ["1", "2"]
+
+
 def test_cast_or_rescue(spark):
     raw = spark.createDataFrame([("1", "x", " "), ("2", "2024-02-30", "5"), ("3", "2024-02-29", None)], "k string, d string, n string")
     got = {r.k: (str(r.d), r.n, r._rescued_data) for r in files.cast_or_rescue(raw, {"k": "int", "d": "date", "n": "int"}).collect()}
@@ -171,5 +226,5 @@ def test_unknown_case_fails(spark, tmp_path):
 
 def test_header_only_read_in_batch(spark, tmp_path):
     (tmp_path / "a.csv").write_text("um,dois\n1,2\n")
-    assert files.header_columns(spark, str(tmp_path)) == ["um", "dois"]
+    assert files.scan_csv(spark, str(tmp_path)).columns[:2] == ["um", "dois"]
     assert files.scan_csv(spark, str(tmp_path)).filter(F.col("_ingested_at").isNull()).count() == 0
