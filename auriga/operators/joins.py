@@ -37,34 +37,27 @@ def join_dimension(
 
 
 def global_rank(df: DataFrame, value: str, output: str) -> DataFrame:
-    """rank() over (order by value desc) without sending every row to one task.
+    """rank() over (order by value desc), null last, without sending every row, or every row of a value, to one task.
 
-    Rows fall into buckets that keep the order of the value: sixteen per power of ten,
-    mirrored for negative values, with zero between and null last. Ranking runs inside
-    each bucket; the rows in higher buckets are counted in a table of at most a few
-    thousand rows and added. The rows are stored first, as both steps read them.
+    Values fold to one row each with their number of rows, are dealt by ranges that a sample of them sets, and count on
+    inside each range; a table of one row per range adds what lies in the ranges above. The rows are stored first,
+    as both steps read them.
     """
-    number = F.col(value).cast("double")
-    size = (F.floor(F.log10(F.abs(number)) * 16) + 10_000).cast("int")
-    bucket = (
-        F.when(number.isNull(), F.lit(-1_000_000))
-        .when(number == 0, F.lit(0))
-        .otherwise(F.when(number > 0, size).otherwise(-size))
+    rows = store_once(df, "ranked")
+    values = rows.groupBy(value).agg(F.count("*").alias("_rows"))
+    order = F.col(value).desc_nulls_last()
+    ranged = store_once(values.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "rank-ranges")
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_range").agg(F.sum("_rows").alias("_all")).select(
+        "_range", F.coalesce(F.sum("_all").over(above), F.lit(0)).alias("_above")
     )
-    rows = store_once(df.withColumn("_bucket", bucket), "ranked")
-    above = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("_bucket")
-        .agg(F.count("*").alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_above"))
-    )
-    inside = Window.partitionBy("_bucket").orderBy(F.col(value).desc())
-    return (
-        rows.withColumn("_rank", F.rank().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(output, (F.col("_rank") + F.col("_above")).cast("bigint"))
-        .drop("_bucket", "_rank", "_above")
+    before = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (
+        ranged.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .join(F.broadcast(offsets), "_range")
+        .select(F.col(value).alias("_value"), (F.col("_before") + F.col("_above") + 1).cast("bigint").alias(output))
     )
+    return rows.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def first_by(order: Sequence[Column], *columns: str) -> Column:

@@ -11,6 +11,7 @@ from auriga.plans.refresh import CASES, refresh_bronze, refresh_case
 from auriga.session import scratch
 from auriga.sources import files
 from auriga.sources.stored import replace_table
+from auriga.streaming.first_rows import first_rows, refresh_first_rows
 from auriga.streaming.tables import StreamTable
 from auriga.streaming.telemetry import refresh_daily_telemetry
 
@@ -213,10 +214,24 @@ def _daily_stream(c):
     for delivery in (c.readings.filter(~late), c.readings.filter(late)):
         delivery.write.mode("append").parquet(f"{root}/readings")
         readings = c.spark.readStream.schema(c.readings.schema).parquet(f"{root}/readings")
-        refresh_daily_telemetry(readings, f"{root}/readings", f"{root}/daily", f"{root}/checkpoint")
+        refresh_daily_telemetry(readings, f"{root}/daily", f"{root}/checkpoint")
     return c.spark.read.parquet(f"{root}/daily")
 
 
+KEYS = ["id_pedido", "id_item"]
+ORDER = ["valor_item", "saving_item", "descricao", "qtd"]
+
+
+def _streamed_first(c):
+    """Order lines in three deliveries, the later ones with repeats and with rows that sort before those delivered."""
+    root, part = scratch(c.spark, "first"), F.pmod(F.xxhash64(*ORDER), F.lit(4))
+    for delivery in (c.lines.filter(part > 1), c.lines.filter(part != 2), c.lines.filter(part < 3)):
+        delivery.write.mode("append").parquet(f"{root}/lines")
+        lines = c.spark.readStream.schema(c.lines.schema).parquet(f"{root}/lines")
+        refresh_first_rows(lines, KEYS, ORDER, f"{root}/table", f"{root}/checkpoint")
+    return first_rows(c.spark, KEYS, f"{root}/table").select(*c.lines.columns)
+
+
 _BRONZE = {
     "s14_bronze_suprimentos": ("suprimentos", [
         ("fornecedores", "t_suppliers"), ("categorias_compra", "t_categories"),
@@ -325,6 +340,12 @@ def register(add) -> None:
                 for name, table in tables
             ),
         )
+    add(
+        "v10_streaming_keep_first",
+        _streamed_first,
+        """SELECT * FROM t_lines QUALIFY row_number() OVER (
+             PARTITION BY id_pedido, id_item ORDER BY valor_item, saving_item, descricao, qtd) = 1""",
+    )
     add(
         "m1_daily_telemetry_stream",
         _daily_stream,

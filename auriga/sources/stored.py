@@ -1,18 +1,54 @@
-"""Tables written once and read back: replaceable targets and intermediate results."""
+"""Tables written once and read back: replaceable targets and intermediate results.
+
+A replaceable table lies under its path as `v<number>`; `versions` says which one holds. Readers see the former table until
+the next one is whole, and a job that is lost in between leaves the former one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from auriga.session import scratch
 
 
+def version_of(spark: SparkSession, path: str) -> int:
+    """0 where no table was committed yet."""
+    try:
+        return spark.read.schema("version int").json(f"{path}/versions").agg(F.max("version")).first()[0] or 0
+    except AnalysisException:
+        return 0
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that the last replacement committed."""
+    return spark.read.parquet(f"{path}/v{version_of(spark, path)}")
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Create or replace: running it again gives the same table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Create or replace: running it again gives the same table. The version before stays for those who read it."""
+    spark = df.sparkSession
+    number = version_of(spark, path) + 1
+    # A version that was written but not committed is overwritten.
+    df.write.mode("overwrite").parquet(f"{path}/v{number}")
+    _commit(spark, path, number)
+    _forget(spark, f"{path}/v{number - 2}")
+    return spark.read.parquet(f"{path}/v{number}")
 
 
 def store_once(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several passes read, so a lost executor recomputes none of it."""
-    return replace_table(df, scratch(df.sparkSession, name))
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _commit(spark: SparkSession, path: str, number: int) -> None:
+    """One appended row makes a version the table."""
+    spark.range(1).select(F.lit(number).alias("version")).write.mode("append").json(f"{path}/versions")
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    old = spark._jvm.org.apache.hadoop.fs.Path(path)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)

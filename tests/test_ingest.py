@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auriga.operators.maintenance import daily_telemetry
 from auriga.plans.refresh import refresh_case
-from auriga.sources import files
-from auriga.sources.stored import replace_table
+from auriga.sources import files, stored
+from auriga.sources.stored import read_table, replace_table
+from auriga.streaming.first_rows import first_rows, refresh_first_rows
 from auriga.streaming.tables import StreamTable
-from auriga.streaming.telemetry import refresh_daily_telemetry
+from auriga.streaming.telemetry import daily_from_moments, moments, refresh_daily_telemetry
 
 
 def test_new_files_only(spark, tmp_path):
@@ -186,17 +191,69 @@ def test_late_and_newest_days_are_in_the_daily_table(spark, tmp_path):
     def deliver(*days):
         rows = [(d, "A", "t", "Bomba", "Sul", "Alta", datetime(2024, 1, d, 9), 50.0, float(d), 1.0, 900) for d in days]
         spark.createDataFrame(rows, fields).write.mode("append").parquet(folder)
-        stream = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
-        refresh_daily_telemetry(stream, folder, str(tmp_path / "daily"), str(tmp_path / "check"))
+        stream = spark.readStream.schema(fields).parquet(folder)
+        refresh_daily_telemetry(stream, str(tmp_path / "daily"), str(tmp_path / "check"))
         return sorted(r.dia.day for r in spark.read.parquet(str(tmp_path / "daily")).collect())
 
     assert deliver(5, 6) == [5, 6]
     assert deliver(2, 6, 9) == [2, 5, 6, 9]
     daily = spark.read.parquet(str(tmp_path / "daily")).filter("dia = '2024-01-06'").first()
     assert daily.n_leituras == 2
+    # Readings of former batches are not read again.
+    for old in (tmp_path / "in").glob("part-*"):
+        old.write_bytes(b"")
     assert deliver(10) == [2, 5, 6, 9, 10]
 
 
+def test_moments_merge_to_the_daily_table(spark):
+    rng = np.random.default_rng(4)
+    rows = [
+        (int(i), f"A{i % 3}", "t", "Bomba", "Sul", "Alta", datetime(2024, 1, 1 + i % 2, 9),
+         None if i % 11 == 0 else float(rng.normal(50, 9)), None if i % 7 == 0 or i % 3 == 2 else float(rng.normal(1e4, 3)), 1.0, 900 + i)
+        for i in range(400)
+    ]
+    fields = "id_leitura bigint, id_ativo string, tag string, tipo string, site string, criticidade string, data_hora timestamp, temperatura double, vibracao double, pressao double, rpm int"
+    readings = spark.createDataFrame([*rows, (999, "A9", *rows[0][2:6], datetime(2024, 1, 9), None, 1.5, None, None)], fields)
+    parts = [moments(readings.filter(f"id_leitura % 5 = {n}")) for n in range(5)]
+    merged = daily_from_moments(reduce(DataFrame.unionAll, parts))
+    whole = daily_telemetry(readings)
+    assert merged.columns == whole.columns
+    assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_first_rows_take_late_ones(spark, tmp_path):
+    folder, table, check = (str(tmp_path / n) for n in ("in", "table", "check"))
+
+    def deliver(*rows):
+        spark.createDataFrame(rows, "k int, o int, v string").write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("k int, o int, v string").parquet(folder)
+        refresh_first_rows(stream, ["k"], ["o", "v"], table, check)
+        return {r.k: (r.o, r.v) for r in first_rows(spark, ["k"], table).collect()}
+
+    assert deliver((1, 5, "a"), (1, 5, "b"), (2, 1, "c"), (None, 3, "n")) == {1: (5, "a"), 2: (1, "c"), None: (3, "n")}
+    assert deliver((1, 9, "z"), (2, 1, "c"), (3, 0, None)) == {1: (5, "a"), 2: (1, "c"), 3: (0, None), None: (3, "n")}
+    assert deliver((1, 4, "late"), (None, 2, "m")) == {1: (4, "late"), 2: (1, "c"), 3: (0, None), None: (2, "m")}
+
+
+def test_a_lost_replacement_leaves_the_former_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "x")
+    replace_table(spark.range(3), path)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(stored, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            replace_table(spark.range(9), path)
+    former = read_table(spark, path)
+    assert former.count() == 3
+    assert replace_table(spark.range(5), path).count() == 5
+    assert read_table(spark, path).count() == 5
+    # Who reads the former table still can, until the next but one is there.
+    assert former.count() == 3
+
+
 def test_working_folder_comes_from_the_session(spark):
     from auriga.session import scratch, shared_root
 
