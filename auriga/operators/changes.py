@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auriga.sources.stored import offset_of, read_table, read_version, replace_table, store_once, version_of
+
 
 def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Inserted, updated and deleted rows. A deleted row carries its old values.
@@ -34,6 +36,30 @@ def apply_changes(copy: DataFrame, changes: DataFrame, keys: list[str]) -> DataF
     return untouched.unionByName(changes.filter(F.col("_change") != "delete").select(*copy.columns))
 
 
+def changes_between(spark: SparkSession, path: str, keys: list[str], since: int, until: int) -> DataFrame:
+    """Net changes of a replaceable table between two of its versions; 0 is the table before its first one.
+
+    A row that changed several times in between comes once, one that came and went not at all.
+    """
+    after = read_version(spark, path, until)
+    before = read_version(spark, path, since) if since else after.limit(0)
+    return change_feed(before, after, keys)
+
+
+def sync(spark: SparkSession, path: str, copy: str, keys: list[str]) -> DataFrame:
+    """Bring a consumer's copy to the newest version of a table by the net changes since its offset.
+
+    The offset is committed with the copy, so a sync that is lost in between is simply run again. The table must keep the
+    version that the copy stands at.
+    """
+    newest, offset = version_of(spark, path), offset_of(spark, copy)
+    if offset == newest:
+        return read_table(spark, copy)
+    feed = store_once(changes_between(spark, path, keys, offset, newest), "feed")
+    held = read_table(spark, copy) if offset else read_version(spark, path, newest).limit(0)
+    return replace_table(apply_changes(held, feed, keys), copy, source=newest)
+
+
 def open_backlog(orders: DataFrame, receipts: DataFrame, as_of: str) -> DataFrame:
     """Orders placed by a date and not received by it, with whether the promise had passed."""
     day = F.lit(as_of).cast("date")

@@ -186,6 +186,19 @@ def _searched_corpus(c):
     return changes.apply_changes(before, feed, ["chunk_id"])
 
 
+def _synced_corpus(c):
+    """A consumer that stood at the first of four versions reaches the newest in one sync."""
+    root = scratch(c.spark, "versions")
+    path, copy = f"{root}/corpus", f"{root}/copy"
+    first, last = _chunk_changes(c)
+    replace_table(first, path, kept=9)
+    changes.sync(c.spark, path, copy, ["chunk_id"])
+    halfway = first.withColumn("texto", F.concat("texto", F.lit("?"))).filter(F.xxhash64("chunk_id") % 3 != 0)
+    for snapshot in (halfway, first.limit(0), last):
+        replace_table(snapshot, path, kept=9)
+    return changes.sync(c.spark, path, copy, ["chunk_id"])
+
+
 def _changed_sections(condition: str, text: str) -> str:
     return f"""
     SELECT doc_nome || '#' || i AS chunk_id, doc_nome, politica, CAST(i AS INT) AS secao_idx,
@@ -232,6 +245,23 @@ def _streamed_first(c):
     return first_rows(c.spark, KEYS, f"{root}/table").select(*c.lines.columns)
 
 
+def _late_suppliers(c):
+    """Orders before every third of their suppliers, then the suppliers, by two refreshes."""
+    raw, root = write_raw(c, "suprimentos"), scratch(c.spark, "tables")
+    every = c.lake.suppliers()
+    late = F.pmod(F.xxhash64("id_fornecedor"), F.lit(3)) == 0
+    files.write_csv(every.filter(~late), f"{raw}/fornecedores")
+    refresh_case(c.spark, "suprimentos", raw, root, source=folder_source)
+    files.write_csv(every.filter(late), f"{raw}/fornecedores/late")
+    found = refresh_case(c.spark, "suprimentos", raw, root, source=_with_late)["silver_pedidos"]
+    return found.select(*[F.col(name).cast(kind).alias(name) for name, kind in c.orders.dtypes])
+
+
+def _with_late(raw: str, name: str) -> tuple[str, str]:
+    """Suppliers come from a second folder too."""
+    return (f"{raw}/{name}{{,/late}}" if name == "fornecedores" else f"{raw}/{name}"), "*.csv"
+
+
 _BRONZE = {
     "s14_bronze_suprimentos": ("suprimentos", [
         ("fornecedores", "t_suppliers"), ("categorias_compra", "t_categories"),
@@ -320,6 +350,8 @@ def register(add) -> None:
         **TEXTS,
     )
     add("s13_searched_corpus", _searched_corpus, new, **TEXTS)
+    add("s13_synced_corpus", _synced_corpus, new, **TEXTS)
+    add("v1_repaired_orders", _late_suppliers, "SELECT * FROM t_orders")
     add(
         "s10_replace_table",
         _replace_twice,

@@ -105,7 +105,7 @@ def register(add_query) -> None:
     add("c5_approximate_top_k", lambda c: retrieval.approximate_top_k(_middles(c), c.lake.vectors()))
     add(
         "c5_approximate_check",
-        lambda c: _approximate_check(c).select((F.col("recall") >= 0.8).alias("recall_ok"), "scores_equal"),
+        lambda c: _approximate_check(c).select((F.col("recall") >= 0.9).alias("recall_ok"), "scores_equal"),
         "SELECT true AS recall_ok, true AS scores_equal",
     )
     add("c6_lexical_top_k", lambda c: c.lexical_hits, "SELECT * FROM t_hits")

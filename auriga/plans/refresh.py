@@ -1,7 +1,7 @@
 """Refresh a case from its raw files: bronze and silver as streams, gold recomputed.
 
-Dimensions join a silver stream as the snapshot they are at refresh time; a dimension
-row that lands later leaves NULLs in rows already written, and a full refresh repairs them.
+Dimensions join a silver stream as the snapshot they are at refresh time. A dimension row that lands later leaves NULLs in
+rows already written; the refresh that sees it makes these rows again (REPAIRED), and no others.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from auriga.operators import audit, finance, maintenance, procurement, silver
 from auriga.sources.files import RESCUED, cast_or_rescue, stream_csv
 from auriga.sources.stored import replace_table
+from auriga.streaming.repairs import Repairs
 from auriga.streaming.tables import StreamTable
 
 Tables = dict[str, DataFrame]
@@ -120,6 +121,14 @@ TYPES = {
 }
 
 
+# Silver tables whose rows are repaired when a dimension row lands late: their key, and the key of each dimension.
+REPAIRED = {
+    "suprimentos": {"pedidos": ("id_pedido", {"fornecedores": "id_fornecedor", "categorias_compra": "id_categoria"})},
+    "manutencao": {"leituras": ("id_leitura", {"ativos": "id_ativo"})},
+    "auditoria": {"transacoes": ("id_transacao", {"fornecedores": "id_fornecedor", "aprovadores": "id_aprovador"})},
+}
+
+
 def raw_source(raw: str, name: str) -> tuple[str, str]:
     """Where the files of a raw table are: one file of its name, or the numbered lots of the sensors."""
     return raw, f"{name}_lote*.csv" if name == "leituras_sensores" else f"{name}.csv"
@@ -151,6 +160,13 @@ def refresh_silver(spark: SparkSession, case: str, root: str, tables: Tables, fu
         table = StreamTable(spark, root, f"silver_{name}").refresh(transform(facts, tables), full)
         running.awaitTermination()
         tables[f"silver_{name}"], tables[f"rescued_{name}"] = table.read(), misfits.read(facts.schema)
+        if name in REPAIRED.get(case, {}):
+            row_key, dimensions = REPAIRED[case][name]
+            repairs = Repairs(spark, root, name, table.version, row_key)
+            stored = cast_or_rescue(tables[f"bronze_{streamed}"], TYPES.get(streamed, {}))
+            known = {d: (tables[f"bronze_{d}"], key) for d, key in dimensions.items()}
+            repairs.refresh(stored, known, lambda late, make=transform, now=tables: make(late, now))
+            tables[f"silver_{name}"] = repairs.applied(tables[f"silver_{name}"])
     return tables
 
 

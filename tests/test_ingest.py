@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auriga.operators.changes import changes_between, sync
 from auriga.operators.maintenance import daily_telemetry
 from auriga.plans.refresh import refresh_case
 from auriga.sources import files, stored
@@ -254,6 +255,61 @@ def test_a_lost_replacement_leaves_the_former_table(spark, tmp_path, monkeypatch
     assert former.count() == 3
 
 
+SUPPLIES = {
+    "fornecedores.csv": "id_fornecedor,razao_social,uf,criticidade,fornecedor_unico\nS1,Um,SP,Alta,true\n",
+    "categorias_compra.csv": "id_categoria,nome,tipo\nC1,Cat,MRO\n",
+    "contratos.csv": "contrato_id\nK1\n",
+    "pedidos_compra.csv": "id_pedido,id_fornecedor,id_categoria,contrato_id,data_pedido,centro,valor_total,status\n"
+                          "P1,S1,C1,K1,2024-01-01,X,10.00,ok\nP2,S2,C1,,2024-01-02,X,20.00,ok\nP3,S2,C2,,2024-01-03,X,30.00,ok\nP4,,C1,,2024-01-04,X,1.00,ok\n",
+    "itens_pedido.csv": "id_pedido,id_item,descricao,qtd,preco_unitario,preco_baseline\nP1,1,d,1,10,11\n",
+    "recebimentos.csv": "id_pedido,data_prometida,data_recebida,qtd_recebida,ok_qualidade\nP1,2024-01-05,2024-01-05,1,true\n",
+}
+
+
+def test_facts_are_repaired_when_their_dimension_lands(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    for name, text in SUPPLIES.items():
+        (raw / name).write_text(text)
+    source = lambda folder, name: (folder, f"{name}*.csv")
+
+    def refresh():
+        tables = refresh_case(spark, "suprimentos", str(raw), root, source=source)
+        return {r.id_pedido: (r.razao_social, r.categoria_nome) for r in tables["silver_pedidos"].collect()}
+
+    head = SUPPLIES["fornecedores.csv"].splitlines()[0]
+    assert refresh() == {"P1": ("Um", "Cat"), "P2": (None, "Cat"), "P3": (None, None), "P4": (None, "Cat")}
+    (raw / "fornecedores_2.csv").write_text(f"{head}\nS2,Dois,RJ,Baixa,false\n")
+    written = sorted((tmp_path / "lake" / "silver_pedidos").rglob("*.parquet"))
+    assert refresh() == {"P1": ("Um", "Cat"), "P2": ("Dois", "Cat"), "P3": ("Dois", None), "P4": (None, "Cat")}
+    # No full refresh, and only the touched rows were made again.
+    assert sorted((tmp_path / "lake" / "silver_pedidos").rglob("*.parquet")) == written
+    repaired = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/repairs_pedidos/1/rows")
+    assert sorted(r.id_pedido for r in repaired.collect()) == ["P2", "P3"]
+    (raw / "categorias_compra_2.csv").write_text("id_categoria,nome,tipo\nC2,Dog,MRO\n")
+    assert refresh() == {"P1": ("Um", "Cat"), "P2": ("Dois", "Cat"), "P3": ("Dois", "Dog"), "P4": (None, "Cat")}
+    assert refresh()["P3"] == ("Dois", "Dog")
+
+
+def test_a_consumer_syncs_over_several_versions(spark, tmp_path):
+    path, copy = str(tmp_path / "t"), str(tmp_path / "c")
+
+    def commit(**rows):
+        replace_table(spark.createDataFrame([*rows.items()] or [("x", 0)], "k string, v int").filter("v > 0"), path, kept=9)
+
+    def synced():
+        return {r.k: r.v for r in sync(spark, path, copy, ["k"]).collect()}
+
+    commit(a=1, b=2, c=3)
+    assert synced() == {"a": 1, "b": 2, "c": 3}
+    commit(a=5, b=2, d=7)
+    commit(a=6, d=8, e=9)
+    net = {(r.k, r.v, r._change) for r in changes_between(spark, path, ["k"], 1, 3).collect()}
+    assert net == {("a", 6, "update"), ("b", 2, "delete"), ("c", 3, "delete"), ("d", 8, "insert"), ("e", 9, "insert")}
+    assert synced() == {"a": 6, "d": 8, "e": 9} and synced() == {"a": 6, "d": 8, "e": 9}
+    assert {r._change for r in changes_between(spark, path, ["k"], 0, 3).collect()} == {"insert"}
+
+
 def test_working_folder_comes_from_the_session(spark):
     from auriga.session import scratch, shared_root
 
