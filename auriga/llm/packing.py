@@ -18,6 +18,8 @@ WINDOW = 1024
 END_ID = 0
 SHARD = 1024
 K1, B = 1.2, 0.75
+# Terms of more than this share of a shard's tails are common.
+COMMON = 0.25
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
@@ -145,34 +147,40 @@ class Index:
     """BM25 postings of the tails of one shard; term ids are token ids."""
 
     def __init__(self, tails: list[tuple]):
-        terms, counts, owners = [], [], []
-        for at, tail in enumerate(tails):
-            term, count = np.unique(tail[3], return_counts=True)
-            terms.append(term)
-            counts.append(count)
-            owners.append(np.full(len(term), at))
-        lengths = np.array([len(t[3]) for t in tails], dtype=float)
-        term, count, owner = (np.concatenate(x) for x in (terms, counts, owners))
-        order = np.argsort(term, kind="stable")
-        term, count, owner = term[order], count[order], owner[order]
+        lengths = np.array([len(t[3]) for t in tails])
+        every = np.concatenate([t[3] for t in tails]).astype(np.int64)
+        keys = every * len(tails) + np.repeat(np.arange(len(tails)), lengths)
+        keys, count = np.unique(keys, return_counts=True)
+        term, owner = keys // len(tails), keys % len(tails)
+        by_owner = np.argsort(owner, kind="stable")
+        terms = np.split(term[by_owner], np.cumsum(np.bincount(owner, minlength=len(tails)))[:-1])
         self.vocabulary, self.first, size = np.unique(term, return_index=True, return_counts=True)
         self.end = self.first + size
         idf = np.log1p((len(tails) - size + 0.5) / (size + 0.5))
         norm = K1 * (1 - B + B * lengths / lengths.mean())
         self.owner = owner
         self.weight = np.repeat(idf, size) * count * (K1 + 1) / (count + norm[owner])
-        self.terms, self.size, self.shared = terms, len(tails), size > 1
+        self.terms, self.size = terms, len(tails)
+        # Terms of many tails are scored for all tails at once, as a product of matrices; a term of one tail tells nothing.
+        common = size > COMMON * len(tails)
+        self.rare = (size > 1) & ~common
+        column = np.cumsum(common) - 1
+        at = common[np.searchsorted(self.vocabulary, term)]
+        has, weigh = np.zeros((2, len(tails), int(common.sum())))
+        cells = self.owner[at], column[np.searchsorted(self.vocabulary, term[at])]
+        has[cells], weigh[cells] = 1.0, self.weight[at]
+        self.base = has @ weigh.T
 
     def scores(self, at: int) -> np.ndarray:
         """BM25 of every other tail for all terms of tail `at`; terms of no other tail tell nothing."""
         found = np.searchsorted(self.vocabulary, self.terms[at])
-        found = found[self.shared[found]]
+        found = found[self.rare[found]]
         if not len(found):
-            return np.zeros(self.size)
-        spans = [slice(self.first[t], self.end[t]) for t in found]
-        owner = np.concatenate([self.owner[s] for s in spans])
-        weight = np.concatenate([self.weight[s] for s in spans])
-        return np.bincount(owner, weights=weight, minlength=self.size)
+            return self.base[at]
+        spans = self.end[found] - self.first[found]
+        ends = np.cumsum(spans)
+        place = np.arange(ends[-1]) + np.repeat(self.first[found] - ends + spans, spans)
+        return self.base[at] + np.bincount(self.owner[place], weights=self.weight[place], minlength=self.size)
 
 
 def fill(tails: list[tuple], window: int, last: bool = False) -> tuple[list[list[tuple]], list[tuple]]:

@@ -375,6 +375,24 @@ def test_packing_joins_neighbours():
     assert scores[1] == scores[2] == 0 < scores[3] <= scores[0]
 
 
+def test_packing_scores_are_bm25():
+    rng = np.random.default_rng(2)
+    often = 1 / np.arange(1, 201)
+    tails = [(n, 0, 0, rng.choice(200, size=int(rng.integers(1, 60)), p=often / often.sum()).astype("<u4")) for n in range(80)]
+    index, bags = packing.Index(tails), [Counter(t[3].tolist()) for t in tails]
+    mean = np.mean([len(t[3]) for t in tails])
+    assert index.rare.any() and index.base.any()
+    for at in range(80):
+        expected = np.zeros(80)
+        for term in bags[at]:
+            df = sum(term in b for b in bags)
+            for to, bag in enumerate(bags):
+                if df > 1 and bag[term]:
+                    norm = packing.K1 * (1 - packing.B + packing.B * len(tails[to][3]) / mean)
+                    expected[to] += np.log1p((80 - df + 0.5) / (df + 0.5)) * bag[term] * (packing.K1 + 1) / (bag[term] + norm)
+        assert index.scores(at) == pytest.approx(expected)
+
+
 # 7 -------------------------------------------------------------------------------------------------------
 
 
