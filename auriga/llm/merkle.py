@@ -261,6 +261,8 @@ def proofs(documents: DataFrame, claimed: Column | None = None, fields=FIELDS, h
         values[1].cast("string").alias("source"), values[0].cast("bigint").alias("id"), leaf(*values).alias("digest"),
         F.when(claim.isNotNull(), leaf(*values[:-1], claim)).alias("seen"),
     ).withColumn("tree", field(F.col("source")))
+    # Texts are hashed once: the ranges are set by a first pass over what is kept of them.
+    rows = keep(rows, "merkle-leaves")
     nodes = placed(rows, "tree", "id", "digest")
     found = tiers(nodes, height)
     sources = nodes.groupBy("tree").agg(F.first("source").alias("source"))
