@@ -15,6 +15,8 @@ SHARE = 1.5
 EPOCHS = 2
 SEED = 7
 ROUNDS = 24
+# Blocks that one row stands for until they are listed.
+PART = 1024
 BLOCK_WORDS = 4096
 SHARD_WORDS = 1 << 16
 
@@ -172,10 +174,12 @@ def mixed(documents: DataFrame, id_column: str = "doc_id", source_column: str =
 def block_shards(sources: DataFrame, plan: Grid) -> DataFrame:
     """number, block, shard: every block of every source once; each shard has as many as its quotas say."""
     blocks = _blocks(plan.block)
-    many = F.sequence(F.lit(0).cast("bigint"), F.greatest(blocks - 1, F.lit(0)), F.lit(1 << 16).cast("bigint"))
+    many = F.sequence(F.lit(0).cast("bigint"), F.greatest(blocks - 1, F.lit(0)), F.lit(PART).cast("bigint"))
     parts = sources.withColumn("blocks", blocks).filter("blocks > 0").select("number", "blocks", F.explode(many).alias("part"))
-    inner = F.sequence(F.col("part"), F.least(F.col("part") + (1 << 16), F.col("blocks")) - 1)
-    listed = parts.repartition("number", "part").select("number", "blocks", F.explode(inner).alias("block"))
+    inner = F.sequence(F.col("part"), F.least(F.col("part") + PART, F.col("blocks")) - 1)
+    # The rows are few until they are listed: a given number of tasks is not joined to one.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = parts.repartition(tasks, "number", "part").select("number", "blocks", F.explode(inner).alias("block"))
     listed = listed.withColumn("rank", permuted(F.col("block"), F.col("blocks"), F.col("number")))
     spans = shard_spans(sources, plan).withColumnsRenamed({"number": "n", "cell": "c"})
     return listed.withColumn("cell", F.floor(F.col("rank") / _cell(plan.shards))).join(
