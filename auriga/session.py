@@ -24,11 +24,22 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, or its warehouse where none is set; both are shared by all executors."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The cluster's checkpoint folder, or its warehouse where none is set; both are shared by all executors.
+
+    Off a single machine a warehouse in a local folder is refused: executors would write what others cannot read.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and is_local(root):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {root} is on one machine")
     return root.rstrip("/")
 
 
+def is_local(path: str) -> bool:
+    return path.startswith(("file:", "/"))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder path in the application's own folder, which goes when the driver ends."""
     own = f"{shared_root(spark)}/auriga-{spark.sparkContext.applicationId}"

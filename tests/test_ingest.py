@@ -317,6 +317,22 @@ def test_working_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from auriga.session import shared_root
+
+    def session(master, **settings):
+        conf = {"spark.sql.warehouse.dir": "file:/home/x/spark-warehouse"} | settings
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *_: conf.get(key)), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_root(session("local[8]")) == "file:/home/x/spark-warehouse"
+    assert shared_root(session("yarn", **{"spark.checkpoint.dir": "hdfs://n/ck/"})) == "hdfs://n/ck"
+    assert shared_root(session("yarn", **{"spark.sql.warehouse.dir": "s3a://b/w"})) == "s3a://b/w"
+    with pytest.raises(ValueError):
+        shared_root(session("spark://host:7077"))
+
+
 def test_a_bad_value_is_rescued_and_stops_nothing(spark, tmp_path):
     raw, root = tmp_path / "raw", str(tmp_path / "lake")
     raw.mkdir()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from auriga.plans.compare import connect, differences
+from tests.compare import connect, differences
 from tests.conftest import SMALL
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
