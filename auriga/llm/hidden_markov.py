@@ -22,8 +22,9 @@ ROUNDS = 4
 # Rare words must be among the latter, since they stand for words that training has not seen.
 OWN_WORDS, LONGEST_OWN, LEAST_OWN = 65_536, 64, 4
 SHARED = 8_192
-# Baum-Welch runs on stretches of so many tokens; so many stretches at a time.
-STRETCH, AT_ONCE = 64, 2_048
+# Baum-Welch runs side by side on stretches of so many tokens, so many at a time; messages pass between them.
+# Probabilities are rescaled once in so many steps.
+STRETCH, AT_ONCE, RESCALE = 64, 2_048, 4
 # Weight of the corpus distribution in a state's emissions, as a share of the state's even part of the tokens.
 PRIOR = 0.1
 NOISE = 0.5
@@ -55,7 +56,6 @@ class Vocabulary:
 @dataclass
 class Model:
     start: np.ndarray
-    resume: np.ndarray
     moves: np.ndarray
     emit: np.ndarray
 
@@ -198,7 +198,7 @@ def initial_model(corpus: np.ndarray, states: int) -> Model:
     moves = np.full((states, states), 0.05 / max(states - 1, 1))
     np.fill_diagonal(moves, 0.95 if states > 1 else 1.0)
     even = np.full(states, 1 / states)
-    return Model(even, even, moves, emit / emit.sum(axis=0))
+    return Model(even, moves, emit / emit.sum(axis=0))
 
 
 def train(coded: DataFrame, vocabulary: Vocabulary, states: int, rounds: int) -> Model:
@@ -224,70 +224,115 @@ def train(coded: DataFrame, vocabulary: Vocabulary, states: int, rounds: int) ->
 
 
 class Expected:
-    """Expected counts of starts, resumptions, moves and emissions under a model."""
+    """Expected counts of starts, moves and emissions under a model, over whole texts.
+
+    A text is cut into stretches that run side by side. What a stretch does to any message is a matrix of states
+    by states; products of these give each stretch the message of all tokens before it and of all after it, so
+    the counts, those of moves over borders included, are those of one pass over the whole text.
+    """
 
     def __init__(self, model: Model):
         self.model = model
         size, states = model.emit.shape
+        # Relative to the likeliest state, so that several steps fit between two rescalings.
         # One symbol more pads the stretches; it says nothing about the state.
-        self.emit = np.vstack([model.emit, np.ones(states)]).astype(np.float32)
+        peak = model.emit.max(axis=1, keepdims=True)
+        self.emit = np.vstack([model.emit / peak, np.ones(states)]).astype(np.float32)
+        self.log_peak = np.log(peak[:, 0])
         self.steps = model.moves.astype(np.float32)
         self.emitted = np.zeros((size, states))
         self.moves = np.zeros((states, states))
-        self.start, self.resume = np.zeros(states), np.zeros(states)
+        self.start = np.zeros(states)
         self.likely = 0.0
 
     def add(self, texts: list[np.ndarray]) -> None:
-        pad = len(self.emit) - 1
-        stretches, heads = [], []
-        for text in texts:
-            rows = -(-len(text) // STRETCH)
-            padded = np.full(rows * STRETCH, pad, dtype=np.int32)
-            padded[: len(text)] = text
-            stretches.append(padded.reshape(rows, STRETCH))
-            heads.append(np.arange(rows) == 0)
-        if not stretches:
+        if not texts:
             return
-        every, head = np.concatenate(stretches), np.concatenate(heads)
+        pad, states = len(self.emit) - 1, len(self.start)
+        sizes = np.array([-(-len(text) // STRETCH) for text in texts])
+        first = np.cumsum(sizes) - sizes
+        every = np.full((sizes.sum(), STRETCH), pad, dtype=np.int32)
+        for text, at in zip(texts, first, strict=True):
+            every.reshape(-1)[at * STRETCH : at * STRETCH + len(text)] = text
+        head = np.zeros(len(every), dtype=bool)
+        head[first] = True
+        before = np.repeat(self.model.start[None].astype(np.float32), len(every), axis=0)
+        after = np.ones((len(every), states), np.float32)
         # Stretches of like length go together, so that short ones end early.
         order = np.argsort(-(every != pad).sum(axis=1), kind="stable")
+        if len(every) > len(texts):
+            self._pass_messages(every, head, first, sizes, order, before, after)
+        for at in range(0, len(order), AT_ONCE):
+            chosen = order[at : at + AT_ONCE]
+            self._add(self._columns(every[chosen]), head[chosen], before[chosen], after[chosen])
+
+    def _columns(self, stretches: np.ndarray) -> np.ndarray:
+        """Symbols by step, as many steps as the longest stretch has."""
+        return stretches[:, : int((stretches < len(self.emit) - 1).sum(axis=1).max())].T
+
+    def _pass_messages(self, every, head, first, sizes, order, before, after) -> None:
+        """Fill `before` and `after` of the texts of several stretches, up to a factor per stretch."""
+        states = len(self.start)
+        effect = np.empty((len(every), states, states), np.float32)
+        cut = np.repeat(sizes > 1, sizes)
+        order = order[cut[order]]
         for at in range(0, len(order), AT_ONCE):
             chosen = order[at : at + AT_ONCE]
-            self._add(every[chosen], head[chosen], pad)
-
-    def _add(self, symbols: np.ndarray, head: np.ndarray, pad: int) -> None:
-        model, steps = self.model, int((symbols != pad).sum(axis=1).max())
-        rows, states = len(symbols), len(model.start)
-        symbols = symbols[:, :steps].T
-        # Rescaled at every step, single precision is enough for counts; their sums are double.
-        forward, scale = np.empty((steps, rows, states), np.float32), np.empty((steps, rows), np.float32)
-        alpha = np.where(head[:, None], model.start, model.resume).astype(np.float32)
+            # The start has no move before it.
+            matrix = np.where(head[chosen, None, None], np.eye(states, dtype=np.float32), self.steps)
+            for t, symbols in enumerate(self._columns(every[chosen])):
+                if t:
+                    matrix = (matrix.reshape(-1, states) @ self.steps).reshape(matrix.shape)
+                matrix *= self.emit[symbols][:, None]
+                if t % RESCALE == RESCALE - 1:
+                    matrix /= matrix.max(axis=(1, 2), keepdims=True)
+            effect[chosen] = matrix
+        last = first + sizes - 1
+        for step in range(1, int(sizes.max())):
+            longer = sizes > step
+            at = first[longer] + step
+            message = np.einsum("ni,nij->nj", before[at - 1], effect[at - 1])
+            before[at] = message / message.sum(axis=1, keepdims=True)
+            at = last[longer] - step
+            message = np.einsum("nij,nj->ni", effect[at + 1], after[at + 1])
+            after[at] = message / message.sum(axis=1, keepdims=True)
+
+    def _add(self, symbols: np.ndarray, head: np.ndarray, before: np.ndarray, after: np.ndarray) -> None:
+        (steps, rows), states, pad = symbols.shape, len(self.start), len(self.emit) - 1
+        # Rescaled every few steps, single precision is enough for counts; their sums are double.
+        forward, scale = np.empty((steps, rows, states), np.float32), {}
+        alpha = np.where(head[:, None], before, before @ self.steps)
         for t in range(steps):
             alpha = (alpha if t == 0 else alpha @ self.steps) * self.emit[symbols[t]]
-            scale[t] = alpha.sum(axis=1)
-            alpha /= scale[t][:, None]
+            if t % RESCALE == 0:
+                scale[t] = alpha.sum(axis=1, keepdims=True)
+                alpha /= scale[t]
+                self.likely += float(np.log(scale[t]).sum(dtype=float))
             forward[t] = alpha
-        self.likely += float(np.log(scale).sum(dtype=float))
-        beta = np.ones((rows, states), np.float32)
+        # A text's stretches add up to its likelihood, since `before` sums to 1.
+        self.likely += float(np.log(alpha.sum(axis=1)).sum(dtype=float))
+        beta = after / (alpha * after).sum(axis=1, keepdims=True)
         for t in range(steps - 1, -1, -1):
-            seen = self.emit[symbols[t]] * beta / scale[t][:, None]
-            if t:
-                self.moves += (forward[t - 1] * (symbols[t] != pad)[:, None]).T @ seen
+            seen = self.emit[symbols[t]] * beta
+            if t in scale:
+                seen /= scale[t]
+            earlier = forward[t - 1] * (symbols[t] != pad)[:, None] if t else before * ~head[:, None]
+            self.moves += earlier.T @ seen
             forward[t] *= beta
             beta = seen @ self.steps.T
         self.start += forward[0][head].sum(axis=0)
-        self.resume += forward[0][~head].sum(axis=0)
         flat, size = symbols.ravel(), len(self.emitted)
+        self.likely += float(self.log_peak @ np.bincount(flat, minlength=size + 1)[:size])
         for k in range(states):
             self.emitted[:, k] += np.bincount(flat, weights=forward[:, :, k].ravel(), minlength=size + 1)[:size]
 
     def table(self, columns: list[str]) -> pd.DataFrame:
         used = np.flatnonzero(self.emitted.any(axis=1))
         states = len(self.start)
-        values = np.vstack([self.emitted[used], self.moves * self.model.moves, self.start[None], self.resume[None]])
+        values = np.vstack([self.emitted[used], self.moves * self.model.moves, self.start[None]])
         out = pd.DataFrame(values, columns=columns)
-        out.insert(0, "symbol", np.concatenate([used, np.arange(states), [0, 0]]).astype(np.int32))
-        out.insert(0, "kind", np.repeat([0, 1, 2, 3], [len(used), states, 1, 1]).astype(np.int32))
+        out.insert(0, "symbol", np.concatenate([used, np.arange(states), [0]]).astype(np.int32))
+        out.insert(0, "kind", np.repeat([0, 1, 2], [len(used), states, 1]).astype(np.int32))
         return out
 
 
@@ -296,15 +341,12 @@ def updated(table: pd.DataFrame, columns: list[str], corpus: np.ndarray) -> Mode
     states = len(columns)
     tokens = table[table["kind"] == 0][columns].to_numpy().sum()
     emit = max(PRIOR * tokens / states, 1.0) * np.repeat(corpus[:, None], states, axis=1)
-    moves, start, resume = np.ones((states, states)), np.ones(states), np.ones(states)
+    moves, start = np.ones((states, states)), np.ones(states)
     for kind, target in ((0, emit), (1, moves)):
         part = table[table["kind"] == kind]
         target[part["symbol"].to_numpy()] += part[columns].to_numpy()
     start += table[table["kind"] == 2][columns].to_numpy().sum(axis=0)
-    resume += table[table["kind"] == 3][columns].to_numpy().sum(axis=0)
-    return Model(
-        start / start.sum(), resume / resume.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
-    )
+    return Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
 def log_likelihoods(texts: list[np.ndarray], model: Model) -> np.ndarray:

@@ -363,7 +363,7 @@ def test_scores_are_those_of_the_model(spark, documents, rows, nothing, monkeypa
 def test_forward_recursion_is_exact():
     rng = np.random.default_rng(3)
     moves, emit, start = rng.random((3, 3)), rng.random((4, 3)), rng.random(3)
-    model = hidden_markov.Model(start / start.sum(), start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    model = hidden_markov.Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
     texts = [np.array(t, dtype=np.int32) for t in ([0], [1, 2], [3, 0, 2, 1], [2])]
     for text, got in zip(texts, hidden_markov.log_likelihoods(texts, model), strict=True):
         total = 0.0
@@ -378,6 +378,46 @@ def test_forward_recursion_is_exact():
     assert sum(10 ** hidden_markov.log_likelihoods(every, model)) == pytest.approx(1)
 
 
+def plain_counts(texts, model):
+    """Forward and backward over whole texts, token by token: starts, moves, emissions, log likelihood."""
+    states = len(model.start)
+    begun, moved, emitted, likely = np.zeros(states), np.zeros((states, states)), np.zeros(model.emit.shape), 0.0
+    for text in texts:
+        forward, backward = [model.start * model.emit[text[0]]], [np.ones(states)]
+        for symbol in text[1:]:
+            forward.append(forward[-1] / forward[-1].sum() @ model.moves * model.emit[symbol])
+        likely += sum(math.log(alpha.sum()) for alpha in forward)
+        for symbol in text[:0:-1]:
+            beta = model.moves @ (model.emit[symbol] * backward[0])
+            backward.insert(0, beta / beta.sum())
+        for t, symbol in enumerate(text):
+            here = forward[t] * backward[t]
+            emitted[symbol] += here / here.sum()
+            begun += here / here.sum() if t == 0 else 0
+            if t:
+                pair = np.outer(forward[t - 1], model.emit[symbol] * backward[t]) * model.moves
+                moved += pair / pair.sum()
+    return begun, moved, emitted, likely
+
+
+@pytest.mark.parametrize("lengths", [[1], [64], [65], [150] * 9, [1, 64, 65, 128, 129, 1000, 3, 200]])
+def test_expected_counts_are_those_of_whole_texts(lengths, monkeypatch):
+    """Cut into stretches and groups of stretches, a text counts as if passed token by token."""
+    monkeypatch.setattr(hidden_markov, "AT_ONCE", 4)
+    rng = np.random.default_rng(8)
+    moves, emit, start = rng.random((3, 3)) ** 4, rng.random((7, 3)) ** 6, rng.random(3)
+    model = hidden_markov.Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    texts = [rng.integers(0, 7, n).astype(np.int32) for n in lengths]
+    found = hidden_markov.Expected(model)
+    found.add([])
+    found.add(texts)
+    begun, moved, emitted, likely = plain_counts(texts, model)
+    assert found.start == pytest.approx(begun, rel=1e-3, abs=1e-3)
+    assert found.moves * model.moves == pytest.approx(moved, rel=1e-3, abs=1e-3)
+    assert found.emitted == pytest.approx(emitted, rel=1e-3, abs=1e-3)
+    assert found.likely == pytest.approx(likely, rel=1e-4)
+
+
 def test_expected_counts_and_their_rise():
     rng = np.random.default_rng(4)
     texts = [np.where(rng.random(150) < 0.9, n % 2, rng.integers(2, 6, 150)).astype(np.int32) for n in range(30)]
@@ -387,13 +427,59 @@ def test_expected_counts_and_their_rise():
         found = hidden_markov.Expected(model)
         found.add(texts)
         likely.append(found.likely)
-        # Whatever the split into partitions, counts add up to tokens and moves.
+        # Whatever the split into partitions and stretches, counts add up to tokens and moves.
         assert found.emitted.sum() == pytest.approx(30 * 150, rel=1e-4)
-        assert (found.moves * model.moves).sum() == pytest.approx(30 * (150 - 3), rel=1e-4)
+        assert (found.moves * model.moves).sum() == pytest.approx(30 * (150 - 1), rel=1e-4)
         model = hidden_markov.updated(found.table(columns), columns, np.full(6, 1 / 6))
     assert likely == sorted(likely) and likely[-1] > likely[0] + 100
 
 
+def test_scores_are_those_of_a_plain_model(spark, monkeypatch):
+    """The query's score against a model trained and applied token by token in one place."""
+    monkeypatch.setattr(hidden_markov, "OWN_WORDS", 12)
+    monkeypatch.setattr(hidden_markov, "SHARED", 5)
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}w{n}" for n in rng.geometric(0.1, 1 + 37 * (i % 9)))) for i in range(60)]
+    rows += [(60, None), (61, ""), (62, "never seen words"), (None, "aw1 bw1"), (5, rows[5][1])]
+    found = hidden_markov.scores(spark.createDataFrame(rows, "doc_id bigint, text string"), states=2, rounds=3)
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["score"]) for r in found.collect())
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    training = [words_of(t) for i, t in rows if not held(i)]
+    counts = Counter(w for words in training for w in words)
+    vocabulary = hidden_markov.learn_vocabulary(
+        spark.createDataFrame([(t,) for i, t in rows if not held(i)], "text string"),
+        spark.createDataFrame(list(counts.items()), "word string, count bigint"),
+    )
+    own = vocabulary.words
+    assert len(own) == 12 and min(counts[w] for w in own) >= max(c for w, c in counts.items() if w not in own)
+    classes = Counter()
+    for w, c in counts.items():
+        if w not in own:
+            classes[hidden_markov.shared_symbol(w)] += c + 1
+    code = lambda w: own[w] if w in own else 12 + hidden_markov.shared_symbol(w)
+    mass = np.array([counts[w] + 1.0 for w in own] + [classes[k] + 1.0 for k in range(5)] + [len(training) + 1.0])
+    corpus = mass / mass.sum()
+    model = hidden_markov.initial_model(corpus, 2)
+    texts = [[code(w) for w in words] + [17] for words in training]
+    for _ in range(3):
+        begun, moved, emitted, _ = plain_counts(texts, model)
+        emitted += 0.1 * emitted.sum() / 2 * corpus[:, None]
+        moved += 1
+        model = hidden_markov.Model(
+            (begun + 1) / (begun + 1).sum(), moved / moved.sum(axis=1, keepdims=True), emitted / emitted.sum(axis=0)
+        )
+    expected = []
+    for i, t in rows:
+        words = words_of(t)
+        score = plain_counts([[code(w) for w in words] + [17]], model)[3] / math.log(10)
+        for w in words:
+            if w not in own:
+                score += math.log10((counts[w] + 1) / (classes[hidden_markov.shared_symbol(w)] + 1))
+        expected.append((i is None, i or 0, len(words) + 1, score))
+    for a, b in zip(got, sorted(expected), strict=True):
+        assert a[:3] == b[:3] and a[3] == pytest.approx(b[3], rel=1e-3)
+
+
 # 5 -------------------------------------------------------------------------------------------------------
 
 
