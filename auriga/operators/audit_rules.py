@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -93,10 +95,13 @@ def single_payment_rules() -> dict[str, tuple[Column, Column, Column]]:
     }
 
 
-def payment_findings(payments: DataFrame, rules: list[str] | None = None) -> DataFrame:
+def payment_findings(
+    payments: DataFrame, rules: list[str] | None = None, carried: Sequence[str] = ()
+) -> DataFrame:
     """All single-payment rules in one scan: at most one finding per rule and payment.
 
     The wording is added after the rules are unfolded, so a plan that only counts never formats it.
+    Columns of the payment named in `carried` stay beside the finding.
     """
     chosen = {k: v for k, v in single_payment_rules().items() if rules is None or k in rules}
     raised = F.array(
@@ -107,7 +112,7 @@ def payment_findings(payments: DataFrame, rules: list[str] | None = None) -> Dat
     )
     text = F.coalesce(*[F.when(F.col("id_regra") == rule, wording) for rule, (_, _, wording) in chosen.items()])
     found = payments.select("*", F.inline(F.array_compact(raised)))
-    return found.withColumns({"data_deteccao": F.col("data_transacao"), "descricao": text}).select(*FINDING)
+    return found.withColumns({"data_deteccao": F.col("data_transacao"), "descricao": text}).select(*FINDING, *carried)
 
 
 def split_clusters(payments: DataFrame) -> DataFrame:
@@ -143,14 +148,14 @@ def total_value() -> Column:
     return F.sum("valor").cast(TOTAL)
 
 
-def split_findings(payments: DataFrame) -> DataFrame:
+def split_findings(payments: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """The payments of each cluster. Joining on vendor and day spreads a busy vendor."""
     days = split_clusters(payments).select(
         "id_fornecedor", "n_pagamentos", "soma",
         F.explode(F.sequence("inicio", F.date_add("inicio", SPLIT_DAYS))).alias("data_transacao"),
     )
     small = payments.filter(F.col("valor") < CONTRACT_FLOOR).select(
-        "id_transacao", "id_fornecedor", "data_transacao", "valor"
+        *dict.fromkeys(["id_transacao", "id_fornecedor", "data_transacao", "valor", *carried])
     )
     text = F.format_string(WORDING["R006"], "n_pagamentos", brazilian(F.col("soma")))
     return small.join(days, ["id_fornecedor", "data_transacao"]).select(
@@ -159,17 +164,18 @@ def split_findings(payments: DataFrame) -> DataFrame:
         F.col("data_transacao").alias("data_deteccao"),
         F.col("valor").alias("valor_em_risco"),
         text.alias("descricao"),
+        *carried,
     )
 
 
-def duplicate_findings(payments: DataFrame) -> DataFrame:
+def duplicate_findings(payments: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """R007: same vendor, value and ISO week. Two dates share a week when they share its Monday.
 
     Groups are counted with partial aggregation and joined back, never held in one task.
     """
     keys = ["id_fornecedor", "valor", "_monday"]
     weekly = payments.select(
-        "id_transacao", "id_fornecedor", "valor", "data_transacao",
+        *dict.fromkeys(["id_transacao", "id_fornecedor", "valor", "data_transacao", *carried]),
         F.date_trunc("week", F.col("data_transacao").cast("timestamp_ntz")).cast("date").alias("_monday"),
     )
     repeated = weekly.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") >= 2)
@@ -179,15 +185,19 @@ def duplicate_findings(payments: DataFrame) -> DataFrame:
         F.col("data_transacao").alias("data_deteccao"),
         F.col("valor").alias("valor_em_risco"),
         F.format_string(WORDING["R007"], brazilian(F.col("valor"))).alias("descricao"),
+        *carried,
     )
 
 
-def raise_findings(payments: DataFrame) -> DataFrame:
-    """Every finding of the ten rules. The id is made of payment and rule, so no global numbering."""
+def raise_findings(payments: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Every finding of the ten rules. The id is made of payment and rule, so no global numbering.
+
+    Columns of the payment named in `carried` stay beside the finding, so that it need not be joined back.
+    """
     found = (
-        payment_findings(payments)
-        .unionByName(split_findings(payments))
-        .unionByName(duplicate_findings(payments))
+        payment_findings(payments, carried=carried)
+        .unionByName(split_findings(payments, carried))
+        .unionByName(duplicate_findings(payments, carried))
     )
     return found.withColumns(
         {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -179,8 +181,12 @@ def payment_flags() -> dict[str, Column]:
     }
 
 
-def ruled_findings(findings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Findings with the rule's own severity."""
+# What a finding tells of its payment.
+OF_PAYMENT = ["area", "id_fornecedor", "razao_social", "valor"]
+
+
+def ruled_findings(findings: DataFrame, rules: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Findings with the rule's own severity, and the columns of their payment that they carry."""
     detected = F.col("data_deteccao").cast("date")
     facts = findings.select(
         "id_achado",
@@ -191,6 +197,7 @@ def ruled_findings(findings: DataFrame, rules: DataFrame) -> DataFrame:
         "status_achado",
         amount("valor_em_risco").alias("valor_em_risco"),
         "descricao",
+        *carried,
     )
     rule = rules.select(
         "id_regra",
@@ -202,12 +209,16 @@ def ruled_findings(findings: DataFrame, rules: DataFrame) -> DataFrame:
     return join_dimension(facts, rule, "id_regra")
 
 
-def enriched_findings(findings: DataFrame, rules: DataFrame, payments: DataFrame) -> DataFrame:
-    """Findings with the rule's own severity and the payment they point at."""
-    payment = payments.select(
-        "id_transacao", "area", "id_fornecedor", "razao_social", F.col("valor").alias("valor_transacao")
-    )
-    return ruled_findings(findings, rules).join(payment, "id_transacao", "left")
+def enriched_findings(findings: DataFrame, rules: DataFrame, payments: DataFrame | None = None) -> DataFrame:
+    """Findings with the rule's own severity and the payment they point at.
+
+    Without `payments` the findings carry OF_PAYMENT themselves, as fresh ones can; stored ones are joined.
+    """
+    if payments is None:
+        found = ruled_findings(findings, rules, OF_PAYMENT)
+    else:
+        found = ruled_findings(findings, rules).join(payments.select("id_transacao", *OF_PAYMENT), "id_transacao", "left")
+    return found.withColumnRenamed("valor", "valor_transacao")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ its table once under the shared folder, as a refresh would, for plans with sever
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,8 +139,11 @@ class Cases:
     @cached_property
     def raised(self) -> DataFrame:
         """Findings with the four statuses spread by payment, standing in for the reviewers' work."""
+        return self._raised()
+
+    def _raised(self, carried: Sequence[str] = ()) -> DataFrame:
         reviewed = pick(audit_rules.STATUSES, F.col("id_transacao"))
-        return audit_rules.raise_findings(self.stored_payments).withColumn("status_achado", reviewed)
+        return audit_rules.raise_findings(self.stored_payments, carried).withColumn("status_achado", reviewed)
 
     @cached_property
     def stored_raised(self) -> DataFrame:
@@ -147,7 +151,7 @@ class Cases:
 
     @cached_property
     def findings(self) -> DataFrame:
-        return silver.enriched_findings(self.raised, self.rules, self.stored_payments)
+        return silver.enriched_findings(self._raised(silver.OF_PAYMENT), self.rules)
 
     @cached_property
     def ruled_findings(self) -> DataFrame:

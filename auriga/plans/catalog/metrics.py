@@ -269,7 +269,7 @@ def register(add_query) -> None:
     add(
         "b11_audit_cards",
         lambda c: kpis.audit_cards(
-            silver.enriched_findings(c.stored_raised, c.rules, c.stored_payments), c.stored_compliance
+            silver.ruled_findings(c.stored_raised, c.rules), c.stored_compliance
         ),
         f"""SELECT f.*, l.* FROM (
               SELECT count(*) AS total_achados,

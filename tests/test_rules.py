@@ -102,3 +102,27 @@ def test_flags_and_findings_differ_where_they_should(spark):
     unmatched = {(r.id_transacao, r.id_regra): r.situacao for r in audit.reconcile_flags(payments, found).collect()}
     assert unmatched[(1, "R004")] == "sem achado"
     assert unmatched[(3, "R001")] == "conforme"
+
+
+def test_findings_that_carry_their_payment_equal_the_joined_ones(spark):
+    from auriga.operators import silver
+
+    saturday, monday = date(2024, 1, 6), date(2024, 1, 8)
+    rows = [
+        (1, "100", "200", 1, 2, True, "Pago", "x", saturday),
+        (2, "100", "200", 1, 2, True, "Pago", "x", saturday),
+        (3, "250", "200", 1, 1, True, "Pago", None, monday),
+        (4, "50000", "90000", 1, 2, False, "Pago", "Brindes e hospitalidade", monday),
+        *[(i, "9000", "90000", 1, 2, True, "Pago", "x", monday) for i in range(5, 12)],
+    ]
+    payments = _full(spark, rows).withColumns(silver.payment_flags()).selectExpr(
+        "*", "if(id_transacao % 2 = 0, 'TI', NULL) AS area", "concat('Fornecedor ', id_transacao) AS razao_social"
+    )
+    rules = audit_rules.rule_catalogue(spark)
+    joined = silver.enriched_findings(audit_rules.raise_findings(payments), rules, payments)
+    carried = silver.enriched_findings(audit_rules.raise_findings(payments, silver.OF_PAYMENT), rules)
+    columns = sorted(joined.columns)
+    assert sorted(carried.columns) == columns
+    rows = lambda df: sorted(map(str, df.select(columns).collect()))
+    assert rows(carried) == rows(joined)
+    assert {"R006", "R007", "R009"} <= {r.id_regra for r in carried.collect()}
