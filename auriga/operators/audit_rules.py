@@ -17,37 +17,37 @@ GIFT_LIMIT = 1_000
 SPLIT_DAYS = 10
 SPLIT_PAYMENTS = 3
 
-# The rule catalogue (id, name, description, severity, category, policy document).
+# Fixed values but for the descriptions: the rule catalogue (id, name, description, severity, category, policy document).
 RULES = [
     ("R001", "Alçada de aprovação excedida",
-     "Pagamento aprovado por colaborador cujo limite de alçada é inferior ao valor da transação.",
+     "O valor do pagamento passa do limite de quem o aprovou.",
      "Alta", "Alçada", "norma_alcadas_aprovacao.md"),
     ("R002", "Pagamento a fornecedor sem contrato vigente",
-     "Despesa relevante liquidada a fornecedor que não possui contrato vigente registrado.",
+     "Pagamento a partir do piso contratual para um fornecedor sem contrato.",
      "Alta", "Contrato", "politica_compras.md"),
     ("R003", "Quebra de segregação de funções",
-     "Mesmo colaborador figura como solicitante e aprovador da transação.",
+     "Quem solicitou o pagamento também o aprovou.",
      "Alta", "Segregação de funções", "politica_segregacao_funcoes.md"),
     ("R004", "Pagamento processado em dia não útil",
-     "Liquidação financeira realizada em sábado, domingo ou fora da janela de pagamentos.",
+     "Pagamento já pago com data de sábado ou domingo.",
      "Baixa", "Pagamento", "politica_pagamentos.md"),
     ("R005", "Fornecedor com situação cadastral irregular",
-     "Transação com fornecedor cuja situação cadastral consta como irregular na due diligence.",
+     "O cadastro do fornecedor pago está irregular.",
      "Alta", "Cadastro", "norma_due_diligence_fornecedores.md"),
     ("R006", "Indício de fracionamento de compra",
-     "Três ou mais pagamentos ao mesmo fornecedor logo abaixo de uma alçada, em janela curta.",
+     "Em dez dias, pagamentos abaixo do piso contratual ao mesmo fornecedor somam o piso ou mais.",
      "Média", "Fracionamento", "politica_compras.md"),
     ("R007", "Indício de pagamento em duplicidade",
-     "Dois pagamentos de mesmo valor, ao mesmo fornecedor, na mesma semana.",
+     "Mesmo fornecedor e mesmo valor mais de uma vez entre segunda-feira e domingo.",
      "Alta", "Pagamento", "politica_pagamentos.md"),
     ("R008", "Lançamento sem categoria de despesa",
-     "Transação registrada sem classificação de categoria contábil/gerencial.",
+     "O pagamento não informa a categoria da despesa.",
      "Baixa", "Cadastro", "manual_compliance.md"),
     ("R009", "Brinde ou hospitalidade acima do limite",
-     "Despesa de brinde/hospitalidade acima do teto definido no código de conduta.",
+     "Gasto com brinde ou hospitalidade maior que o teto por pagamento.",
      "Média", "Conduta", "politica_brindes_hospitalidade.md"),
     ("R010", "Transação com parte relacionada",
-     "Pagamento a fornecedor sinalizado como parte relacionada sem aprovação do comitê de ética.",
+     "O fornecedor pago consta como parte relacionada.",
      "Alta", "Conduta", "politica_conflito_interesses.md"),
 ]
 RULE_COLUMNS = ["id_regra", "nome", "descricao", "severidade", "categoria", "politica_referencia"]
