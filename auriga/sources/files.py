@@ -36,13 +36,9 @@ def parse_lines(lines: DataFrame, columns: Sequence[str] | None = None) -> DataF
     lines are no data, but in a file of one column, where they are empty values. Without `columns`, those of
     all files are kept; None if no file has a header. The driver sees the distinct headers only.
     """
-    filled = F.trim(F.regexp_replace("value", "[\uFEFF\r]", "")) != ""
+    filled = F.ltrim("value", F.lit(" \r\uFEFF")) != ""
     kept = store_once(lines.withColumn("_line", F.monotonically_increasing_id()).withColumn("_filled", filled), "csv-lines")
-    first = F.min_by(F.struct(F.col("_line").alias("_first"), "value"), "_line").alias("_h")
-    heads = kept.filter("_start = 0 AND _filled").groupBy("_file").agg(first).select(
-        "_file", "_h._first", F.regexp_replace("_h.value", "^\uFEFF|\r$", "").alias("_header")
-    )
-    heads = store_once(heads, "csv-headers")
+    heads = store_once(_headers(kept), "csv-headers")
     forms = sorted(row["_header"] for row in heads.select("_header").distinct().collect())
     names = list(columns or dict.fromkeys(c for form in forms for c in columns_of(form)))
     if not names:
@@ -55,29 +51,44 @@ def parse_lines(lines: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return _by_name(data, forms, names)
 
 
+def _headers(kept: DataFrame) -> DataFrame:
+    """The header line of every file that has one.
+
+    Its number is found first and its text fetched by that: a number folds in a hash table, while text beside it would
+    have every task sort all its lines by file.
+    """
+    starts = kept.filter("_start = 0 AND _filled")
+    firsts = store_once(starts.groupBy("_file").agg(F.min("_line").alias("_first")), "csv-firsts")
+    heads = join_dimension(starts.select("_line", "value"), firsts, F.col("_line") == F.col("_first"), "inner")
+    return heads.select("_file", "_first", F.regexp_replace("value", "^\uFEFF|\r$", "").alias("_header"))
+
+
 def _by_name(lines: DataFrame, forms: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Lines parsed by the header of their own file, and put in place by name.
 
     Each form of header is one schema. Columns beyond `columns` go to the rescued column as JSON; a line with
-    missing or extra fields keeps its raw text there, and what it has in its columns.
+    missing or extra fields keeps its raw text there, and what it has in its columns. A line is parsed once, into a
+    column of its form, from which all its fields are taken.
     """
 
-    def fields(form: str) -> Column:
-        names = columns_of(form)
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, RESCUED]])
+    def row(form: str) -> Column:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns_of(form), RESCUED]])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED, "escape": '"'}
-        row = F.from_csv(F.rtrim(F.col("value"), F.lit("\r")), _ddl(schema), options)
+        value = F.col("value")
+        text = F.when(value.endswith("\r"), F.rtrim(value, F.lit("\r"))).otherwise(value)
+        return F.when(F.col("_header") == form, F.from_csv(text, _ddl(schema), options))
+
+    def fields(form: str, parsed: Column) -> list[Column]:
+        names = columns_of(form)
         surplus = [n for n in names if n not in columns]
-        more = F.to_json(F.struct(*[row[n].alias(n) for n in surplus])) if surplus else F.lit(None).cast("string")
-        raw = row[RESCUED]
-        values = [row[c] if c in names else F.lit(None).cast("string") for c in columns]
-        return F.struct(*[v.alias(c) for v, c in zip(values, columns, strict=True)], F.coalesce(raw, more).alias(RESCUED))
-
-    empty = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RESCUED]])
-    parsed = F.lit(None).cast(empty)
-    for form in forms:
-        parsed = F.when(F.col("_header") == form, fields(form)).otherwise(parsed)
-    return lines.select(parsed.alias("_parsed")).select("_parsed.*").withColumn(INGESTED, F.current_timestamp())
+        more = F.to_json(F.struct(*[parsed[n].alias(n) for n in surplus])) if surplus else F.lit(None).cast("string")
+        values = [parsed[c] if c in names else F.lit(None).cast("string") for c in columns]
+        return [F.when(F.col("_header") == form, value) for value in (*values, F.coalesce(parsed[RESCUED], more))]
+
+    rows = lines.select("_header", *[row(form).alias(f"_row{i}") for i, form in enumerate(forms)])
+    found = [fields(form, F.col(f"_row{i}")) for i, form in enumerate(forms)]
+    placed = [F.coalesce(*of_forms).alias(c) for c, *of_forms in zip([*columns, RESCUED], *found, strict=True)]
+    return rows.select(*placed, F.current_timestamp().alias(INGESTED))
 
 
 def _ddl(schema: T.StructType) -> str:
