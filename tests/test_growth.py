@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from auriga.sources import files
+from auriga.streaming.first_rows import first_rows, refresh_first_rows
 
 
 def test_a_line_is_parsed_once_per_form(spark, tmp_path):
@@ -25,3 +26,13 @@ def test_headers_are_found_without_sorting_lines(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "store_once", recorded)
     assert files.scan_csv(spark, str(tmp_path)).count() == 1
     assert plans and not any("Sort" in plan for plan in plans)
+
+
+def test_first_rows_hold_no_state(spark, tmp_path):
+    folder, table, check = (str(tmp_path / n) for n in ("in", "table", "check"))
+    for rows in ([(1, 5, 2, "a"), (2, 1, 1, "b")], [(1, 5, 1, "late"), (2, 1, 1, "c"), (3, None, 0, None)]):
+        spark.createDataFrame(rows, "k int, o int, a int, v string").write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("k int, o int, a int, v string").parquet(folder)
+        refresh_first_rows(stream, ["k"], ["o", "a", "v"], table, check)
+    assert sorted(map(tuple, first_rows(spark, ["k"], table).collect())) == [(1, 5, 1, "late"), (2, 1, 1, "b"), (3, None, 0, None)]
+    assert not (tmp_path / "check" / "state").exists()
