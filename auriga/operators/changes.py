@@ -55,9 +55,11 @@ def sync(spark: SparkSession, path: str, copy: str, keys: list[str]) -> DataFram
     newest, offset = version_of(spark, path), offset_of(spark, copy)
     if offset == newest:
         return read_table(spark, copy)
+    if not offset:
+        # Every row is an insert into nothing.
+        return replace_table(read_version(spark, path, newest), copy, source=newest)
     feed = store_once(changes_between(spark, path, keys, offset, newest), "feed")
-    held = read_table(spark, copy) if offset else read_version(spark, path, newest).limit(0)
-    return replace_table(apply_changes(held, feed, keys), copy, source=newest)
+    return replace_table(apply_changes(read_table(spark, copy), feed, keys), copy, source=newest)
 
 
 def open_backlog(orders: DataFrame, receipts: DataFrame, as_of: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from auriga.operators import changes
 from auriga.sources import files
+from auriga.sources.stored import replace_table
 from auriga.streaming.first_rows import first_rows, refresh_first_rows
 
 
@@ -36,3 +38,15 @@ def test_first_rows_hold_no_state(spark, tmp_path):
         refresh_first_rows(stream, ["k"], ["o", "a", "v"], table, check)
     assert sorted(map(tuple, first_rows(spark, ["k"], table).collect())) == [(1, 5, 1, "late"), (2, 1, 1, "b"), (3, None, 0, None)]
     assert not (tmp_path / "check" / "state").exists()
+
+
+def test_a_first_sync_copies_the_table(spark, tmp_path, monkeypatch):
+    path, copy = str(tmp_path / "t"), str(tmp_path / "c")
+    replace_table(spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], "k string, v int"), path)
+
+    def no_feed(*_):
+        raise AssertionError("a first sync needs no feed")
+
+    monkeypatch.setattr(changes, "store_once", no_feed)
+    assert sorted(map(tuple, changes.sync(spark, path, copy, ["k"]).collect()), key=str) == [("a", 1), ("a", 1), (None, 2)]
+    assert changes.offset_of(spark, copy) == 1
