@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import pytest
+
 from auriga.operators import changes
+from auriga.plans.refresh import CASES, refresh_case
 from auriga.sources import files
 from auriga.sources.stored import replace_table
 from auriga.streaming.first_rows import first_rows, refresh_first_rows
 
+ASSETS = "id_ativo,tag,tipo,fabricante,modelo,site,criticidade,data_instalacao,potencia_kw\nA1,B-1,Bomba,F,M,Sul,Alta,2020-01-01,100\n"
+
 
 def test_a_line_is_parsed_once_per_form(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,v,w\n1,2,3\r\n \r\r\n")
@@ -30,6 +35,25 @@ def test_headers_are_found_without_sorting_lines(spark, tmp_path, monkeypatch):
     assert plans and not any("Sort" in plan for plan in plans)
 
 
+def test_only_what_is_wanted_is_refreshed(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "ativos.csv").write_text(ASSETS)
+    found = refresh_case(spark, "manutencao", str(raw), str(tmp_path / "lake"), wanted=["silver_ativos"])
+    assert found["silver_ativos"].first().tag == "B-1"
+    assert sorted(p.name for p in (tmp_path / "lake").iterdir()) == ["bronze_ativos", "rescued_ativos", "silver_ativos"]
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_reads_are_those_of_the_plans(case):
+    layers = CASES[case]
+    plans = {f"silver_{n}": plan for n, (_, plan) in layers.silver.items()} | {f"gold_{n}": plan for n, plan in layers.gold.items()}
+    for name, plan in plans.items():
+        named = {x for x in plan.__code__.co_consts if isinstance(x, str) and x.startswith(("bronze_", "silver_", "gold_"))}
+        assert named == set(layers.reads.get(name, [])), name
+    assert layers.needed(layers.tables()) == set(layers.tables())
+
+
 def test_first_rows_hold_no_state(spark, tmp_path):
     folder, table, check = (str(tmp_path / n) for n in ("in", "table", "check"))
     for rows in ([(1, 5, 2, "a"), (2, 1, 1, "b")], [(1, 5, 1, "late"), (2, 1, 1, "c"), (3, None, 0, None)]):
